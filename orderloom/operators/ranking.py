@@ -21,18 +21,15 @@ SAMPLE = 0.01
 MAX_HOT_KEYS = 1_000
 
 
-def _ranges(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def _fixed_ranges(df: DataFrame, *order, label: str) -> DataFrame:
     """Range-partition by ``order`` and store the range number of each row.
 
     The checkpoint makes the number part of the data: range bounds come from a
-    sample, so a recomputed plan could draw them elsewhere.
+    sample, so a recomputed plan could draw them elsewhere.  There are at most as many
+    ranges as shuffle partitions; AQE merges neighbouring small ones.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    return df.repartitionByRange(_ranges(df), *order).withColumn(label, F.spark_partition_id()).checkpoint()
+    return df.repartitionByRange(*order).withColumn(label, F.spark_partition_id()).checkpoint()
 
 
 def rank_rows(df: DataFrame, key: str, by: str, groups: Sequence[str] = ()) -> DataFrame:

@@ -24,10 +24,7 @@ from orderloom.session import ensure_checkpoint_dir
 RUNNING = (W.unboundedPreceding, W.currentRow)
 PAID = (L.COMPLETED, L.REFUNDED)
 
-# Amounts are searched by their cents, CENT_BITS bits wide after a shift that makes
-# them positive, in steps of STEP_BITS bits.
-CENT_BITS, STEP_BITS = 35, 7
-CENT_SHIFT = 1 << (CENT_BITS - 1)
+STEP_BITS = 9  # an amount is searched at most this many bits at a time
 
 
 def status_intervals(history: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
@@ -142,8 +139,8 @@ def _wanted_ranks(sizes: DataFrame) -> DataFrame:
     return sizes.where("n > 0").select("day", F.lit(0).cast("bigint").alias("bucket"), F.inline(wanted))
 
 
-def _statistics(chosen: DataFrame) -> DataFrame:
-    value = ((F.col("bucket") - CENT_SHIFT).cast("decimal(20,0)") / 100).cast("decimal(20,2)")
+def _statistics(chosen: DataFrame, lowest: int) -> DataFrame:
+    value = ((F.col("bucket") + F.lit(lowest)).cast("decimal(20,0)") / 100).cast(MONEY)
 
     def at(which):
         return F.max(F.when(F.col("which") == which, value))
@@ -154,24 +151,30 @@ def _statistics(chosen: DataFrame) -> DataFrame:
 
 
 def _cents(amount: str):
-    # decimal(10,2) is the declared range of amounts; a larger one fails here instead of being misplaced
-    return (F.col(amount).cast("decimal(10,2)") * 100).cast("bigint") + CENT_SHIFT
+    return (F.col(amount).cast(MONEY) * 100).cast("bigint")
 
 
-def _shifts():
-    return [(high, high - STEP_BITS) for high in range(CENT_BITS, 0, -STEP_BITS)]
+def _search_plan(values: DataFrame) -> tuple[int, list[tuple[int, int]]]:
+    """Lowest value, and the (parent, child) bit shifts that cover the range of ``cents``."""
+    low, high = values.agg(F.min("cents"), F.max("cents")).first()
+    bits = max(1, ((high or 0) - (low or 0)).bit_length())
+    steps = -(-bits // STEP_BITS)
+    edges = [bits * i // steps for i in range(steps, -1, -1)]
+    return low or 0, list(zip(edges, edges[1:]))
 
 
 def interval_statistics(intervals: DataFrame, sizes: DataFrame, end: dt.date) -> DataFrame:
     """Exact min, median and max of ``order_amount`` over the orders held on each day.
 
-    The value with a wanted rank is found digit by digit, 7 bits at a time: only the
+    The value with a wanted rank is found a few bits at a time: only the
     children of buckets that hold a wanted rank on some day are counted, and only on
     those days.  No task sees more than a bucket's children times the calendar.
     """
-    marks = _marks(intervals, end, _cents("order_amount").alias("cents"))
+    amounts = intervals.select("from_day", "to_day", _cents("order_amount").alias("cents"))
+    lowest, steps_down = _search_plan(amounts)
+    marks = _marks(amounts, end, (F.col("cents") - F.lit(lowest)).alias("cents"))
     chosen = _wanted_ranks(sizes).checkpoint()
-    for high, low in _shifts():
+    for high, low in steps_down:
         parent, child = F.shiftright("cents", high), F.shiftright("cents", low)
         # at most four buckets per calendar day
         open_buckets = F.broadcast(chosen.select(F.col("bucket").alias("open")).distinct())
@@ -187,7 +190,7 @@ def interval_statistics(intervals: DataFrame, sizes: DataFrame, end: dt.date) ->
         counts = grid.withColumn("held", F.sum("step").over(across)).where("asked and held > 0")
         # at most four rows per day; stored so that the plan does not grow with each step
         chosen = _pick(counts.select("day", "bucket", "child", "held"), chosen).checkpoint()
-    return _statistics(chosen)
+    return _statistics(chosen, lowest)
 
 
 def daily_statistics(rows: DataFrame, day: str, amount: str) -> DataFrame:
@@ -196,13 +199,15 @@ def daily_statistics(rows: DataFrame, day: str, amount: str) -> DataFrame:
     values = (rows.where(F.col(amount).isNotNull())
               .groupBy(F.col(day).alias("day"), _cents(amount).alias("cents")).agg(F.count(F.lit(1)).alias("held"))
               .checkpoint())
+    lowest, steps_down = _search_plan(values)
+    offset = F.col("cents") - F.lit(lowest)
     chosen = _wanted_ranks(values.groupBy("day").agg(F.sum("held").alias("n"))).checkpoint()
-    for high, low in _shifts():
-        parent, child = F.shiftright("cents", high), F.shiftright("cents", low)
+    for high, low in steps_down:
+        parent, child = F.shiftright(offset, high), F.shiftright(offset, low)
         counts = values.groupBy("day", parent.alias("bucket"), child.alias("child")).agg(F.sum("held").alias("held"))
         wanted = chosen.select("day", "bucket").distinct()
         chosen = _pick(counts.join(wanted, ["day", "bucket"], "left_semi"), chosen).checkpoint()
-    return _statistics(chosen)
+    return _statistics(chosen, lowest)
 
 
 def daily_order_state(history: DataFrame, start: dt.date, end: dt.date) -> DataFrame:

@@ -26,6 +26,16 @@ CATEGORIES = [
     "Swimwear & Beachwear", "Handbags & Purses", "Jewelry & Watches", "Scarves & Wraps", "Belts & Accessories",
     "Shoes & Footwear", "Sunglasses & Eyewear", "Hats & Hair Accessories", "Tech Accessories", "Gift Cards & Sets",
 ]
+# Declared, so that opening a table needs no job.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int",
+    "part": "p_partkey bigint, p_name string, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double",
+}
 REGION_OF = {"AMERICA": "north america", "EUROPE": "europe", "ASIA": "asia pacific", "AFRICA": "africa"}
 
 
@@ -39,16 +49,15 @@ def _days(start, days):
 
 def star_schema_sources(spark: SparkSession, folder: str) -> Sources:
     def read(name: str) -> DataFrame:
-        return spark.read.parquet(f"{folder}/{name}.parquet")
+        return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
     nation, region = read("nation"), read("region")
     customer, part = read("customer"), read("part")
     orders, lineitem = read("orders"), read("lineitem")
 
-    # 25 nations: the lookup is small by nature and its size is checked where it is used.
-    located = nation.join(region, nation.n_regionkey == region.r_regionkey)
-    country_region = [(row.n_name.lower(), REGION_OF[row.r_name])
-                      for row in located.select("n_name", "r_name").collect() if row.r_name in REGION_OF]
+    region_name = F.create_map(*[F.lit(part) for pair in REGION_OF.items() for part in pair])[F.col("r_name")]
+    country_region = (nation.join(region, nation.n_regionkey == region.r_regionkey)
+                      .select(F.lower("n_name").alias("country"), region_name.alias("region")).dropna())
 
     signup = F.date_add(F.lit(SIGNUP_START), ((F.col("c_custkey") * 7) % 730).cast("int"))
     customers = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left").select(
@@ -69,7 +78,7 @@ def star_schema_sources(spark: SparkSession, folder: str) -> Sources:
         price.alias("price"),
         F.lit(PRODUCT_CREATED).cast("timestamp_ntz").alias("created_at"))
 
-    ordered_at = F.col("o_orderdate").cast("timestamp_ntz") + F.make_dt_interval(
+    ordered_at = F.col("o_orderdate") + F.make_dt_interval(
         hours=(F.col("o_orderkey") % 24).cast("int"))
     discount = 1 - F.col("l_discount").cast("decimal(10,2)")
     lines = (

@@ -64,10 +64,13 @@ def parse_groups(text: str) -> list[tuple[str, str]]:
 
 @dataclass
 class Lookups:
-    """Key-value lookups are pairs, price tiers are ``(min, max, tier)`` in file order."""
+    """Key-value lookups are pairs, price tiers are ``(min, max, tier)`` in file order.
 
-    country_region: list[tuple[str, str]] = field(default_factory=lambda: parse_groups(COUNTRY_REGIONS))
-    category_group: list[tuple[str, str]] = field(default_factory=lambda: parse_groups(CATEGORY_GROUPS))
+    The two lookups that are joined may also be frames of two columns.
+    """
+
+    country_region: list[tuple[str, str]] | DataFrame = field(default_factory=lambda: parse_groups(COUNTRY_REGIONS))
+    category_group: list[tuple[str, str]] | DataFrame = field(default_factory=lambda: parse_groups(CATEGORY_GROUPS))
     price_tiers: list[tuple] = field(default_factory=lambda: list(PRICE_TIERS))
     season_keywords: list[tuple[str, str]] = field(default_factory=lambda: list(SEASON_KEYWORDS))
     collection_keywords: list[tuple[str, str]] = field(default_factory=lambda: list(COLLECTION_KEYWORDS))
@@ -92,8 +95,10 @@ class Lookups:
         return cls(**loaded)
 
 
-def pairs_frame(spark: SparkSession, pairs: list[tuple[str, str]], key: str, value: str) -> DataFrame:
-    """Pairs as a broadcast frame; the row bound is checked here."""
+def pairs_frame(spark: SparkSession, pairs: list[tuple[str, str]] | DataFrame, key: str, value: str) -> DataFrame:
+    """Pairs as a broadcast frame, their number checked here; a given frame is left to the optimizer."""
+    if isinstance(pairs, DataFrame):
+        return pairs.toDF(key, value)
     if len(pairs) > MAX_LOOKUP_ROWS:
         raise ValueError(f"lookup on {key} has more than {MAX_LOOKUP_ROWS} rows")
     return F.broadcast(spark.createDataFrame(pairs, f"{key} string, {value} string"))
