@@ -213,8 +213,8 @@ def order_trends(daily: DataFrame, loaded_at: dt.datetime) -> DataFrame:
 
 # --- customer behaviour -------------------------------------------------------------
 
-def purchase_behavior(orders: DataFrame, as_of: dt.date) -> DataFrame:
-    """Order history per customer (recency, frequency, value); ``active_months`` via a month level first."""
+def customer_purchases(orders: DataFrame) -> DataFrame:
+    """Order history per customer, free of "today"; ``active_months`` via a month level first."""
     placed, amount = F.col("order_date"), F.col("order_amount")
     done = F.col("order_status") == L.COMPLETED
     dow = dow0(placed)
@@ -226,13 +226,11 @@ def purchase_behavior(orders: DataFrame, as_of: dt.date) -> DataFrame:
         F.min(amount).alias("low"), F.max(amount).alias("high"), F.sum("total_line_items").alias("items"),
         count_if(dow.isin(0, 6)).alias("weekend"), count_if(dow.between(1, 5)).alias("weekday"))
     in_season = {name: F.month("month").isin(*months) for name, months in L.SEASONS}
-    midnight = F.lit(dt.datetime.combine(as_of, dt.time())).cast("timestamp_ntz")
     return monthly.groupBy("customer_key").agg(
         F.sum("orders").alias("total_orders"), F.sum("completed").alias("completed_orders"),
         F.count(F.lit(1)).alias("active_months"),
         F.min("first_at").alias("first_purchase_date"), F.max("last_at").alias("last_purchase_date"),
         F.timestamp_diff("DAY", F.min("first_at"), F.max("last_at")).alias("customer_lifespan_days"),
-        F.timestamp_diff("DAY", F.max("last_at"), midnight).alias("days_since_last_purchase"),
         F.sum("amount").cast(MONEY).alias("total_spent"),
         F.sum("completed_amount").cast(MONEY).alias("total_completed_spent"),
         (F.sum("amount").cast(AVERAGE) / F.nullif(F.sum("amounts"), F.lit(0))).cast(AVERAGE).alias("avg_order_value"),
@@ -244,6 +242,13 @@ def purchase_behavior(orders: DataFrame, as_of: dt.date) -> DataFrame:
           for name, hit in in_season.items()])
 
 
+def with_recency(purchases: DataFrame, as_of: dt.date) -> DataFrame:
+    midnight = F.lit(dt.datetime.combine(as_of, dt.time())).cast("timestamp_ntz")
+    after = purchases.columns.index("customer_lifespan_days") + 1
+    days = F.timestamp_diff("DAY", "last_purchase_date", midnight).alias("days_since_last_purchase")
+    return purchases.select(*purchases.columns[:after], days, *purchases.columns[after:])
+
+
 def product_preferences(lines: DataFrame, products: DataFrame) -> DataFrame:
     """What each customer buys, from lines of completed orders.
 
@@ -292,10 +297,10 @@ _PREFERENCES = ["unique_products_purchased", "unique_categories_purchased", "uni
                 "single_line_orders", "dominant_line_purchases"]
 
 
-def customer_behavior(orders: DataFrame, lines: DataFrame, customers: DataFrame, products: DataFrame,
+def customer_behavior(purchases: DataFrame, preferences: DataFrame, customers: DataFrame,
                       as_of: dt.date, loaded_at: dt.datetime) -> DataFrame:
-    bought = purchase_behavior(orders, as_of)
-    liked = product_preferences(lines, products).select("customer_key", *_PREFERENCES)
+    bought = with_recency(purchases, as_of)
+    liked = preferences.select("customer_key", *_PREFERENCES)
     people = customers.select("customer_key", "customer_id", "customer_name", "region", "tenure_segment",
                               F.col("customer_segment").alias("demographic_segment"))
     rows = bought.join(people, "customer_key").join(liked, "customer_key", "left")
@@ -418,10 +423,10 @@ def product_rankings(detailed: DataFrame) -> DataFrame:
     return reduce(lambda left, right: left.join(right, key), ranked, detailed)
 
 
-def product_performance(lines: DataFrame, products: DataFrame, as_of: dt.date, loaded_at: dt.datetime) -> DataFrame:
-    ensure_checkpoint_dir(lines.sparkSession)
+def product_performance(sales: DataFrame, products: DataFrame, as_of: dt.date, loaded_at: dt.datetime) -> DataFrame:
+    ensure_checkpoint_dir(sales.sparkSession)
     # one row per sold product; stored because three ranking passes and the result read it
-    detailed = product_details(product_sales(lines), products, as_of).checkpoint()
+    detailed = product_details(sales, products, as_of).checkpoint()
     ranked = product_rankings(detailed)
     behavior = None
     for name, tenths, label in L.PURCHASE_BEHAVIOR:

@@ -69,7 +69,7 @@ QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "scd2_completion_speed": lambda w: lifecycle.completion_speed(w.fact_orders_scd2),
     "daily_status_population": lambda w: snapshot.daily_status_population(w.fact_orders_scd2, *w.calendar),
     "metric_daily_orders": lambda w: w.metric_daily_orders,
-    "daily_customer_activity": lambda w: metrics.daily_customer_activity(w.fact_orders, w.dim_customer),
+    "daily_customer_activity": lambda w: w.daily_customer_activity,
     "daily_customer_acquisition": lambda w: metrics.daily_customer_acquisition(w.dim_customer),
     "metric_daily_customers": lambda w: w.metric_daily_customers,
     "metric_daily_products": lambda w: w.metric_daily_products,
@@ -78,10 +78,10 @@ QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "order_trends_daily": lambda w: w.order_trends_daily,
     "order_trends_monthly": lambda w: analysis.order_trends_monthly(w.order_trends_daily),
     "order_trends": lambda w: w.analysis_order_trends,
-    "customer_purchase_behavior": lambda w: analysis.purchase_behavior(w.fact_orders, w.as_of),
-    "customer_product_preferences": lambda w: analysis.product_preferences(w.fact_order_line, w.product_links),
+    "customer_purchase_behavior": lambda w: analysis.with_recency(w.customer_purchases, w.as_of),
+    "customer_product_preferences": lambda w: w.customer_preferences,
     "customer_behavior": lambda w: w.analysis_customer_behavior,
-    "product_sales": lambda w: analysis.product_sales(w.fact_order_line),
+    "product_sales": lambda w: w.product_sales,
     "product_performance": lambda w: w.analysis_product_performance,
     "dq_report": lambda w: quality.report(stored_tables(w), SUITE, store=True),
 }

@@ -16,7 +16,8 @@ class Warehouse:
     """Tables are attributes; nothing runs until one is used.
 
     ``as_of`` stands for "today" everywhere and ``calendar`` is the date spine, end
-    exclusive.  A subclass may override an attribute to read a stored table instead.
+    exclusive.  ``pin`` puts a stored table in the place of a derived one, so that
+    everything built on it reads the storage.
     """
 
     def __init__(self, sources: Sources, as_of: dt.date, calendar: tuple[dt.date, dt.date],
@@ -25,6 +26,9 @@ class Warehouse:
         self.loaded_at = loaded_at or dt.datetime.combine(as_of, dt.time())
         self.lookups = sources.lookups
 
+    def pin(self, name: str, table: DataFrame) -> None:
+        self.__dict__[name] = table
+
     @property
     def spark(self) -> SparkSession:
         return self.sources.orders.sparkSession
@@ -39,7 +43,8 @@ class Warehouse:
     @cached_property
     def hot_orders(self) -> list:
         """Orders with so many status rows that one window task must not hold them."""
-        return heavy_keys(self.raw["raw_orders"], "order_id", self.hot_rows)
+        ids = self.sources.status_order_ids
+        return heavy_keys(self.raw["raw_orders"] if ids is None else ids, "order_id", self.hot_rows)
 
     @cached_property
     def hot_item_orders(self) -> list:
@@ -107,11 +112,14 @@ class Warehouse:
     def daily_order_state(self) -> DataFrame:
         return snapshot.daily_order_state(self.fact_orders_scd2, *self.calendar)
 
+    @cached_property
+    def daily_customer_activity(self) -> DataFrame:
+        return metrics.daily_customer_activity(self.fact_orders, self.dim_customer)
+
     @cached_property
     def daily_customer_base(self) -> DataFrame:
-        return metrics.daily_customer_base(
-            metrics.daily_customer_activity(self.fact_orders, self.dim_customer),
-            metrics.daily_customer_acquisition(self.dim_customer))
+        return metrics.daily_customer_base(self.daily_customer_activity,
+                                           metrics.daily_customer_acquisition(self.dim_customer))
 
     @cached_property
     def daily_product_base(self) -> DataFrame:
@@ -153,11 +161,23 @@ class Warehouse:
     def analysis_order_trends(self) -> DataFrame:
         return analysis.order_trends(self.order_trends_daily, self.loaded_at)
 
+    @cached_property
+    def customer_purchases(self) -> DataFrame:
+        return analysis.customer_purchases(self.fact_orders)
+
+    @cached_property
+    def customer_preferences(self) -> DataFrame:
+        return analysis.product_preferences(self.fact_order_line, self.product_links)
+
     @cached_property
     def analysis_customer_behavior(self) -> DataFrame:
-        return analysis.customer_behavior(self.fact_orders, self.fact_order_line, self.dim_customer,
-                                          self.product_links, self.as_of, self.loaded_at)
+        return analysis.customer_behavior(self.customer_purchases, self.customer_preferences, self.dim_customer,
+                                          self.as_of, self.loaded_at)
+
+    @cached_property
+    def product_sales(self) -> DataFrame:
+        return analysis.product_sales(self.fact_order_line)
 
     @cached_property
     def analysis_product_performance(self) -> DataFrame:
-        return analysis.product_performance(self.fact_order_line, self.dim_product, self.as_of, self.loaded_at)
+        return analysis.product_performance(self.product_sales, self.dim_product, self.as_of, self.loaded_at)

@@ -121,4 +121,5 @@ def star_schema_sources(spark: SparkSession, folder: str) -> Sources:
 
     return Sources(customers, products, order_log, order_items,
                    lookups=Lookups(country_region=country_region),
+                   status_order_ids=orders.select(k.cast("string").alias("order_id")),
                    item_order_ids=lineitem.select(F.col("l_orderkey").cast("string").alias("order_id")))

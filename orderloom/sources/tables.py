@@ -40,8 +40,8 @@ RAW_TABLES = {
 class Sources:
     """The four source tables and the lookups.
 
-    ``item_order_ids`` may give the order id of every item row more cheaply than
-    ``order_items`` does; it only feeds the search for oversized orders.
+    ``status_order_ids`` and ``item_order_ids`` may give the order ids of the status and
+    item rows more cheaply than the tables do; they only feed the search for oversized orders.
     """
 
     customers: DataFrame
@@ -49,6 +49,7 @@ class Sources:
     orders: DataFrame
     order_items: DataFrame
     lookups: Lookups = field(default_factory=Lookups)
+    status_order_ids: DataFrame | None = None
     item_order_ids: DataFrame | None = None
 
     def named(self) -> dict[str, DataFrame]:
