@@ -309,6 +309,11 @@ ORACLE["daily_status_population"] = compose("""
 SELECT day AS metric_date, order_status, count(*) AS orders, CAST(sum(order_amount) AS DOUBLE) / 100 AS amount
 FROM held GROUP BY ALL""", "held")
 
+# --- two loads give what one load gives ---------------------------------------------
+
+ORACLE["incremental_merge_orders"] = ORACLE["raw_orders"]
+ORACLE["scd2_incremental"] = ORACLE["fact_orders_scd2"]
+
 # --- source tables ------------------------------------------------------------------
 
 _COUNTED = {"source_customers": "people", "source_products": "goods", "source_orders": "log",

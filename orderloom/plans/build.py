@@ -10,6 +10,8 @@ more than one row per day, customer or product.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -34,12 +36,28 @@ RESULTS = ["metric_daily_orders", "metric_daily_customers", "metric_daily_produc
            "analysis_metrics_dashboard", "analysis_order_trends", "analysis_customer_behavior",
            "analysis_product_performance"]
 TABLES = DIMENSIONS + FACTS + BASES + RESULTS
+# Tables of one layer do not read each other, so their jobs may run side by side.
+LAYERS = [DIMENSIONS, FACTS, BASES, RESULTS[:3], RESULTS[3:]]
+SIDE_BY_SIDE = 4
 
 
 def _month(name: str) -> str | None:
     return "order_date" if name in FACTS else None
 
 
+def _each(names: Iterable[str], work: Callable[[str], DataFrame]) -> dict[str, DataFrame]:
+    names = list(names)
+    with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
+        return dict(zip(names, pool.map(work, names)))
+
+
+def _write_layer(w: Warehouse, store: Store, names: Iterable[str]) -> None:
+    """Write tables of one layer; later layers then read their stored form."""
+    written = _each(names, lambda name: store.write(getattr(w, name), name, month=_month(name)))
+    for name, table in written.items():
+        w.pin(name, table)
+
+
 def _stored_warehouse(store: Store, lookups: Lookups, as_of: dt.date, calendar, loaded_at) -> Warehouse:
     """Warehouse over the stored raw tables."""
     raw = {name: store.read(name) for name in RAW_TABLES}
@@ -53,11 +71,10 @@ def full_build(sources: Sources, store: Store, as_of: dt.date, calendar, loaded_
                tables: list[str] = TABLES) -> Warehouse:
     """Write the raw tables and ``tables`` in order; each is read back before the next uses it."""
     named = sources.named()
-    for name, (source, _, _) in RAW_TABLES.items():
-        store.write(raw_table(named[source], name), name, month="created_at")
+    _each(RAW_TABLES, lambda name: store.write(raw_table(named[RAW_TABLES[name][0]], name), name, "created_at"))
     w = _stored_warehouse(store, sources.lookups, as_of, calendar, loaded_at)
-    for name in [t for t in TABLES if t in tables]:
-        w.pin(name, store.write(getattr(w, name), name, month=_month(name)))
+    for layer in LAYERS:
+        _write_layer(w, store, [t for t in layer if t in tables])
     return w
 
 
@@ -96,18 +113,27 @@ def apply_changes(store: Store, changes: dict[str, DataFrame], lookups: Lookups,
                   loaded_at: dt.datetime | None = None, tables: list[str] = TABLES) -> Warehouse:
     """Upsert changed raw rows and bring ``tables`` up to date."""
     ensure_checkpoint_dir(store.spark)
-    fresh, replaced = {}, {}
-    for name, (_, key, _) in RAW_TABLES.items():
+    key_of = {name: key for name, (_, key, _) in RAW_TABLES.items()}
+
+    def newest(name: str) -> DataFrame:
+        if name not in changes:
+            return store.read(name).limit(0)
+        return newest_per_key(changes[name], [key_of[name]]).checkpoint()
+
+    def overwritten(name: str) -> DataFrame:
+        """Stored rows that the changes replace; fetched before they are gone."""
+        key, stored = key_of[name], store.read(name)
         if name not in changes:
-            fresh[name] = replaced[name] = store.read(name).limit(0)
-            continue
-        fresh[name] = newest_per_key(changes[name], [key]).checkpoint()
-        replaced[name] = store.read(name).join(fresh[name].select(key), key, "left_semi").checkpoint()
+            return stored.limit(0)
+        rows = stored.join(fresh[name].select(key), key, "left_semi").checkpoint()
         store.replace_keys(name, fresh[name], [key], month="created_at")
+        return rows
+
+    fresh = _each(RAW_TABLES, newest)
+    replaced = _each(RAW_TABLES, overwritten)
     old = {name: store.read(name) for name in DIMENSIONS if store.exists(name)}
     w = _stored_warehouse(store, lookups, as_of, calendar, loaded_at)
-    for name in [d for d in DIMENSIONS if d in tables]:
-        w.pin(name, store.write(getattr(w, name), name))
+    _write_layer(w, store, [d for d in DIMENSIONS if d in tables])
 
     # orders with a new status or item, or of a new customer or product
     orders, items = w.raw["raw_orders"], w.raw["raw_order_items"]
@@ -123,24 +149,25 @@ def apply_changes(store: Store, changes: dict[str, DataFrame], lookups: Lookups,
                      as_of, calendar, w.loaded_at)
     part.pin("raw", {**w.raw, "raw_orders": orders.join(touched, "order_id", "left_semi"),
                      "raw_order_items": items.join(touched, "order_id", "left_semi")})
-    before = {name: store.read(name).join(touched, "order_id", "left_semi").checkpoint()
-              for name in FACTS if name in tables}
-    after = {name: getattr(part, name).checkpoint() for name in before}
-    for name, rows in after.items():
-        w.pin(name, store.replace_keys(name, rows, ["order_id"], "order_date", touched))
-
-    _update_order_state(w, store, status_rows, reshaped, tables)
-    _update_bases(w, store, before, after, old, tables)
-    for name in [r for r in RESULTS if r in tables]:
-        w.pin(name, store.write(getattr(w, name), name))
+    wanted = [f for f in FACTS if f in tables]
+    before = _each(wanted, lambda name: store.read(name).join(touched, "order_id", "left_semi").checkpoint())
+    after = _each(wanted, lambda name: getattr(part, name).checkpoint())
+    for name, table in _each(wanted, lambda name: store.replace_keys(
+            name, after[name], ["order_id"], "order_date", touched)).items():
+        w.pin(name, table)
+
+    updates = {"daily_order_state": lambda: _order_state(w, store, status_rows, reshaped),
+               **_base_updates(w, store, before, after, old, tables)}
+    for name, table in _each([b for b in BASES if b in tables], lambda name: updates[name]()).items():
+        w.pin(name, table)
+    for layer in LAYERS[3:]:
+        _write_layer(w, store, [t for t in layer if t in tables])
     return w
 
 
-def _update_order_state(w: Warehouse, store: Store, status_rows: DataFrame, reshaped: DataFrame, tables) -> None:
+def _order_state(w: Warehouse, store: Store, status_rows: DataFrame, reshaped: DataFrame) -> DataFrame:
     """Recompute the snapshot from the first day a change can be seen on."""
     name = "daily_order_state"
-    if name not in tables:
-        return
     start, end = w.calendar
     stored = store.read(name)
     starts = status_rows.select("created_at").unionByName(
@@ -150,71 +177,63 @@ def _update_order_state(w: Warehouse, store: Store, status_rows: DataFrame, resh
     if last and last + dt.timedelta(days=1) < end:
         days.append(last + dt.timedelta(days=1))  # the calendar may have grown
     if not days or min(days) >= end:
-        w.pin(name, stored)
-        return
+        return stored
     first_day = max(start, min(days))
     kept = stored.where((F.col("day") < F.lit(first_day)) & (F.col("day") >= F.lit(start)))
     rest = snapshot.daily_order_state(w.fact_orders_scd2, first_day, end)
-    w.pin(name, store.write(kept.unionByName(rest), name))
-
-
-def _update_bases(w: Warehouse, store: Store, before: dict, after: dict, old: dict, tables) -> None:
-    customers = products = None
-    if "dim_customer" in old and "dim_customer" in tables:
-        customers = _changed_attributes(old["dim_customer"], w.dim_customer, "customer_key",
-                                        ["customer_segment", "region"]).checkpoint()
-    if "dim_product" in old and "dim_product" in tables:
-        products = _changed_attributes(old["dim_product"], w.dim_product, "product_key",
-                                       ["category", "category_group", "price_tier", "is_limited_edition"]).checkpoint()
-
-    def touched(fact: str, *columns) -> list[DataFrame]:
-        return [frame[fact].select(*columns) for frame in (before, after) if fact in frame]
-
-    def keys(fact: str, column: str, dimension: DataFrame | None, dimension_key: str) -> DataFrame:
-        """Keys of changed facts and of facts whose dimension attributes changed."""
-        frames = [f.select(column) for f in touched(fact, column)]
-        if dimension is not None:
-            frames.append(getattr(w, fact).join(dimension, dimension_key, "left_semi").select(column))
-        return _ids(*frames)
-
-    def days(fact: str, dimension: DataFrame | None, dimension_key: str) -> list:
-        found = keys(fact, "order_date_key", dimension, dimension_key)
-        return [r[0] for r in found.collect()]  # calendar days: a short list
-
-    plans = {
-        "daily_customer_activity": ("fact_orders", customers, "customer_key",
-                                    lambda f: metrics.daily_customer_activity(f, w.dim_customer)),
-        "order_trend_base": ("fact_orders", None, "", analysis.order_trend_base),
-        "daily_product_base": ("fact_order_line", products, "product_key",
-                               lambda f: metrics.daily_product_base(f, w.product_links)),
-    }
-    for name, (fact, dimension, dimension_key, compute) in plans.items():
-        if name not in tables:
-            continue
-        numbers = days(fact, dimension, dimension_key)
-        dates = [dt.datetime.strptime(str(n), "%Y%m%d").date() for n in numbers]
-        if not dates:
-            w.pin(name, store.read(name))
-            continue
-        months = sorted({d.year * 100 + d.month for d in dates})
+    return store.write(kept.unionByName(rest), name)
+
+
+def _base_updates(w: Warehouse, store: Store, before: dict, after: dict, old: dict, tables) -> dict[str, Callable]:
+    """How to bring each per-day and per-key base up to date."""
+    def changed_members(dimension: str, key: str, columns: list[str]) -> DataFrame | None:
+        if dimension not in old or dimension not in tables:
+            return None
+        return _changed_attributes(old[dimension], getattr(w, dimension), key, columns).checkpoint()
+
+    customers = changed_members("dim_customer", "customer_key", ["customer_segment", "region"])
+    products = changed_members("dim_product", "product_key",
+                               ["category", "category_group", "price_tier", "is_limited_edition"])
+
+    def keys(fact: str, column: str, members: DataFrame | None = None, member_key: str = "") -> DataFrame:
+        """Keys of changed facts, and of facts whose customer or product changed."""
+        frames = [frame[fact].select(column) for frame in (before, after)]
+        if members is not None:
+            frames.append(getattr(w, fact).join(members, member_key, "left_semi").select(column))
+        return _ids(*frames).dropna()
+
+    def per_day(name: str, fact: str, compute, *members) -> DataFrame:
+        numbers = [r[0] for r in keys(fact, "order_date_key", *members).collect()]  # calendar days: a short list
+        if not numbers:
+            return store.read(name)
+        months = sorted({n // 100 for n in numbers})
         rows = store.read_with_month(fact).where(F.col(MONTH).isin(*months)).drop(MONTH)  # prunes partitions
         rows = rows.where(F.col("order_date_key").isin(*numbers))
+        dates = [(dt.datetime.strptime(str(n), "%Y%m%d").date(),) for n in numbers]
         day = DAY_BASES[name]
-        changed = store.spark.createDataFrame([(d,) for d in dates], f"{day} date")
-        w.pin(name, store.replace_keys(name, compute(rows), [day], changed=changed))
-
-    plans = {
-        "customer_purchases": ("fact_orders", None, analysis.customer_purchases),
-        "customer_preferences": ("fact_order_line", products,
-                                 lambda f: analysis.product_preferences(f, w.product_links)),
-        "product_sales": ("fact_order_line", None, analysis.product_sales),
+        return store.replace_keys(name, compute(rows), [day],
+                                  changed=store.spark.createDataFrame(dates, f"{day} date"))
+
+    def per_key(name: str, fact: str, compute, *members) -> DataFrame:
+        key = KEY_BASES[name]
+        changed = keys(fact, key, *members)
+        rows = getattr(w, fact).join(changed, key, "left_semi")
+        return store.replace_keys(name, compute(rows), [key], changed=changed)
+
+    return {
+        "daily_customer_activity": lambda: per_day(
+            "daily_customer_activity", "fact_orders",
+            lambda f: metrics.daily_customer_activity(f, w.dim_customer), customers, "customer_key"),
+        "order_trend_base": lambda: per_day("order_trend_base", "fact_orders", analysis.order_trend_base),
+        "daily_product_base": lambda: per_day(
+            "daily_product_base", "fact_order_line",
+            lambda f: metrics.daily_product_base(f, w.product_links), products, "product_key"),
+        "customer_purchases": lambda: per_key("customer_purchases", "fact_orders", analysis.customer_purchases),
+        "customer_preferences": lambda: per_key(
+            "customer_preferences", "fact_order_line",
+            lambda f: analysis.product_preferences(f, w.product_links), products, "product_key"),
+        "product_sales": lambda: per_key("product_sales", "fact_order_line", analysis.product_sales),
     }
-    for name, (fact, dimension, compute) in plans.items():
-        if name in tables:
-            key = KEY_BASES[name]
-            changed = keys(fact, key, dimension, "product_key").dropna()
-            rows = getattr(w, fact).join(changed, key, "left_semi")
-            w.pin(name, store.replace_keys(name, compute(rows), [key], changed=changed))
 
 
 def incremental_build(sources: Sources, store: Store, as_of: dt.date, calendar, loaded_at: dt.datetime | None = None,
