@@ -38,7 +38,7 @@ RESULTS = ["metric_daily_orders", "metric_daily_customers", "metric_daily_produc
 TABLES = DIMENSIONS + FACTS + BASES + RESULTS
 # Tables of one layer do not read each other, so their jobs may run side by side.
 LAYERS = [DIMENSIONS, FACTS, BASES, RESULTS[:3], RESULTS[3:]]
-SIDE_BY_SIDE = 4
+SIDE_BY_SIDE = 8
 
 
 def _month(name: str) -> str | None:

@@ -18,8 +18,8 @@ CALENDAR = (dt.date(2024, 1, 1), dt.date(2024, 4, 1))
 @pytest.fixture(scope="session")
 def spark():
     session = build_session("tests", "local[8]", **{
-        "spark.sql.shuffle.partitions": "4", "spark.default.parallelism": "2", "spark.driver.memory": "6g", "spark.ui.enabled": "false",
-        "spark.ui.showConsoleProgress": "false"})
+        "spark.sql.shuffle.partitions": "4", "spark.default.parallelism": "2", "spark.driver.memory": "6g",
+        "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
     session.sparkContext.setLogLevel("ERROR")
     return session
 
