@@ -75,14 +75,27 @@ def padded_day_name(day: str | Column) -> Column:
     return F.rpad(name_of(dow0(day), L.DAY_NAMES), L.NAME_WIDTH, " ")
 
 
-def day_literal(day: dt.date) -> Column:
-    return F.lit(day)
+def moment(value: dt.datetime | dt.date) -> Column:
+    """Timestamp literal without a zone; a plain literal would be shifted by the session's zone."""
+    if not isinstance(value, dt.datetime):
+        value = dt.datetime.combine(value, dt.time())
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
+def days_between(start: str | Column, end: str | Column) -> Column:
+    """Whole days that have passed between two timestamps without a zone."""
+    return F.extract(F.lit("DAY"), col(end) - col(start)).cast("bigint")
 
 
 def hours_between(start: str | Column, end: str | Column) -> Column:
-    """Exact hours between two timestamps, as a decimal."""
-    micros = F.timestamp_diff("MICROSECOND", col(start), col(end))
-    return (micros.cast("decimal(20,0)") / F.lit(Decimal(3_600_000_000))).cast(AVERAGE)
+    """Exact hours between two timestamps without a zone, as a decimal."""
+    span = col(end) - col(start)
+
+    def part(unit: str) -> Column:
+        return F.extract(F.lit(unit), span).cast("decimal(18,6)")
+
+    seconds = part("DAY") * 86400 + part("HOUR") * 3600 + part("MINUTE") * 60 + part("SECOND")
+    return (seconds.cast("decimal(20,6)") / F.lit(Decimal(3600))).cast(AVERAGE)
 
 
 # --- labels ------------------------------------------------------------------------

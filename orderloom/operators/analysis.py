@@ -10,16 +10,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from orderloom.functions import labels as L
-from orderloom.functions.columns import (AVERAGE, MONEY, by_rules, count_if, dow0, ladder, mean, mean_over, name_of,
-                                         ntile_of, pct, ratio, season, sum_if, weekend_label, year_month, zero)
+from orderloom.functions.columns import (AVERAGE, MONEY, by_rules, count_if, days_between, dow0, ladder, mean,
+                                         mean_over, moment, name_of, ntile_of, pct, ratio, season, sum_if, weekend_label,
+                                         year_month, zero)
 from orderloom.operators.ranking import rank_rows
 from orderloom.session import ensure_checkpoint_dir
 
 
-def _stamp(loaded_at: dt.datetime):
-    return F.lit(loaded_at).cast("timestamp_ntz")
-
-
 # --- dashboard ----------------------------------------------------------------------
 
 # daily table -> {dashboard column: daily column}
@@ -118,7 +115,7 @@ def metrics_dashboard(orders: DataFrame, customers: DataFrame, products: DataFra
     dated = scored.withColumns({
         "date_key": F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day), "year_month": year_month(day),
         "metric_year": F.year(day), "metric_month": F.month(day)})
-    return dated.select(*DASHBOARD_COLUMNS, _stamp(loaded_at).alias("analysis_updated_at"))
+    return dated.select(*DASHBOARD_COLUMNS, moment(loaded_at).alias("analysis_updated_at"))
 
 
 # --- order trends -------------------------------------------------------------------
@@ -208,7 +205,7 @@ def order_trends(daily: DataFrame, loaded_at: dt.datetime) -> DataFrame:
     by_month = order_trends_monthly(daily).drop("prev_period_orders").withColumns({
         "period_type": F.lit("Monthly"), "seasonality_pattern": F.lit("Monthly")})
     return by_day.unionByName(by_month, allowMissingColumns=True).withColumn(
-        "analysis_updated_at", _stamp(loaded_at))
+        "analysis_updated_at", moment(loaded_at))
 
 
 # --- customer behaviour -------------------------------------------------------------
@@ -230,7 +227,7 @@ def customer_purchases(orders: DataFrame) -> DataFrame:
         F.sum("orders").alias("total_orders"), F.sum("completed").alias("completed_orders"),
         F.count(F.lit(1)).alias("active_months"),
         F.min("first_at").alias("first_purchase_date"), F.max("last_at").alias("last_purchase_date"),
-        F.timestamp_diff("DAY", F.min("first_at"), F.max("last_at")).alias("customer_lifespan_days"),
+        days_between(F.min("first_at"), F.max("last_at")).alias("customer_lifespan_days"),
         F.sum("amount").cast(MONEY).alias("total_spent"),
         F.sum("completed_amount").cast(MONEY).alias("total_completed_spent"),
         (F.sum("amount").cast(AVERAGE) / F.nullif(F.sum("amounts"), F.lit(0))).cast(AVERAGE).alias("avg_order_value"),
@@ -243,9 +240,8 @@ def customer_purchases(orders: DataFrame) -> DataFrame:
 
 
 def with_recency(purchases: DataFrame, as_of: dt.date) -> DataFrame:
-    midnight = F.lit(dt.datetime.combine(as_of, dt.time())).cast("timestamp_ntz")
     after = purchases.columns.index("customer_lifespan_days") + 1
-    days = F.timestamp_diff("DAY", "last_purchase_date", midnight).alias("days_since_last_purchase")
+    days = days_between("last_purchase_date", moment(as_of)).alias("days_since_last_purchase")
     return purchases.select(*purchases.columns[:after], days, *purchases.columns[after:])
 
 
@@ -332,7 +328,7 @@ def customer_behavior(purchases: DataFrame, preferences: DataFrame, customers: D
         "premium_preference_pct", "behavioral_segment", "purchase_pattern", "engagement_level", "value_tier",
         "timing_preference", "price_sensitivity", "seasonal_preference", "customer_name", "region",
         "tenure_segment", "demographic_segment", "marketing_persona", "churn_risk",
-        _stamp(loaded_at).alias("analysis_updated_at"))
+        moment(loaded_at).alias("analysis_updated_at"))
 
 
 # --- product performance ------------------------------------------------------------
@@ -439,4 +435,4 @@ def product_performance(sales: DataFrame, products: DataFrame, as_of: dt.date, l
         "lifecycle_stage": ladder("days_since_launch", L.LIFECYCLE, L.LIFECYCLE_REST, "<="),
         "pricing_strategy": ladder("price_realization_pct", L.PRICING_STRATEGY, L.PRICING_STRATEGY_REST),
         "purchase_behavior": behavior.otherwise(L.PURCHASE_BEHAVIOR_REST),
-        "analysis_updated_at": _stamp(loaded_at)})
+        "analysis_updated_at": moment(loaded_at)})

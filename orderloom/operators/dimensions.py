@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.functions import labels as L
-from orderloom.functions.columns import (by_rules, date_key, dow0, is_true, ladder, name_of, ntile_of,
+from orderloom.functions.columns import (by_rules, date_key, dow0, is_true, ladder, moment, name_of, ntile_of,
                                          padded_day_name, season, surrogate_key, year_month)
 from orderloom.operators.ranking import rank_rows
 
@@ -84,8 +84,8 @@ def dim_customer(staged: DataFrame, loaded_at: dt.datetime) -> DataFrame:
         segment.alias("customer_segment"),
         is_true(tenure >= 0).alias("is_current_customer"),
         ladder(tenure, L.CHURN_BY_TENURE, "Low Risk", "<").alias("churn_risk_segment"),
-        F.lit(loaded_at).cast("timestamp_ntz").alias("created_at_dim"),
-        F.lit(loaded_at).cast("timestamp_ntz").alias("updated_at_dim"))
+        moment(loaded_at).alias("created_at_dim"),
+        moment(loaded_at).alias("updated_at_dim"))
 
 
 def product_price_bands(staged: DataFrame) -> DataFrame:
@@ -108,7 +108,7 @@ def product_price_bands(staged: DataFrame) -> DataFrame:
 
 def product_attributes(staged: DataFrame, loaded_at: dt.datetime) -> DataFrame:
     """The row-local columns of the product dimension: keys and attributes without price bands."""
-    stamp = F.lit(loaded_at).cast("timestamp_ntz")
+    stamp = moment(loaded_at)
     return staged.select(
         surrogate_key("id").alias("product_key"), F.col("id").alias("product_id"),
         F.col("name").alias("product_name"), *[c for c in staged.columns if c not in ("id", "name")],

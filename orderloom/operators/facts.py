@@ -11,7 +11,7 @@ from pyspark.sql.window import Window as W
 
 from orderloom.functions import labels as L
 from orderloom.functions.columns import (AVERAGE, MONEY, by_rules, date_key, day_part, dow0, hours_between, is_true,
-                                         ladder, mean, surrogate_key, weekend_label, zero)
+                                         ladder, mean, moment, surrogate_key, weekend_label, zero)
 from orderloom.operators.ranking import sequence_rows
 
 
@@ -87,7 +87,7 @@ _PER_UNIT = ["avg_amount_per_line", "avg_amount_per_item"]
 
 
 def _stamps(loaded_at: dt.datetime):
-    stamp = F.lit(loaded_at).cast("timestamp_ntz")
+    stamp = moment(loaded_at)
     return [stamp.alias("fact_created_at"), stamp.alias("fact_updated_at")]
 
 

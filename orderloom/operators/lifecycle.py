@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.functions import labels as L
-from orderloom.functions.columns import ladder, mean
+from orderloom.functions.columns import ladder, mean, moment
 
 ARROW = " → "
 
@@ -43,7 +43,7 @@ def status_dwell(history: DataFrame) -> DataFrame:
 
 
 def daily_changes(history: DataFrame, as_of: dt.date, days: int = 30) -> DataFrame:
-    since = F.lit(dt.datetime.combine(as_of, dt.time()) - dt.timedelta(days=days)).cast("timestamp_ntz")
+    since = moment(as_of - dt.timedelta(days=days))
     return (history.where(F.col("status_effective_date") >= since)
             .groupBy(F.to_date("status_effective_date").alias("change_date"), "order_status")
             .agg(F.count(F.lit(1)).alias("status_changes"),

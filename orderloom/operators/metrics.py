@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from orderloom.functions import labels as L
-from orderloom.functions.columns import (AVERAGE, MONEY, RATE, count_if, date_key, dow0, mean_over, padded_day_name,
-                                         pct, ratio, rounded_mean_over, sum_if, weekend_label, year_month, zero)
+from orderloom.functions.columns import (AVERAGE, MONEY, RATE, count_if, date_key, dow0, mean_over, moment,
+                                         padded_day_name, pct, ratio, rounded_mean_over, sum_if, weekend_label,
+                                         year_month, zero)
 from orderloom.operators.snapshot import daily_statistics
 
 WEEK = (-6, 0)
@@ -25,10 +26,6 @@ def _slug(label: str) -> str:
     return label.lower().replace("-", "")
 
 
-def _stamp(loaded_at: dt.datetime):
-    return F.lit(loaded_at).cast("timestamp_ntz")
-
-
 def _divide(total: str, count: str):
     n = F.col(count)
     return (F.col(total).cast(AVERAGE) / F.when(n > 0, n)).cast(AVERAGE)
@@ -85,7 +82,7 @@ def metric_daily_orders(state: DataFrame, loaded_at: dt.datetime) -> DataFrame:
     return base.withColumns({
         **{name: rounded_mean_over(c, week) for name, c in averages.items()},
         **{name: F.coalesce(F.col(c) - F.lag(c).over(by_day), F.lit(0)) for name, c in changes.items()},
-        "metrics_updated_at": _stamp(loaded_at)})
+        "metrics_updated_at": moment(loaded_at)})
 
 
 # --- customers ----------------------------------------------------------------------
@@ -172,7 +169,7 @@ def metric_daily_customers(base: DataFrame, loaded_at: dt.datetime) -> DataFrame
         "avg_customer_spend_7d": mean_over("total_customer_spend", week),
         "prev_day_active_customers": F.lag("active_customers").over(by_day),
         "prev_day_new_customers": F.lag("new_customers_acquired").over(by_day),
-        "metrics_updated_at": _stamp(loaded_at)})
+        "metrics_updated_at": moment(loaded_at)})
 
 
 # --- products -----------------------------------------------------------------------
@@ -246,7 +243,7 @@ def metric_daily_products(base: DataFrame, loaded_at: dt.datetime) -> DataFrame:
         # "week over week" looks seven rows back, not seven days
         "wow_revenue": F.lag(revenue, 7).over(by_day),
         "wow_unique_products": F.lag("unique_products_sold", 7).over(by_day),
-        "metrics_updated_at": _stamp(loaded_at)})
+        "metrics_updated_at": moment(loaded_at)})
 
 
 # --- long table ---------------------------------------------------------------------
@@ -259,7 +256,8 @@ def daily_metrics(orders: DataFrame, products: DataFrame, customers: DataFrame,
     tall = None
     for domain, frame in frames.items():
         names = [metric for d, metric, _, _ in catalogue if d == domain]
-        values = frame.select("date_key", "metric_date", "year_month", *[F.col(n).cast(AVERAGE).alias(n) for n in names])
+        values = frame.select("date_key", "metric_date", "year_month",
+                              *[F.col(n).cast(AVERAGE).alias(n) for n in names])
         one = (values.unpivot(["date_key", "metric_date", "year_month"], names, "metric_name", "metric_value")
                .withColumn("metric_domain", F.lit(domain)))
         tall = one if tall is None else tall.unionByName(one)
@@ -269,4 +267,4 @@ def daily_metrics(orders: DataFrame, products: DataFrame, customers: DataFrame,
     return tall.where(F.col("metric_value").isNotNull()).join(kinds, ["metric_domain", "metric_name"]).select(
         "date_key", "metric_date", F.year("metric_date").alias("year"), F.month("metric_date").alias("month"),
         F.quarter("metric_date").alias("quarter"), "year_month", "metric_domain", "metric_name", "metric_value",
-        "dimension_type", "dimension_value", _stamp(loaded_at).alias("created_at"))
+        "dimension_type", "dimension_value", moment(loaded_at).alias("created_at"))

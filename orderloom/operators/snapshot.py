@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from orderloom.functions import labels as L
-from orderloom.functions.columns import AVERAGE, MONEY
+from orderloom.functions.columns import AVERAGE, MONEY, moment
 from orderloom.operators.dimensions import date_spine
 from orderloom.session import ensure_checkpoint_dir
 
@@ -36,8 +36,8 @@ def status_intervals(history: DataFrame, start: dt.date, end: dt.date) -> DataFr
     begins, ends = F.to_date("status_effective_date"), F.to_date("status_end_date")
     from_day = F.greatest(begins, F.lit(start))
     to_day = F.least(F.coalesce(ends, F.lit(end)), F.lit(end))
-    window_end = F.lit(dt.datetime.combine(end, dt.time())).cast("timestamp_ntz")
-    window_start = F.lit(dt.datetime.combine(start, dt.time())).cast("timestamp_ntz")
+    window_end = moment(end)
+    window_start = moment(start)
     visible = (F.col("status_effective_date") < window_end) & (
         F.col("status_end_date").isNull() | (F.col("status_end_date") >= window_start))
     return history.where(visible).select(

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from orderloom.functions.columns import moment
 from orderloom.operators import analysis, metrics, snapshot
 from orderloom.plans.warehouse import Warehouse
 from orderloom.session import ensure_checkpoint_dir
@@ -88,7 +89,7 @@ def rows_after_watermark(source: DataFrame, target: DataFrame, column: str = "cr
     newest = target.agg(F.max(column)).first()[0]
     if newest is None:
         return source
-    return source.where(F.col(column) > F.lit(newest - lookback).cast("timestamp_ntz"))
+    return source.where(F.col(column) > moment(newest - lookback))
 
 
 def newest_per_key(rows: DataFrame, keys: list[str], column: str = "created_at") -> DataFrame:

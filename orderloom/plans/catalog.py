@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orderloom.functions.columns import moment
 from orderloom.operators import analysis, dimensions, facts, lifecycle, metrics, quality, snapshot
 from orderloom.plans.build import full_build, incremental_build
 from orderloom.plans.expectations import SUITE
@@ -47,8 +48,8 @@ def stored_tables(w: Warehouse) -> dict[str, DataFrame]:
 
 
 # What product and day reports read of an order line.
-LINE_COLUMNS = ["product_key", "product_id", "order_key", "customer_key", "order_date_key", "order_date", "order_status",
-                "quantity", "unit_price", "line_total", "item_sequence", "is_first_line_item", "quantity_category",
+LINE_COLUMNS = ["product_key", "product_id", "order_key", "customer_key", "order_date_key", "order_date",
+                "order_status", "quantity", "unit_price", "line_total", "item_sequence", "is_first_line_item", "quantity_category",
                 "line_importance", "line_percentage_of_order"]
 
 
@@ -74,7 +75,7 @@ def _quality(w: Warehouse) -> DataFrame:
 def loaded_in_two_runs(w: Warehouse, tables: list[str], split: dt.datetime = dt.datetime(2000, 7, 1)) -> Store:
     """Store built from the rows up to ``split`` and then brought up to date with all rows."""
     store = Store(w.spark, f"{ensure_checkpoint_dir(w.spark)}/store-{uuid.uuid4().hex}")
-    early = F.col("created_at") <= F.lit(split).cast("timestamp_ntz")
+    early = F.col("created_at") <= moment(split)
     s = w.sources
     first = replace(s, customers=s.customers.where(early), products=s.products.where(early),
                     orders=s.orders.where(early), order_items=s.order_items.where(early))

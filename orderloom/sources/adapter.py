@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.functions import labels as L
+from orderloom.functions.columns import moment
 from orderloom.sources.lookups import Lookups
 from orderloom.sources.tables import Sources
 
@@ -76,7 +77,7 @@ def star_schema_sources(spark: SparkSession, folder: str) -> Sources:
                  F.when(key % 5 == 0, " signature").otherwise("")).alias("name"),
         _pick(key % 20, CATEGORIES).alias("category"),
         price.alias("price"),
-        F.lit(PRODUCT_CREATED).cast("timestamp_ntz").alias("created_at"))
+        moment(PRODUCT_CREATED).alias("created_at"))
 
     ordered_at = F.col("o_orderdate") + F.make_dt_interval(
         hours=(F.col("o_orderkey") % 24).cast("int"))

@@ -5,8 +5,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from orderloom.functions import labels as L
-from orderloom.functions.columns import (by_rules, date_key, day_part, dow0, first_keyword, first_range, hours_between,
-                                         ladder, mean, ntile_of, pct, ratio, season, surrogate_key)
+from orderloom.functions.columns import (by_rules, date_key, day_part, days_between, dow0, first_keyword, first_range,
+                                         hours_between, ladder, mean, moment, ntile_of, pct, ratio, season, surrogate_key)
 from orderloom.sources.lookups import COLLECTION_KEYWORDS, COUNTRY_REGIONS, PRICE_TIERS, Lookups, parse_groups
 
 
@@ -23,6 +23,20 @@ def test_dates(spark):
                    "hours": Decimal("25.5")}
 
 
+def test_times_do_not_depend_on_the_session_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        # clocks change on 2024-03-10 there
+        start, end = moment(dt.datetime(2024, 3, 9, 12)), moment(dt.datetime(2024, 3, 10, 11, 59))
+        row = one(spark, start=start, hours=hours_between(start, end), days=days_between(start, end),
+                  midnight=moment(dt.date(2024, 3, 10)), open=hours_between(start, F.lit(None).cast("timestamp_ntz")))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert row == {"start": dt.datetime(2024, 3, 9, 12), "hours": Decimal("23.98333333"), "days": 0,
+                   "midnight": dt.datetime(2024, 3, 10), "open": None}
+
+
 def test_day_parts(spark):
     hours = spark.range(24).select("id", day_part(F.col("id")).alias("part")).collect()
     parts = [r.part for r in hours]
