@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderloom.llm import chat, mixing
+from orderloom.llm import chat, mixing, simhash
 from orderloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.simhash_groups(table(spark, folder, "documents"))
+
+
 def op7_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     events = chat.message_events(rows.unionByName(chat.probe(spark)))
@@ -23,11 +27,13 @@ def op8_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_simhash": op1_simhash,
     "op7_chat_format": op7_chat_format,
     "op8_mix_sources": op8_mix_sources,
 }
 
 ORACLE: dict[str, str] = {
+    "op1_simhash": op1_simhash,
     "op7_chat_format": r"""
 WITH rows_ AS (
   SELECT conv_id, turn, role, coalesce(text, '') AS t FROM conversations
