@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from orderloom.llm import chat, mixing, simhash
+from orderloom.llm import chat, mixing, simhash, toxicity
 from orderloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +17,13 @@ def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, folder, "documents"))
 
 
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, fold = table(spark, folder, "documents"), toxicity.held_out(F.col("doc_id"), 5, 0)
+    model = toxicity.train(docs, table(spark, folder, "labels"), ~fold)
+    scored = toxicity.score(docs.select("doc_id", fold.alias("held_out"), "text"), model)
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op7_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     events = chat.message_events(rows.unionByName(chat.probe(spark)))
@@ -28,6 +36,7 @@ def op8_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
+    "op2_toxicity": op2_toxicity,
     "op7_chat_format": op7_chat_format,
     "op8_mix_sources": op8_mix_sources,
 }
