@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import chat, mixing, simhash, toxicity
+from orderloom.llm import chat, mixing, simhash, tiling, toxicity
 from orderloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,10 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return tiling.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op7_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     events = chat.message_events(rows.unionByName(chat.probe(spark)))
@@ -37,6 +41,7 @@ def op8_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_toxicity": op2_toxicity,
+    "op6_decontaminate": op6_decontaminate,
     "op7_chat_format": op7_chat_format,
     "op8_mix_sources": op8_mix_sources,
 }
