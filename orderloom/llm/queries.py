@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import chat, mixing, simhash, tiling, toxicity
+from orderloom.llm import chat, mixing, repeats, simhash, tiling, toxicity
 from orderloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,12 +38,17 @@ def op8_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
 
 
+def op9_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.repeat_report(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_toxicity": op2_toxicity,
     "op6_decontaminate": op6_decontaminate,
     "op7_chat_format": op7_chat_format,
     "op8_mix_sources": op8_mix_sources,
+    "op9_repeats": op9_repeats,
 }
 
 ORACLE: dict[str, str] = {
