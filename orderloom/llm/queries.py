@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import chat, mixing, repeats, simhash, tiling, toxicity
+from orderloom.llm import chat, mixing, quality_crf, repeats, simhash, tiling, toxicity
 from orderloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,13 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs, fold = table(spark, folder, "documents"), toxicity.held_out(F.col("doc_id"), 3, 1)
+    model = quality_crf.train(docs, table(spark, folder, "labels"), ~fold)
+    scored = quality_crf.score(docs.select("doc_id", fold.alias("held_out"), "text"), model)
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return tiling.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -45,6 +52,7 @@ def op9_repeats(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_toxicity": op2_toxicity,
+    "op4_quality": op4_quality,
     "op6_decontaminate": op6_decontaminate,
     "op7_chat_format": op7_chat_format,
     "op8_mix_sources": op8_mix_sources,
