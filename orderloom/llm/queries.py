@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import chat, mixing, quality_crf, repeats, simhash, tiling, toxicity
+from orderloom.llm import chat, lsh, mixing, quality_crf, repeats, simhash, tiling, toxicity
 from orderloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,10 @@ def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op5_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    return lsh.nearest(table(spark, folder, "embeddings"), asks=F.col("vec_id") % 20 == 0)
+
+
 def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return tiling.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -53,6 +57,7 @@ QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_toxicity": op2_toxicity,
     "op4_quality": op4_quality,
+    "op5_nearest": op5_nearest,
     "op6_decontaminate": op6_decontaminate,
     "op7_chat_format": op7_chat_format,
     "op8_mix_sources": op8_mix_sources,
