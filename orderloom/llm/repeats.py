@@ -30,6 +30,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -491,15 +492,12 @@ def repeat_report(docs: DataFrame, key: str = "doc_id", text: str = "text", leng
 def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH,
                     part_bytes: int = PART_BYTES) -> DataFrame:
     """``docs`` with repeated strings cut out of the text; characters that a cut splits go as a whole."""
-    import pandas as pd
-
     rows = _with_starts(docs, key, text, length, part_bytes)
 
     @F.pandas_udf("string")
-    def cut(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for data, ats in batches:
-            yield pd.Series([kept_bytes(bytes(d), np.asarray(a), length)[0].decode("utf-8", "ignore") for d, a in zip(data, ats)],
-                            dtype=object)
+    def cut(data: pd.Series, ats: pd.Series) -> pd.Series:
+        return pd.Series([kept_bytes(bytes(d), np.asarray(a), length)[0].decode("utf-8", "ignore") for d, a in zip(data, ats)],
+                         dtype=object)
 
     # Untouched texts, nulls among them, do not pass through Python.
     touched = rows.where(F.col("ats").isNotNull()).withColumn(text, cut("bytes", "ats"))

@@ -24,7 +24,9 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -252,13 +254,13 @@ def clean(docs: DataFrame, benchmark: DataFrame, seed: int = SEED_WORDS, coverag
     """The documents, all columns and repeated rows kept, that cover no benchmark item enough."""
     out = docs
     for part in _slices(benchmark, item_text, item_text, seed, slice_words):
-        shared = docs.sparkSession.sparkContext.broadcast(part)
+        out = out.where(~_covers(docs.sparkSession.sparkContext.broadcast(part), coverage)(F.col(text)))
+    return out
 
-        @F.pandas_udf("boolean")
-        def hit(batches: Iterator, shared=shared) -> Iterator:
-            import pandas as pd
-            for texts in batches:
-                yield pd.Series([bool(matches(t, shared.value, coverage)) for t in texts], dtype=bool)
 
-        out = out.where(~hit(F.col(text)))
-    return out
+def _covers(shared: Broadcast, coverage: float):
+    @F.pandas_udf("boolean")
+    def covers(texts: pd.Series) -> pd.Series:
+        return pd.Series([bool(matches(t, shared.value, coverage)) for t in texts], dtype=bool)
+
+    return covers
