@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import chat, lsh, mixing, quality_crf, repeats, simhash, tiling, toxicity
+from orderloom.llm import chat, lsh, mixing, quality_crf, repeats, simhash, tiling, toxicity, warc
 from orderloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,10 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.round_trip(table(spark, folder, "pages"))
+
+
 def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs, fold = table(spark, folder, "documents"), toxicity.held_out(F.col("doc_id"), 3, 1)
     model = quality_crf.train(docs, table(spark, folder, "labels"), ~fold)
@@ -56,6 +60,7 @@ def op9_repeats(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_toxicity": op2_toxicity,
+    "op3_warc": op3_warc,
     "op4_quality": op4_quality,
     "op5_nearest": op5_nearest,
     "op6_decontaminate": op6_decontaminate,
@@ -65,6 +70,14 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op3_warc": """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS digest FROM pages),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY digest) AS lead FROM p)
+SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
+       CASE WHEN n >= 1000 AND page_id <> lead THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND page_id <> lead THEN lead END AS refers_to
+FROM m
+""",
     "op1_simhash": op1_simhash,
     "op7_chat_format": r"""
 WITH rows_ AS (
