@@ -110,6 +110,25 @@ def line_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return bins, first, size
 
 
+def _batches(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Features of texts in batches of bounded size."""
+    at = 0
+    while at < len(texts):
+        stop, size = at, 0
+        while stop < len(texts) and (stop == at or size + len(texts[stop]) <= BATCH_BYTES):
+            size += len(texts[stop])
+            stop += 1
+        yield line_features(texts[at:stop])
+        at = stop
+
+
+def batched_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same as ``line_features``, with bounded memory besides the result."""
+    bins, first, size = zip(*_batches(texts))
+    lines = np.cumsum([0, *map(len, bins)])
+    return np.concatenate(bins), np.concatenate([f + n for f, n in zip(first, lines)]), np.concatenate(size)
+
+
 @dataclass
 class LineField:
     """Weights of own, previous and next line's bins, of label pairs (bad, good), and the calibration."""
@@ -264,7 +283,7 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, key: str = "doc_id
         if not len(marks) or marks.min() == marks.max():
             model = float(marks.mean()) if len(marks) else 0.5
         else:
-            model = fit(*line_features([r[0] for r in rows]), marks)
+            model = fit(*batched_features([r[0] for r in rows]), marks)
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)])], names=["model"])
 
     import pickle
@@ -282,15 +301,10 @@ def score(docs: DataFrame, model: LineField | float, text: str = "text", name: s
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         field = shared.value
         for texts in batches:
-            data, out, at = _encoded(texts), [], 0
-            while at < len(data):
-                stop, size = at, 0
-                while stop < len(data) and (stop == at or size + len(data[stop]) <= BATCH_BYTES):
-                    size += len(data[stop])
-                    stop += 1
-                z = document_shares(field, *line_features(data[at:stop])) * field.scale + field.shift
+            out = []
+            for features in _batches(_encoded(texts)):
+                z = document_shares(field, *features) * field.scale + field.shift
                 out.append(1 / (1 + np.exp(-np.clip(z, -30, 30))))
-                at = stop
             yield pd.Series(np.concatenate(out) if out else np.zeros(0))
 
     return docs.withColumn(name, of(F.col(text)))
