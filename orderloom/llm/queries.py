@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import chat, lsh, mixing, quality_crf, repeats, simhash, tiling, toxicity, warc
+from orderloom.llm import chat, html_blocks, lsh, mixing, quality_crf, repeats, simhash, tiling, toxicity, warc
 from orderloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,10 @@ def op9_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.repeat_report(table(spark, folder, "documents"))
 
 
+def op10_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_blocks.main_text(table(spark, folder, "pages"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_toxicity": op2_toxicity,
@@ -67,6 +71,7 @@ QUERIES: dict[str, Query] = {
     "op7_chat_format": op7_chat_format,
     "op8_mix_sources": op8_mix_sources,
     "op9_repeats": op9_repeats,
+    "op10_main_text": op10_main_text,
 }
 
 ORACLE: dict[str, str] = {
