@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from oracle.sql import AS_OF, block, columns, compose, date_key, ladder, quote, rdiv
-from orderloom.functions import labels as L
-from orderloom.plans.expectations import SUITE
+from oracle import values as L
+from oracle.suite import SUITE
 
 ORACLE: dict[str, str] = {}
 
@@ -377,5 +377,5 @@ def _quality() -> str:
     return "SELECT *, failures = 0 AS passed FROM (" + " UNION ALL ".join(parts) + ")"
 
 
-_USED = list(dict.fromkeys(_QUALITY_BLOCK.values()))
+_USED = list(dict.fromkeys(_QUALITY_BLOCL.values()))
 ORACLE["dq_report"] = compose(_quality(), *_USED)

@@ -8,12 +8,10 @@ ranges, distinct counts, ordinary windows) that the Spark side avoids.
 
 from __future__ import annotations
 
-from orderloom.functions import labels as L
-from orderloom.sources import adapter as A
-from orderloom.sources import lookups as K
+from oracle import values as L
 
-AS_OF = f"DATE '{A.AS_OF}'"
-FIRST_DAY, END_DAY = (f"DATE '{d}'" for d in A.CALENDAR)
+AS_OF = f"DATE '{L.AS_OF}'"
+FIRST_DAY, END_DAY = "DATE '1995-01-01'", "DATE '2002-01-01'"
 
 
 # --- small SQL builders -------------------------------------------------------------
@@ -90,7 +88,7 @@ def keyword(text: str, pairs, rest: str) -> str:
 
 def tier(cents: str) -> str:
     whens = " ".join(f"WHEN {cents} BETWEEN {round(float(lo) * 100)} AND {round(float(hi) * 100)} THEN {quote(t)}"
-                     for lo, hi, t in K.PRICE_TIERS)
+                     for lo, hi, t in L.PRICE_TIER_RANGES)
     return f"CASE {whens} ELSE 'Budget' END"
 
 
@@ -117,17 +115,17 @@ def block(name: str, reads: str, sql: str) -> None:
 
 block("people", "", f"""
 SELECT c_custkey AS id, c_name AS name, lower(replace(c_name, '#', '.')) || '@example.com' AS email,
-       n_name AS country, DATE '{A.SIGNUP_START}' + CAST((c_custkey * 7) % 730 AS INTEGER) AS signup_date,
-       {lookup('r_name', A.REGION_OF.items(), 'other')} AS region
+       n_name AS country, DATE '{L.SIGNUP_START}' + CAST((c_custkey * 7) % 730 AS INTEGER) AS signup_date,
+       {lookup('r_name', L.REGION_OF.items(), 'other')} AS region
 FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey LEFT JOIN region ON r_regionkey = n_regionkey""")
 
 block("goods", "", f"""
 SELECT p_partkey AS id,
-       p_name || ' ' || {picks('p_partkey % 8', A.NAME_SUFFIXES)}
+       p_name || ' ' || {picks('p_partkey % 8', L.NAME_SUFFIXES)}
          || CASE WHEN p_partkey % 5 = 0 THEN ' signature' ELSE '' END AS name,
-       {picks('p_partkey % 20', A.CATEGORIES)} AS category,
+       {picks('p_partkey % 20', L.CATEGORIES)} AS category,
        (CAST(CAST(p_retailprice AS DECIMAL(10,2)) * 100 AS BIGINT) - 89900) * 6 AS price,
-       TIMESTAMP '{A.PRODUCT_CREATED}' AS created_at
+       TIMESTAMP '{L.PRODUCT_CREATED}' AS created_at
 FROM part""")
 
 block("placed", "", """
@@ -175,14 +173,14 @@ SELECT id, order_id, product_id, quantity, unit_price, quantity * unit_price AS
        {ladder('quantity * unit_price', L.LINE_VALUE_TIER, L.LINE_VALUE_TIER_TOP, '<', 100)} AS line_value_tier
 FROM lines""")
 
-_GROUPS = K.parse_groups(K.CATEGORY_GROUPS)
+_GROUPS = L.GROUP_OF_CATEGORY
 block("s_products", "goods", f"""
 SELECT *, list_position([{', '.join(quote(g) for g in L.CATEGORY_GROUPS + ['Other'])}], category_group) AS category_sort_order
 FROM (SELECT id, name, category, price, created_at, year(created_at) AS product_year, month(created_at) AS product_month,
        {tier('price')} AS price_tier, {ladder('price', L.DETAILED_PRICE_TIER, 'Budget', scale=100)} AS detailed_price_tier,
        {lookup('category', _GROUPS, 'Other')} AS category_group,
-       {keyword('lower(name)', K.SEASON_KEYWORDS, 'Year-Round')} AS seasonality,
-       {keyword('lower(name)', K.COLLECTION_KEYWORDS, 'Regular')} AS collection_type,
+       {keyword('lower(name)', L.SEASON_KEYWORDS, 'Year-Round')} AS seasonality,
+       {keyword('lower(name)', L.COLLECTION_KEYWORDS, 'Regular')} AS collection_type,
        length(name) AS name_length, {any_word('lower(name)', L.LIMITED_WORDS)} AS is_limited_edition,
        {any_word('lower(name)', L.PREMIUM_WORDS)} AS is_premium_line,
        {any_word('lower(name)', L.CLASSIC_WORDS)} AS is_classic_line, true AS is_active, false AS is_discontinued
@@ -481,7 +479,7 @@ _HOMES = {"orders": ("m_orders", "order_date"), "products": ("m_products", "metr
 block("long_metrics", "m_orders m_products m_customers", " UNION ALL ".join(
     f"SELECT date_key, {_HOMES[d][1]} AS metric_date, year_month, {quote(d)} AS metric_domain, {quote(m)} AS metric_name, "
     f"CAST({m} AS DOUBLE) / {_UNITS.get(m, 1)} AS metric_value, {quote(t)} AS dimension_type, {quote(v)} AS dimension_value "
-    f"FROM {_HOMES[d][0]} WHERE {m} IS NOT NULL" for d, m, t, v in L.metric_catalogue()))
+    f"FROM {_HOMES[d][0]} WHERE {m} IS NOT NULL" for d, m, t, v in L.METRICS))
 
 # (dashboard column, source expression) per side
 _SIDES = {

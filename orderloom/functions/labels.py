@@ -209,67 +209,66 @@ PURCHASE_BEHAVIOR = [("single_line_orders", 5, "Standalone Purchase"), ("dominan
                      ("major_lines", 3, "Complementary Item")]
 PURCHASE_BEHAVIOR_REST = "Add-On Item"
 
-# --- fixed values: long metric catalogue, name | dimension type | dimension value ---
-ORDER_METRICS = """
-total_orders | base | all
-completed_orders | status | completed
-cancelled_orders | status | cancelled
-pending_orders | status | pending
-refunded_orders | status | refunded
-items_added_orders | status | items_added
-total_revenue | revenue_type | total
-completed_revenue | revenue_type | completed
-refunded_revenue | revenue_type | refunded
-avg_order_value | revenue_type | average
-unique_customers | customer_type | all
-customers_with_completed_orders | customer_type | active
-completion_rate_pct | rate_type | completion
-cancellation_rate_pct | rate_type | cancellation
-single_item_orders | order_size | single_item
-small_orders | order_size | small
-medium_orders | order_size | medium
-large_orders | order_size | large
-weekend_orders | timing | weekend
-weekday_orders | timing | weekday
-morning_orders | time_of_day | morning
-afternoon_orders | time_of_day | afternoon
-evening_orders | time_of_day | evening
-night_orders | time_of_day | night
-"""
-PRODUCT_METRICS = """
-unique_products_sold | product_type | all
-total_line_items | product_type | all
-total_quantity_sold | product_type | all
-total_product_revenue | product_type | all
-clothing_revenue | category | clothing
-accessories_revenue | category | accessories
-footwear_revenue | category | footwear
-intimates_revenue | category | intimates
-activewear_revenue | category | activewear
-clothing_products_sold | category | clothing
-accessories_products_sold | category | accessories
-footwear_products_sold | category | footwear
-intimates_products_sold | category | intimates
-activewear_products_sold | category | activewear
-"""
-CUSTOMER_METRICS = """
-active_customers | customer_activity | active
-customers_with_completed_orders | customer_activity | completed_orders
-new_customers | customer_segment | new_customer
-premium_loyal_customers | customer_segment | premium_loyal
-core_customers | customer_segment | core_customer
-growing_customers | customer_segment | growing_customer
-total_customer_spend | spend_type | total
-avg_spend_per_customer | spend_type | average
-highest_customer_spend | spend_type | maximum
-na_customers | region | north_america
-eu_customers | region | europe
-apac_customers | region | asia_pacific
-"""
+# --- fixed values: long metric catalogue (name, dimension type, dimension value) ------
+ORDER_METRICS = [
+    ("total_orders", "base", "all"),
+    ("completed_orders", "status", "completed"),
+    ("cancelled_orders", "status", "cancelled"),
+    ("pending_orders", "status", "pending"),
+    ("refunded_orders", "status", "refunded"),
+    ("items_added_orders", "status", "items_added"),
+    ("total_revenue", "revenue_type", "total"),
+    ("completed_revenue", "revenue_type", "completed"),
+    ("refunded_revenue", "revenue_type", "refunded"),
+    ("avg_order_value", "revenue_type", "average"),
+    ("unique_customers", "customer_type", "all"),
+    ("customers_with_completed_orders", "customer_type", "active"),
+    ("completion_rate_pct", "rate_type", "completion"),
+    ("cancellation_rate_pct", "rate_type", "cancellation"),
+    ("single_item_orders", "order_size", "single_item"),
+    ("small_orders", "order_size", "small"),
+    ("medium_orders", "order_size", "medium"),
+    ("large_orders", "order_size", "large"),
+    ("weekend_orders", "timing", "weekend"),
+    ("weekday_orders", "timing", "weekday"),
+    ("morning_orders", "time_of_day", "morning"),
+    ("afternoon_orders", "time_of_day", "afternoon"),
+    ("evening_orders", "time_of_day", "evening"),
+    ("night_orders", "time_of_day", "night"),
+]
+PRODUCT_METRICS = [
+    ("unique_products_sold", "product_type", "all"),
+    ("total_line_items", "product_type", "all"),
+    ("total_quantity_sold", "product_type", "all"),
+    ("total_product_revenue", "product_type", "all"),
+    ("clothing_revenue", "category", "clothing"),
+    ("accessories_revenue", "category", "accessories"),
+    ("footwear_revenue", "category", "footwear"),
+    ("intimates_revenue", "category", "intimates"),
+    ("activewear_revenue", "category", "activewear"),
+    ("clothing_products_sold", "category", "clothing"),
+    ("accessories_products_sold", "category", "accessories"),
+    ("footwear_products_sold", "category", "footwear"),
+    ("intimates_products_sold", "category", "intimates"),
+    ("activewear_products_sold", "category", "activewear"),
+]
+CUSTOMER_METRICS = [
+    ("active_customers", "customer_activity", "active"),
+    ("customers_with_completed_orders", "customer_activity", "completed_orders"),
+    ("new_customers", "customer_segment", "new_customer"),
+    ("premium_loyal_customers", "customer_segment", "premium_loyal"),
+    ("core_customers", "customer_segment", "core_customer"),
+    ("growing_customers", "customer_segment", "growing_customer"),
+    ("total_customer_spend", "spend_type", "total"),
+    ("avg_spend_per_customer", "spend_type", "average"),
+    ("highest_customer_spend", "spend_type", "maximum"),
+    ("na_customers", "region", "north_america"),
+    ("eu_customers", "region", "europe"),
+    ("apac_customers", "region", "asia_pacific"),
+]
 
 
 def metric_catalogue() -> list[tuple[str, str, str, str]]:
     """``(domain, metric, dimension type, dimension value)`` of every long metric."""
-    blocks = [("orders", ORDER_METRICS), ("products", PRODUCT_METRICS), ("customers", CUSTOMER_METRICS)]
-    return [(domain, *(part.strip() for part in line.split("|")))
-            for domain, text in blocks for line in text.strip().splitlines()]
+    domains = [("orders", ORDER_METRICS), ("products", PRODUCT_METRICS), ("customers", CUSTOMER_METRICS)]
+    return [(domain, *metric) for domain, metrics in domains for metric in metrics]

@@ -5,40 +5,67 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-# Region, then its countries in order; a region's list may run over lines.
-COUNTRY_REGIONS = """
-north america: united states; canada; mexico; guatemala; belize; honduras; el salvador; nicaragua;
-    costa rica; panama; cuba; jamaica; haiti; dominican republic; bahamas; barbados; trinidad and tobago
-europe: united kingdom; germany; france; italy; spain; netherlands; belgium; switzerland; austria; sweden;
-    norway; denmark; finland; poland; czech republic; hungary; slovakia; slovenia; croatia; romania;
-    bulgaria; greece; portugal; ireland; iceland; estonia; latvia; lithuania; luxembourg; malta; cyprus
-asia pacific: japan; south korea; china; singapore; australia; new zealand; india; thailand; vietnam;
-    malaysia; indonesia; philippines; taiwan; hong kong; bangladesh; pakistan; sri lanka; myanmar; cambodia;
-    laos; mongolia; nepal; bhutan; brunei; maldives; fiji; papua new guinea
-south america: brazil; argentina; colombia; peru; chile; venezuela; ecuador; bolivia; paraguay; uruguay;
-    guyana; suriname; french guiana
-africa: nigeria; south africa; egypt; kenya; morocco; ghana; ethiopia; tanzania; algeria; uganda; angola;
-    mozambique; madagascar; cameroon; ivory coast; niger; burkina faso; mali; malawi; zambia; senegal;
-    somalia; chad; zimbabwe; guinea; rwanda; benin; tunisia; burundi; togo; sierra leone; libya; liberia;
-    central african republic; mauritania; eritrea; gambia; botswana; namibia; gabon; lesotho; guinea-bissau;
-    equatorial guinea; mauritius; eswatini; djibouti; comoros; cape verde; sao tome and principe; seychelles
-other: russia; turkey; iran; iraq; afghanistan; uzbekistan; saudi arabia; yemen; syria; azerbaijan; jordan;
-    georgia; tajikistan; israel; palestine; lebanon; kyrgyzstan; turkmenistan; armenia; kuwait; oman; qatar;
-    bahrain; united arab emirates; kazakhstan; ukraine; belarus; moldova; north macedonia; albania;
-    montenegro; bosnia and herzegovina; serbia; kosovo
-"""
-
-# Category group, then its product categories.
-CATEGORY_GROUPS = """
-Clothing: Dresses; Tops & Blouses; Sweaters & Knitwear; Jackets & Coats; Pants & Trousers; Skirts; Jeans & Denim
-Accessories: Handbags & Purses; Jewelry & Watches; Scarves & Wraps; Belts & Accessories; Sunglasses & Eyewear;
-    Hats & Hair Accessories; Tech Accessories
-Footwear: Shoes & Footwear
-Intimates: Lingerie & Intimates; Sleepwear & Loungewear; Swimwear & Beachwear
-Activewear: Activewear & Athleisure
-"""
+# Country and its region.
+COUNTRY_REGIONS = [
+    ("united states", "north america"), ("canada", "north america"), ("mexico", "north america"),
+    ("guatemala", "north america"), ("belize", "north america"), ("honduras", "north america"),
+    ("el salvador", "north america"), ("nicaragua", "north america"), ("costa rica", "north america"),
+    ("panama", "north america"), ("cuba", "north america"), ("jamaica", "north america"), ("haiti", "north america"),
+    ("dominican republic", "north america"), ("bahamas", "north america"), ("barbados", "north america"),
+    ("trinidad and tobago", "north america"), ("united kingdom", "europe"), ("germany", "europe"),
+    ("france", "europe"), ("italy", "europe"), ("spain", "europe"), ("netherlands", "europe"), ("belgium", "europe"),
+    ("switzerland", "europe"), ("austria", "europe"), ("sweden", "europe"), ("norway", "europe"),
+    ("denmark", "europe"), ("finland", "europe"), ("poland", "europe"), ("czech republic", "europe"),
+    ("hungary", "europe"), ("slovakia", "europe"), ("slovenia", "europe"), ("croatia", "europe"),
+    ("romania", "europe"), ("bulgaria", "europe"), ("greece", "europe"), ("portugal", "europe"),
+    ("ireland", "europe"), ("iceland", "europe"), ("estonia", "europe"), ("latvia", "europe"),
+    ("lithuania", "europe"), ("luxembourg", "europe"), ("malta", "europe"), ("cyprus", "europe"),
+    ("japan", "asia pacific"), ("south korea", "asia pacific"), ("china", "asia pacific"),
+    ("singapore", "asia pacific"), ("australia", "asia pacific"), ("new zealand", "asia pacific"),
+    ("india", "asia pacific"), ("thailand", "asia pacific"), ("vietnam", "asia pacific"),
+    ("malaysia", "asia pacific"), ("indonesia", "asia pacific"), ("philippines", "asia pacific"),
+    ("taiwan", "asia pacific"), ("hong kong", "asia pacific"), ("bangladesh", "asia pacific"),
+    ("pakistan", "asia pacific"), ("sri lanka", "asia pacific"), ("myanmar", "asia pacific"),
+    ("cambodia", "asia pacific"), ("laos", "asia pacific"), ("mongolia", "asia pacific"), ("nepal", "asia pacific"),
+    ("bhutan", "asia pacific"), ("brunei", "asia pacific"), ("maldives", "asia pacific"), ("fiji", "asia pacific"),
+    ("papua new guinea", "asia pacific"), ("brazil", "south america"), ("argentina", "south america"),
+    ("colombia", "south america"), ("peru", "south america"), ("chile", "south america"),
+    ("venezuela", "south america"), ("ecuador", "south america"), ("bolivia", "south america"),
+    ("paraguay", "south america"), ("uruguay", "south america"), ("guyana", "south america"),
+    ("suriname", "south america"), ("french guiana", "south america"), ("nigeria", "africa"),
+    ("south africa", "africa"), ("egypt", "africa"), ("kenya", "africa"), ("morocco", "africa"), ("ghana", "africa"),
+    ("ethiopia", "africa"), ("tanzania", "africa"), ("algeria", "africa"), ("uganda", "africa"),
+    ("angola", "africa"), ("mozambique", "africa"), ("madagascar", "africa"), ("cameroon", "africa"),
+    ("ivory coast", "africa"), ("niger", "africa"), ("burkina faso", "africa"), ("mali", "africa"),
+    ("malawi", "africa"), ("zambia", "africa"), ("senegal", "africa"), ("somalia", "africa"), ("chad", "africa"),
+    ("zimbabwe", "africa"), ("guinea", "africa"), ("rwanda", "africa"), ("benin", "africa"), ("tunisia", "africa"),
+    ("burundi", "africa"), ("togo", "africa"), ("sierra leone", "africa"), ("libya", "africa"),
+    ("liberia", "africa"), ("central african republic", "africa"), ("mauritania", "africa"), ("eritrea", "africa"),
+    ("gambia", "africa"), ("botswana", "africa"), ("namibia", "africa"), ("gabon", "africa"), ("lesotho", "africa"),
+    ("guinea-bissau", "africa"), ("equatorial guinea", "africa"), ("mauritius", "africa"), ("eswatini", "africa"),
+    ("djibouti", "africa"), ("comoros", "africa"), ("cape verde", "africa"), ("sao tome and principe", "africa"),
+    ("seychelles", "africa"), ("russia", "other"), ("turkey", "other"), ("iran", "other"), ("iraq", "other"),
+    ("afghanistan", "other"), ("uzbekistan", "other"), ("saudi arabia", "other"), ("yemen", "other"),
+    ("syria", "other"), ("azerbaijan", "other"), ("jordan", "other"), ("georgia", "other"), ("tajikistan", "other"),
+    ("israel", "other"), ("palestine", "other"), ("lebanon", "other"), ("kyrgyzstan", "other"),
+    ("turkmenistan", "other"), ("armenia", "other"), ("kuwait", "other"), ("oman", "other"), ("qatar", "other"),
+    ("bahrain", "other"), ("united arab emirates", "other"), ("kazakhstan", "other"), ("ukraine", "other"),
+    ("belarus", "other"), ("moldova", "other"), ("north macedonia", "other"), ("albania", "other"),
+    ("montenegro", "other"), ("bosnia and herzegovina", "other"), ("serbia", "other"), ("kosovo", "other"),
+]
+
+# Product category and its group.
+CATEGORY_GROUPS = [
+    ("Dresses", "Clothing"), ("Tops & Blouses", "Clothing"), ("Sweaters & Knitwear", "Clothing"),
+    ("Jackets & Coats", "Clothing"), ("Pants & Trousers", "Clothing"), ("Skirts", "Clothing"),
+    ("Jeans & Denim", "Clothing"), ("Handbags & Purses", "Accessories"), ("Jewelry & Watches", "Accessories"),
+    ("Scarves & Wraps", "Accessories"), ("Belts & Accessories", "Accessories"),
+    ("Sunglasses & Eyewear", "Accessories"), ("Hats & Hair Accessories", "Accessories"),
+    ("Tech Accessories", "Accessories"), ("Shoes & Footwear", "Footwear"), ("Lingerie & Intimates", "Intimates"),
+    ("Sleepwear & Loungewear", "Intimates"), ("Swimwear & Beachwear", "Intimates"),
+    ("Activewear & Athleisure", "Activewear"),
+]
 
 # Closed price ranges; keywords in the order in which they are tried.
 PRICE_TIERS = [("0", "49.99", "Budget"), ("50", "149.99", "Mid-Range"),
@@ -48,19 +75,6 @@ SEASON_KEYWORDS = [("spring", "Spring/Summer"), ("summer", "Spring/Summer"), ("f
 COLLECTION_KEYWORDS = [("limited edition", "Limited Edition"), ("premium", "Premium"),
                        ("signature", "Premium"), ("classic", "Classic")]
 
-# A lookup with more rows than this is not a lookup: it is refused, never truncated.
-MAX_LOOKUP_ROWS = 10_000
-
-
-def parse_groups(text: str) -> list[tuple[str, str]]:
-    """``(member, group)`` pairs of a "group: member; member" text."""
-    pairs, group = [], ""
-    for line in text.strip().splitlines():
-        if ":" in line:
-            group, line = (part.strip() for part in line.split(":", 1))
-        pairs += [(member.strip(), group) for member in line.split(";") if member.strip()]
-    return pairs
-
 
 @dataclass
 class Lookups:
@@ -69,8 +83,8 @@ class Lookups:
     The two lookups that are joined may also be frames of two columns.
     """
 
-    country_region: list[tuple[str, str]] | DataFrame = field(default_factory=lambda: parse_groups(COUNTRY_REGIONS))
-    category_group: list[tuple[str, str]] | DataFrame = field(default_factory=lambda: parse_groups(CATEGORY_GROUPS))
+    country_region: list[tuple[str, str]] | DataFrame = field(default_factory=lambda: list(COUNTRY_REGIONS))
+    category_group: list[tuple[str, str]] | DataFrame = field(default_factory=lambda: list(CATEGORY_GROUPS))
     price_tiers: list[tuple] = field(default_factory=lambda: list(PRICE_TIERS))
     season_keywords: list[tuple[str, str]] = field(default_factory=lambda: list(SEASON_KEYWORDS))
     collection_keywords: list[tuple[str, str]] = field(default_factory=lambda: list(COLLECTION_KEYWORDS))
@@ -88,17 +102,14 @@ class Lookups:
         loaded = {}
         for name, path in paths.items():
             frame = spark.read.csv(path, header=True, schema=schemas[name])
-            rows = frame.limit(MAX_LOOKUP_ROWS + 1).collect()
-            if len(rows) > MAX_LOOKUP_ROWS:
-                raise ValueError(f"lookup {name} has more than {MAX_LOOKUP_ROWS} rows")
-            loaded[name] = [tuple(row) for row in rows]
+            joined = name in ("country_region", "category_group")
+            # tiers and keywords become conditions of one expression; the others stay tables
+            loaded[name] = frame if joined else [tuple(row) for row in frame.collect()]
         return cls(**loaded)
 
 
 def pairs_frame(spark: SparkSession, pairs: list[tuple[str, str]] | DataFrame, key: str, value: str) -> DataFrame:
-    """Pairs as a broadcast frame, their number checked here; a given frame is left to the optimizer."""
+    """Pairs as a frame; how it is joined is left to the optimizer, which knows its size."""
     if isinstance(pairs, DataFrame):
         return pairs.toDF(key, value)
-    if len(pairs) > MAX_LOOKUP_ROWS:
-        raise ValueError(f"lookup on {key} has more than {MAX_LOOKUP_ROWS} rows")
-    return F.broadcast(spark.createDataFrame(pairs, f"{key} string, {value} string"))
+    return spark.createDataFrame(pairs, f"{key} string, {value} string")
