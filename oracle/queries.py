@@ -29,7 +29,7 @@ table("raw_orders", "log", """
 """)
 
 table("raw_order_items", "lines", """
-    id order_id product_id:i quantity:i unit_price:m created_at
+    id:i order_id product_id:i quantity:i unit_price:m created_at
 """)
 
 table("stg_customers", "s_customers", """
@@ -49,16 +49,21 @@ table("stg_orders", "s_orders", """
 """)
 
 table("stg_order_items", "s_items", """
-    id order_id product_id:i quantity:i unit_price:m line_total:m created_at created_year:i created_month:i
+    id:i order_id product_id:i quantity:i unit_price:m line_total:m created_at created_year:i created_month:i
     created_day:i created_day_of_week:i created_hour:i price_tier quantity_category line_value_tier
     item_sequence:i
 """)
 
-table("dim_date", "d_date", """
+block("d_date_orders", "d_date log", """
+SELECT d.*, coalesce(placed, 0) AS orders_placed, coalesce(changed, 0) AS status_changes
+FROM d_date d
+LEFT JOIN (SELECT CAST(order_date AS DATE) AS day, count(DISTINCT order_id) AS placed FROM log GROUP BY 1) p ON p.day = calendar_date
+LEFT JOIN (SELECT CAST(created_at AS DATE) AS day, count(*) AS changed FROM log GROUP BY 1) c ON c.day = calendar_date""")
+table("dim_date", "d_date_orders", """
     date_key:i calendar_date year:i quarter:i month:i day:i day_of_week:i day_of_year:i week_of_year:i year_text
     year_month year_quarter month_name month_short_name day_name day_short_name is_weekday is_weekend
     is_first_day_of_month is_last_day_of_month is_first_day_of_quarter is_last_day_of_quarter
-    is_first_day_of_year is_last_day_of_year relative_period season
+    is_first_day_of_year is_last_day_of_year relative_period season orders_placed:i status_changes:i
 """)
 
 table("dim_customer", "d_customer", """
@@ -97,7 +102,7 @@ table("fact_orders", "f_orders", """
 """)
 
 table("fact_order_line", "f_lines", """
-    order_line_key order_line_id order_key customer_key product_key order_date_key:i order_id product_id:i
+    order_line_key order_line_id:i order_key customer_key product_key order_date_key:i order_id product_id:i
     customer_id:i quantity:i unit_price:m line_total:m item_sequence:i quantity_category line_price_tier
     line_value_tier additional_quantity_value:m is_first_line_item order_date order_status order_total_amount:m
     line_percentage_of_order:a line_importance quantity_category_detailed unit_price_category order_year:i

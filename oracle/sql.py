@@ -11,7 +11,7 @@ from __future__ import annotations
 from oracle import values as L
 
 AS_OF = f"DATE '{L.AS_OF}'"
-FIRST_DAY, END_DAY = "DATE '1995-01-01'", "DATE '2002-01-01'"
+FIRST_DAY, LAST_DAY = (f"(SELECT {f}(CAST(created_at AS DATE)) FROM log)" for f in ("min", "max"))
 
 
 # --- small SQL builders -------------------------------------------------------------
@@ -133,18 +133,20 @@ SELECT *, o_orderdate + to_hours(CAST(o_orderkey % 24 AS INTEGER)) AS order_date
 
 block("lines", "goods placed", """
 SELECT l_orderkey,
-       md5(concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS INTEGER),
-                     CAST(l_extendedprice AS DECIMAL(12,2)))) AS id,
+       l_orderkey * 1000000 + l_linenumber * 1000 + row_number() OVER (
+           PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount) AS id,
        CAST(l_orderkey AS VARCHAR) AS order_id, l_partkey AS product_id,
        1 + CAST(l_quantity AS INTEGER) % 6 AS quantity,
        (goods.price * (100 - CAST(CAST(l_discount AS DECIMAL(10,2)) * 100 AS BIGINT)) + 50) // 100 AS unit_price,
        order_date + to_minutes(l_linenumber) AS created_at
-FROM lineitem JOIN goods ON goods.id = l_partkey JOIN placed ON o_orderkey = l_orderkey""")
+FROM lineitem LEFT JOIN goods ON goods.id = l_partkey LEFT JOIN placed ON o_orderkey = l_orderkey""")
 
 block("log", "placed lines", """
 SELECT o_orderkey * 10 + n AS record_id, CAST(o_orderkey AS VARCHAR) AS order_id, o_custkey AS customer_id,
-       order_date, s AS status, coalesce(amount, 0) AS total_amount, order_date + to_days(CAST(lag_days AS INTEGER)) AS created_at
+       order_date, s AS status, coalesce(amount, 0) AS total_amount,
+       order_date + to_days(CAST(lag_days AS INTEGER)) + to_hours(CASE n WHEN 4 THEN 6 ELSE 0 END) AS created_at
 FROM (SELECT *, 1 AS n, 'pending' AS s, 0 AS lag_days FROM placed
+      UNION ALL SELECT *, 4, 'items added', 0 FROM placed WHERE o_orderkey % 5 = 0
       UNION ALL SELECT *, 2, 'completed', 1 + o_orderkey % 4 FROM placed WHERE o_orderstatus = 'F'
       UNION ALL SELECT *, 2, 'cancelled', 1 + o_orderkey % 4 FROM placed WHERE o_orderstatus = 'O' AND o_orderkey % 3 = 0
       UNION ALL SELECT *, 3, 'refunded', 2 + o_orderkey % 4 + o_orderkey % 2 FROM placed
@@ -186,7 +188,7 @@ FROM (SELECT id, name, category, price, created_at, year(created_at) AS product_
        {any_word('lower(name)', L.CLASSIC_WORDS)} AS is_classic_line, true AS is_active, false AS is_discontinued
 FROM goods)""")
 
-block("d_date", "", f"""
+block("d_date", "log", f"""
 SELECT {date_key('d')} AS date_key, d AS calendar_date, year(d) AS year, quarter(d) AS quarter, month(d) AS month,
        day(d) AS day, dayofweek(d) AS day_of_week, dayofyear(d) AS day_of_year, weekofyear(d) AS week_of_year,
        CAST(year(d) AS VARCHAR) AS year_text, strftime(d, '%Y-%m') AS year_month,
@@ -204,7 +206,7 @@ SELECT {date_key('d')} AS date_key, d AS calendar_date, year(d) AS year, quarter
             WHEN year(d) = year({AS_OF}) THEN 'This Year' WHEN year(d) + 1 = year({AS_OF}) THEN 'Last Year'
             ELSE 'Other' END AS relative_period,
        {season('month(d)')} AS season
-FROM (SELECT CAST(r AS DATE) AS d FROM generate_series({FIRST_DAY}, {END_DAY} - 1, INTERVAL 1 DAY) AS g(r))""")
+FROM (SELECT CAST(r AS DATE) AS d FROM generate_series({FIRST_DAY}, {LAST_DAY}, INTERVAL 1 DAY) AS g(r))""")
 
 block("d_customer", "s_customers", f"""
 SELECT *, CASE WHEN tenure_quartile = 4 AND region_code IN ('NA', 'EU') THEN 'Premium Loyal'
@@ -282,7 +284,7 @@ FROM (SELECT *, status_sequence AS status_change_sequence, created_at AS status_
       FROM order_rows)""")
 
 block("f_lines", "s_items s_orders d_customer d_product", f"""
-SELECT md5(i.id) AS order_line_key, i.id AS order_line_id, md5(i.order_id) AS order_key, c.customer_key, p.product_key,
+SELECT md5(CAST(i.id AS VARCHAR)) AS order_line_key, i.id AS order_line_id, md5(i.order_id) AS order_key, c.customer_key, p.product_key,
        {date_key('o.order_date')} AS order_date_key, i.order_id, i.product_id, o.customer_id, i.quantity, i.unit_price,
        i.line_total, i.item_sequence, i.quantity_category, i.price_tier AS line_price_tier, i.line_value_tier,
        i.unit_price * (i.quantity - 1) AS additional_quantity_value, i.item_sequence = 1 AS is_first_line_item,

@@ -30,7 +30,7 @@ SUITE = {
     "source_orders": Checks(
         required="record_id id customer_id order_date status total_amount created_at",
         unique="record_id",
-        accepted={"status": ["pending", "completed", "cancelled", "refunded"]},
+        accepted={"status": ["pending", "completed", "cancelled", "refunded", "items added"]},
         ranges={"total_amount": (0, None, True)},
         references={"customer_id": ("source_customers", "id")}),
     "source_order_items": Checks(
@@ -48,7 +48,7 @@ SUITE = {
     "raw_orders": Checks(
         required="record_id order_id customer_id status",
         unique="record_id",
-        accepted={"status": ["pending", "completed", "cancelled", "refunded"]},
+        accepted={"status": ["pending", "completed", "cancelled", "refunded", "items added"]},
         references={"customer_id": ("raw_customers", "id")}),
     "raw_order_items": Checks(
         required="id order_id product_id quantity unit_price",
@@ -68,7 +68,7 @@ SUITE = {
     "stg_orders": Checks(
         required="record_id order_id customer_id status is_current_status",
         unique="record_id",
-        accepted={"status": ["pending", "completed", "cancelled", "refunded"]},
+        accepted={"status": ["pending", "completed", "cancelled", "refunded", "items added"]},
         references={"customer_id": ("stg_customers", "id")}),
     "stg_order_items": Checks(
         required="id order_id product_id quantity unit_price line_total",

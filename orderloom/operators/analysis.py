@@ -14,7 +14,7 @@ from orderloom.functions.columns import (AVERAGE, MONEY, by_rules, count_if, day
                                          mean_over, moment, name_of, ntile_of, pct, ratio, season, sum_if, weekend_label,
                                          year_month, zero)
 from orderloom.operators.ranking import rank_rows
-from orderloom.session import ensure_checkpoint_dir
+from orderloom.session import pinned
 
 
 # --- dashboard ----------------------------------------------------------------------
@@ -420,9 +420,8 @@ def product_rankings(detailed: DataFrame) -> DataFrame:
 
 
 def product_performance(sales: DataFrame, products: DataFrame, as_of: dt.date, loaded_at: dt.datetime) -> DataFrame:
-    ensure_checkpoint_dir(sales.sparkSession)
     # one row per sold product; stored because three ranking passes and the result read it
-    detailed = product_details(sales, products, as_of).checkpoint()
+    detailed = pinned(product_details(sales, products, as_of))
     ranked = product_rankings(detailed)
     behavior = None
     for name, tenths, label in L.PURCHASE_BEHAVIOR:

@@ -62,6 +62,15 @@ def dim_date(spark: SparkSession, as_of: dt.date, start: dt.date = DEFAULT_CALEN
         season(month).alias("season"))
 
 
+def days_with_orders(days: DataFrame, raw_orders: DataFrame) -> DataFrame:
+    """The calendar with the orders placed and the status rows written on each day."""
+    placed = (raw_orders.groupBy("order_id").agg(F.min(F.to_date("order_date")).alias("calendar_date"))
+              .groupBy("calendar_date").agg(F.count(F.lit(1)).alias("orders_placed")))
+    changed = raw_orders.groupBy(F.to_date("created_at").alias("calendar_date")).agg(F.count(F.lit(1)).alias("status_changes"))
+    return (days.join(placed, "calendar_date", "left").join(changed, "calendar_date", "left")
+            .fillna(0, ["orders_placed", "status_changes"]))
+
+
 def dim_customer(staged: DataFrame, loaded_at: dt.datetime) -> DataFrame:
     """Customer attributes; every column is row-local, so a full rebuild is one scan."""
     tenure, region = F.col("customer_tenure_days"), F.col("region")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -101,11 +100,10 @@ def fact_orders(raw_orders: DataFrame, item_totals: DataFrame, customers: DataFr
         F.col("created_at").alias("status_updated_at"), *_FLAGS, *_ORDER_TIME, *_PER_UNIT, *_stamps(loaded_at))
 
 
-def fact_orders_scd2(raw_orders: DataFrame, item_totals: DataFrame, customers: DataFrame, loaded_at: dt.datetime,
-                     hot: Sequence = ()) -> DataFrame:
+def fact_orders_scd2(raw_orders: DataFrame, item_totals: DataFrame, customers: DataFrame, loaded_at: dt.datetime) -> DataFrame:
     """One row per status change with its validity interval ``[effective, end)``."""
     history = sequence_rows(raw_orders, "order_id", ["created_at", "record_id"], "status_change_sequence",
-                            upcoming=("created_at", "status_end_date"), last_flag="is_current_status", hot=hot)
+                            upcoming=("created_at", "status_end_date"), last_flag="is_current_status")
     rows = with_customer_key(with_item_totals(history, item_totals), customers)
     start, sequence, status = F.col("created_at"), F.col("status_change_sequence"), F.col("status")
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.functions.columns import number
-from orderloom.session import ensure_checkpoint_dir
+from orderloom.session import pinned
 
 
 @dataclass
@@ -98,8 +98,7 @@ def report(frames: dict[str, DataFrame], suite: dict[str, Expectations], store:
     """
     narrow = {t: frames[t].select(*suite[t].columns(frames[t].columns)) for t in suite}
     if store:
-        ensure_checkpoint_dir(next(iter(frames.values())).sparkSession)
-        narrow = {t: df.checkpoint() for t, df in narrow.items()}
+        narrow = {t: pinned(df) for t, df in narrow.items()}
     parts = [part for t, checks in suite.items() for part in table_report(narrow, t, checks)]
     out = reduce(lambda a, b: a.unionByName(b), parts)
     return out.withColumn("passed", F.col("failures") == 0)

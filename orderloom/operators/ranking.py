@@ -14,22 +14,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from orderloom.session import ensure_checkpoint_dir
-
-HOT_ROWS = 1_000_000  # a key with more rows than this is spread over tasks
-SAMPLE = 0.01
-MAX_HOT_KEYS = 1_000
+from orderloom.session import pinned
 
 
 def _fixed_ranges(df: DataFrame, *order, label: str) -> DataFrame:
     """Range-partition by ``order`` and store the range number of each row.
 
-    The checkpoint makes the number part of the data: range bounds come from a
+    Storing makes the number part of the data: range bounds come from a
     sample, so a recomputed plan could draw them elsewhere.  There are at most as many
     ranges as shuffle partitions; AQE merges neighbouring small ones.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.repartitionByRange(*order).withColumn(label, F.spark_partition_id()).checkpoint()
+    return pinned(df.repartitionByRange(*order).withColumn(label, F.spark_partition_id()))
 
 
 def rank_rows(df: DataFrame, key: str, by: str, groups: Sequence[str] = ()) -> DataFrame:
@@ -66,65 +61,40 @@ def rank_rows(df: DataFrame, key: str, by: str, groups: Sequence[str] = ()) -> D
     return out.select(key, "pos", "n", *[f"{p}_in_{g}" for g in groups for p in ("pos", "n")])
 
 
-def heavy_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS, fraction: float = SAMPLE) -> list:
-    """Keys that seem to own ``min_rows`` rows or more, judged on a sample.
-
-    Only the route of a row depends on this list, never its result: a key that is
-    missed takes the plain window.  The list is bounded, so it may reach the driver.
-    """
-    keys = df.select(key).where(F.col(key).isNotNull())
-    if fraction < 1:
-        keys = keys.sample(fraction=fraction, seed=17)
-    counts = keys.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    heavy = counts.where(F.col("_rows") >= min_rows * fraction).orderBy(F.desc("_rows")).limit(MAX_HOT_KEYS)
-    return [row[0] for row in heavy.collect()]
-
-
 def sequence_rows(df: DataFrame, key: str, order: Sequence[str], seq: str, *, upcoming: tuple[str, str] | None = None,
-                  last_flag: str | None = None, hot: Sequence = ()) -> DataFrame:
+                  last_flag: str | None = None) -> DataFrame:
     """Number the rows of each ``key`` by ``order`` (its last column unique within the key).
 
     ``upcoming=(column, name)`` adds the column's value on the next row of the key, and
-    ``last_flag`` marks the row without a next one.  Keys listed in ``hot`` are spread
-    over range partitions; all others use one window on one exchange.
-    """
-    sort = [F.col(c).asc_nulls_last() for c in order]
-    if not hot:
-        return _plain_sequence(df, key, sort, seq, upcoming, last_flag)
-    is_hot = F.coalesce(F.col(key).isin(*hot), F.lit(False))
-    usual = _plain_sequence(df.where(~is_hot), key, sort, seq, upcoming, last_flag)
-    return usual.unionByName(_spread_sequence(df.where(is_hot), key, sort, seq, upcoming, last_flag))
-
-
-def _plain_sequence(df, key, sort, seq, upcoming, last_flag):
-    window = W.partitionBy(key).orderBy(*sort)
-    added = {seq: F.row_number().over(window)}
-    if upcoming:
-        added[upcoming[1]] = F.lead(upcoming[0]).over(window)
-    if last_flag:
-        added[last_flag] = F.lead(F.lit(1)).over(window).isNull()
-    return df.withColumns(added)
-
+    ``last_flag`` marks the row without a next one.
 
-def _spread_sequence(df, key, sort, seq, upcoming, last_flag):
+    Rows are range-partitioned by key and order, so a key of any size is spread over as many ranges as
+    it fills, and each range is numbered on its own.  Only a range's first and last key can go on in
+    another one: at most two keys per range need the sizes of earlier ranges and the head of the next.
+    """
     wanted = [F.col(c) for c in df.columns]
-    rows = _fixed_ranges(df, F.col(key), *sort, label="_range")
-    local = W.partitionBy("_range", key).orderBy(*sort)
+    sort = [F.col(c).asc_nulls_last() for c in order]
+    rows = _fixed_ranges(df, F.col(key).asc_nulls_last(), *sort, label="_range")
     ahead = upcoming[0] if upcoming else key
+    # bounded by the number of ranges: their border keys, and per border key and range its size and head
+    borders = rows.groupBy("_range").agg(F.array(F.min(key), F.max(key), F.max(F.when(F.col(key).isNull(), F.col(key)))).alias("_k"),
+                                         F.max(F.col(key).isNull()).alias("_null"))
+    borders = (borders.select(F.explode("_k").alias("_border"), "_null")
+               .where(F.col("_border").isNotNull() | F.col("_null")).select("_border").distinct())
+    at_border = rows.join(F.broadcast(borders), F.col(key).eqNullSafe(F.col("_border")), "left_semi")
+    head = F.min_by(F.struct(F.col(ahead).alias("value")), F.struct(*[f for c in order for f in (F.col(c).isNull(), F.col(c))])).alias("_head")
+    edges = at_border.groupBy(F.col(key).alias("_key"), F.col("_range").alias("_part")).agg(F.count(F.lit(1)).alias("_size"), head)
+    across = W.partitionBy("_key").orderBy("_part")
+    earlier = across.rowsBetween(W.unboundedPreceding, -1)
+    edges = edges.select("_key", "_part", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"),
+                         F.lead("_head").over(across).alias("_next_head"))
+    local = W.partitionBy("_range", key).orderBy(*sort)
     rows = rows.withColumns({"_local": F.row_number().over(local), "_next": F.lead(ahead).over(local),
                              "_end": F.lead(F.lit(1)).over(local).isNull()})
-    # one row per (hot key, range): at most MAX_HOT_KEYS + number of ranges
-    edges = rows.groupBy(key, "_range").agg(
-        F.count(F.lit(1)).alias("_size"), F.max(F.when(F.col("_local") == 1, F.col(ahead))).alias("_head"))
-    across = W.partitionBy(key).orderBy("_range")
-    earlier = across.rowsBetween(W.unboundedPreceding, -1)
-    edges = edges.select(key, "_range", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"),
-                         F.lead("_head").over(across).alias("_next_head"),
-                         F.lead(F.lit(1)).over(across).isNull().alias("_last_range"))
-    rows = rows.join(F.broadcast(edges), [key, "_range"])
-    added = [(F.col("_before") + F.col("_local")).cast("int").alias(seq)]
+    rows = rows.join(F.broadcast(edges), F.col(key).eqNullSafe(F.col("_key")) & (F.col("_range") == F.col("_part")), "left")
+    added = [(F.coalesce("_before", F.lit(0)) + F.col("_local")).cast("int").alias(seq)]
     if upcoming:
-        added.append(F.when(F.col("_end"), F.col("_next_head")).otherwise(F.col("_next")).alias(upcoming[1]))
+        added.append(F.when(F.col("_end"), F.col("_next_head.value")).otherwise(F.col("_next")).alias(upcoming[1]))
     if last_flag:
-        added.append((F.col("_end") & F.col("_last_range")).alias(last_flag))
+        added.append((F.col("_end") & F.col("_next_head").isNull()).alias(last_flag))
     return rows.select(*wanted, *added)

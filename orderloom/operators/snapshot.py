@@ -19,7 +19,7 @@ from pyspark.sql.window import Window as W
 from orderloom.functions import labels as L
 from orderloom.functions.columns import AVERAGE, MONEY, moment
 from orderloom.operators.dimensions import date_spine
-from orderloom.session import ensure_checkpoint_dir
+from orderloom.session import pinned
 
 RUNNING = (W.unboundedPreceding, W.currentRow)
 PAID = (L.COMPLETED, L.REFUNDED)
@@ -47,15 +47,6 @@ def status_intervals(history: DataFrame, start: dt.date, end: dt.date) -> DataFr
     ).where("from_day < to_day")
 
 
-def point_in_time(history: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
-    """One row per order and visible day.  Grows with orders x days: for short ranges and tests."""
-    days = F.sequence("from_day", F.date_sub("to_day", 1))
-    return (status_intervals(history, start, end)
-            .select("*", F.explode(days).alias("metric_date"))
-            .withColumn("enters", F.col("enters") & (F.col("metric_date") == F.col("from_day")))
-            .drop("from_day", "to_day"))
-
-
 def _marks(intervals: DataFrame, end: dt.date, *columns) -> DataFrame:
     """Two rows per interval: +1 on its first day, -1 on the day after its last."""
     edges = F.array(F.struct(F.col("from_day").alias("day"), F.lit(1).alias("sign")),
@@ -173,7 +164,7 @@ def interval_statistics(intervals: DataFrame, sizes: DataFrame, end: dt.date) ->
     amounts = intervals.select("from_day", "to_day", _cents("order_amount").alias("cents"))
     lowest, steps_down = _search_plan(amounts)
     marks = _marks(amounts, end, (F.col("cents") - F.lit(lowest)).alias("cents"))
-    chosen = _wanted_ranks(sizes).checkpoint()
+    chosen = pinned(_wanted_ranks(sizes))
     for high, low in steps_down:
         parent, child = F.shiftright("cents", high), F.shiftright("cents", low)
         # at most four buckets per calendar day
@@ -189,32 +180,29 @@ def interval_statistics(intervals: DataFrame, sizes: DataFrame, end: dt.date) ->
         across = W.partitionBy("bucket", "child").orderBy("day").rowsBetween(*RUNNING)
         counts = grid.withColumn("held", F.sum("step").over(across)).where("asked and held > 0")
         # at most four rows per day; stored so that the plan does not grow with each step
-        chosen = _pick(counts.select("day", "bucket", "child", "held"), chosen).checkpoint()
+        chosen = pinned(_pick(counts.select("day", "bucket", "child", "held"), chosen))
     return _statistics(chosen, lowest)
 
 
 def daily_statistics(rows: DataFrame, day: str, amount: str) -> DataFrame:
     """Exact min, median and max of ``amount`` per day, by the same search over plain rows."""
-    ensure_checkpoint_dir(rows.sparkSession)
-    values = (rows.where(F.col(amount).isNotNull())
-              .groupBy(F.col(day).alias("day"), _cents(amount).alias("cents")).agg(F.count(F.lit(1)).alias("held"))
-              .checkpoint())
+    values = pinned(rows.where(F.col(amount).isNotNull())
+                    .groupBy(F.col(day).alias("day"), _cents(amount).alias("cents")).agg(F.count(F.lit(1)).alias("held")))
     lowest, steps_down = _search_plan(values)
     offset = F.col("cents") - F.lit(lowest)
-    chosen = _wanted_ranks(values.groupBy("day").agg(F.sum("held").alias("n"))).checkpoint()
+    chosen = pinned(_wanted_ranks(values.groupBy("day").agg(F.sum("held").alias("n"))))
     for high, low in steps_down:
         parent, child = F.shiftright(offset, high), F.shiftright(offset, low)
         counts = values.groupBy("day", parent.alias("bucket"), child.alias("child")).agg(F.sum("held").alias("held"))
         wanted = chosen.select("day", "bucket").distinct()
-        chosen = _pick(counts.join(wanted, ["day", "bucket"], "left_semi"), chosen).checkpoint()
+        chosen = pinned(_pick(counts.join(wanted, ["day", "bucket"], "left_semi"), chosen))
     return _statistics(chosen, lowest)
 
 
 def daily_order_state(history: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
     """Point-in-time order measures, one row per day of ``[start, end)`` that has any order."""
-    ensure_checkpoint_dir(history.sparkSession)
     # narrow and read by several passes; the checkpoint also cuts the lineage of the history
-    intervals = status_intervals(history, start, end).checkpoint()
+    intervals = pinned(status_intervals(history, start, end))
     measures, entries = _additive(), _entries()
     sign = F.col("sign")
 
@@ -229,7 +217,7 @@ def daily_order_state(history: DataFrame, start: dt.date, end: dt.date) -> DataF
     spine = date_spine(history.sparkSession, start, end).withColumnRenamed("calendar_date", "day")
     customers = ["unique_customers", "customers_with_completed_orders"]
     days = spine.join(changes, "day", "left").join(_customer_steps(intervals, end), "day", "left")
-    days = _running(days, [*measures, *customers]).where("total_orders > 0").checkpoint()
+    days = pinned(_running(days, [*measures, *customers]).where("total_orders > 0"))
 
     paid = intervals.where(F.col("order_status").isin(*PAID))
     statistics = interval_statistics(paid.where(F.col("order_amount").isNotNull()),

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,10 +24,10 @@ def stg_customers(raw: DataFrame, lookups: Lookups, as_of: dt.date) -> DataFrame
         F.coalesce("_region", F.lit(L.DEFAULT_REGION)).alias("region"))
 
 
-def stg_orders(raw: DataFrame, hot: Sequence = ()) -> DataFrame:
+def stg_orders(raw: DataFrame) -> DataFrame:
     """Number the status rows of each order and mark the current one; ties go by record id."""
     return sequence_rows(raw, "order_id", ["created_at", "record_id"], "status_sequence",
-                         last_flag="is_current_status", hot=hot).select(
+                         last_flag="is_current_status").select(
         "record_id", "order_id", "customer_id", "order_date", "status", "total_amount", "created_at",
         "status_sequence", "is_current_status",
         F.year("created_at").alias("created_year"),
@@ -53,8 +52,8 @@ def priced_items(raw: DataFrame, lookups: Lookups) -> DataFrame:
         ladder("line_total", L.LINE_VALUE_TIER, L.LINE_VALUE_TIER_TOP, "<").alias("line_value_tier"))
 
 
-def stg_order_items(raw: DataFrame, lookups: Lookups, hot: Sequence = ()) -> DataFrame:
-    return sequence_rows(priced_items(raw, lookups), "order_id", ["created_at", "id"], "item_sequence", hot=hot)
+def stg_order_items(raw: DataFrame, lookups: Lookups) -> DataFrame:
+    return sequence_rows(priced_items(raw, lookups), "order_id", ["created_at", "id"], "item_sequence")
 
 
 def stg_products(raw: DataFrame, lookups: Lookups) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql.window import Window as W
 from orderloom.functions.columns import moment
 from orderloom.operators import analysis, metrics, snapshot
 from orderloom.plans.warehouse import Warehouse
-from orderloom.session import ensure_checkpoint_dir
+from orderloom.session import pinned
 from orderloom.sources.lookups import Lookups
 from orderloom.sources.store import MONTH, Store
 from orderloom.sources.tables import RAW_TABLES, Sources, raw_table
@@ -100,7 +100,7 @@ def newest_per_key(rows: DataFrame, keys: list[str], column: str = "created_at")
 
 
 def _ids(*frames: DataFrame) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), frames).distinct().checkpoint()
+    return pinned(reduce(lambda a, b: a.unionByName(b), frames).distinct())
 
 
 def _changed_attributes(old: DataFrame, new: DataFrame, key: str, columns: list[str]) -> DataFrame:
@@ -113,20 +113,19 @@ def _changed_attributes(old: DataFrame, new: DataFrame, key: str, columns: list[
 def apply_changes(store: Store, changes: dict[str, DataFrame], lookups: Lookups, as_of: dt.date, calendar,
                   loaded_at: dt.datetime | None = None, tables: list[str] = TABLES) -> Warehouse:
     """Upsert changed raw rows and bring ``tables`` up to date."""
-    ensure_checkpoint_dir(store.spark)
     key_of = {name: key for name, (_, key, _) in RAW_TABLES.items()}
 
     def newest(name: str) -> DataFrame:
         if name not in changes:
             return store.read(name).limit(0)
-        return newest_per_key(changes[name], [key_of[name]]).checkpoint()
+        return pinned(newest_per_key(changes[name], [key_of[name]]))
 
     def overwritten(name: str) -> DataFrame:
         """Stored rows that the changes replace; fetched before they are gone."""
         key, stored = key_of[name], store.read(name)
         if name not in changes:
             return stored.limit(0)
-        rows = stored.join(fresh[name].select(key), key, "left_semi").checkpoint()
+        rows = pinned(stored.join(fresh[name].select(key), key, "left_semi"))
         store.replace_keys(name, fresh[name], [key], month="created_at")
         return rows
 
@@ -151,8 +150,8 @@ def apply_changes(store: Store, changes: dict[str, DataFrame], lookups: Lookups,
     part.pin("raw", {**w.raw, "raw_orders": orders.join(touched, "order_id", "left_semi"),
                      "raw_order_items": items.join(touched, "order_id", "left_semi")})
     wanted = [f for f in FACTS if f in tables]
-    before = _each(wanted, lambda name: store.read(name).join(touched, "order_id", "left_semi").checkpoint())
-    after = _each(wanted, lambda name: getattr(part, name).checkpoint())
+    before = _each(wanted, lambda name: pinned(store.read(name).join(touched, "order_id", "left_semi")))
+    after = _each(wanted, lambda name: pinned(getattr(part, name)))
     for name, table in _each(wanted, lambda name: store.replace_keys(
             name, after[name], ["order_id"], "order_date", touched)).items():
         w.pin(name, table)
@@ -190,7 +189,7 @@ def _base_updates(w: Warehouse, store: Store, before: dict, after: dict, old: di
     def changed_members(dimension: str, key: str, columns: list[str]) -> DataFrame | None:
         if dimension not in old or dimension not in tables:
             return None
-        return _changed_attributes(old[dimension], getattr(w, dimension), key, columns).checkpoint()
+        return pinned(_changed_attributes(old[dimension], getattr(w, dimension), key, columns))
 
     customers = changed_members("dim_customer", "customer_key", ["customer_segment", "region"])
     products = changed_members("dim_product", "product_key",

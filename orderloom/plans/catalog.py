@@ -16,8 +16,8 @@ from orderloom.operators import analysis, dimensions, facts, lifecycle, metrics,
 from orderloom.plans.build import full_build, incremental_build
 from orderloom.plans.expectations import SUITE
 from orderloom.plans.warehouse import Warehouse
-from orderloom.session import ensure_checkpoint_dir
-from orderloom.sources.adapter import AS_OF, CALENDAR, star_schema_sources
+from orderloom.session import ensure_checkpoint_dir, pinned
+from orderloom.sources.adapter import AS_OF, star_schema_sources
 from orderloom.sources.store import Store
 from orderloom.sources.tables import table_stats
 
@@ -27,7 +27,7 @@ AUDIT_COLUMNS = ["created_at_dim", "updated_at_dim", "dim_created_at", "dim_upda
 
 
 def warehouse(spark: SparkSession, folder: str) -> Warehouse:
-    return Warehouse(star_schema_sources(spark, folder), AS_OF, CALENDAR)
+    return Warehouse(star_schema_sources(spark, folder), AS_OF)
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -55,10 +55,9 @@ LINE_COLUMNS = ["product_key", "product_id", "order_key", "customer_key", "order
 
 def stored(w: Warehouse, *names: str, columns: list[str] | None = None) -> Warehouse:
     """Store tables that a query reads several times, as a build does, instead of deriving them each time."""
-    ensure_checkpoint_dir(w.spark)
     for name in names:
         table = getattr(w, name)
-        w.pin(name, (table.select(*columns) if columns else table).checkpoint())
+        w.pin(name, pinned(table.select(*columns) if columns else table))
     return w
 
 
@@ -94,7 +93,7 @@ QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "stg_products": lambda w: w.stg_products,
     "stg_orders": lambda w: w.stg_orders,
     "stg_order_items": lambda w: w.stg_order_items,
-    "dim_date": lambda w: w.dim_date,
+    "dim_date": lambda w: dimensions.days_with_orders(w.dim_date, w.raw["raw_orders"]),
     "dim_customer": lambda w: w.dim_customer,
     "dim_product": lambda w: w.dim_product,
     "product_price_bands": lambda w: dimensions.product_price_bands(w.stg_products),

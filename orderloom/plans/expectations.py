@@ -20,14 +20,14 @@ SUITE = {
     "source_customers": E("id email name signup_date country created_at", "id email"),
     "source_products": E("id name category price created_at", "id", ranges={"price": POSITIVE}),
     "source_orders": E("record_id id customer_id order_date status total_amount created_at", "record_id",
-                       accepted={"status": L.SOURCE_STATUSES}, ranges={"total_amount": NOT_NEGATIVE},
+                       accepted={"status": L.HISTORY_STATUSES}, ranges={"total_amount": NOT_NEGATIVE},
                        references={"customer_id": ("source_customers", "id")}),
     "source_order_items": E("id order_id product_id quantity unit_price created_at", "id",
                             ranges={"quantity": AT_LEAST_ONE, "unit_price": POSITIVE},
                             references={"order_id": ("source_orders", "id"), "product_id": ("source_products", "id")}),
     "raw_customers": E("id email name signup_date country", "id email"),
     "raw_products": E("id name category price", "id", ranges={"price": POSITIVE}),
-    "raw_orders": E("record_id order_id customer_id status", "record_id", accepted={"status": L.SOURCE_STATUSES},
+    "raw_orders": E("record_id order_id customer_id status", "record_id", accepted={"status": L.HISTORY_STATUSES},
                     references={"customer_id": ("raw_customers", "id")}),
     "raw_order_items": E("id order_id product_id quantity unit_price", "id",
                          ranges={"quantity": AT_LEAST_ONE, "unit_price": POSITIVE},
@@ -37,7 +37,7 @@ SUITE = {
     "stg_products": E("id name category price price_tier category_group", "id",
                       accepted={"price_tier": L.PRICE_TIERS, "category_group": GROUPS}, ranges={"price": POSITIVE}),
     "stg_orders": E("record_id order_id customer_id status is_current_status", "record_id",
-                    accepted={"status": L.SOURCE_STATUSES}, references={"customer_id": ("stg_customers", "id")}),
+                    accepted={"status": L.HISTORY_STATUSES}, references={"customer_id": ("stg_customers", "id")}),
     "stg_order_items": E("id order_id product_id quantity unit_price line_total", "id",
                          ranges={"quantity": AT_LEAST_ONE, "unit_price": POSITIVE, "line_total": POSITIVE},
                          references={"product_id": ("stg_products", "id")}),

@@ -6,23 +6,28 @@ import datetime as dt
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from orderloom.operators import analysis, dimensions, facts, metrics, snapshot, staging
-from orderloom.operators.ranking import HOT_ROWS, heavy_keys
 from orderloom.sources.tables import RAW_TABLES, Sources, raw_table
 
 
 class Warehouse:
-    """Tables are attributes; nothing runs until one is used.
+    """Tables are attributes, derived on first use.
+
+    Most are lazy.  Those that number or rank rows store their range partitions when they are first read, and
+    the daily snapshot finds its medians then.
 
     ``as_of`` stands for "today" everywhere and ``calendar`` is the date spine, end
-    exclusive.  ``pin`` puts a stored table in the place of a derived one, so that
+    exclusive; by default it covers all status dates.  ``pin`` puts a stored table in the place of a derived one, so that
     everything built on it reads the storage.
     """
 
-    def __init__(self, sources: Sources, as_of: dt.date, calendar: tuple[dt.date, dt.date],
-                 loaded_at: dt.datetime | None = None, hot_rows: int = HOT_ROWS):
-        self.sources, self.as_of, self.calendar, self.hot_rows = sources, as_of, calendar, hot_rows
+    def __init__(self, sources: Sources, as_of: dt.date, calendar: tuple[dt.date, dt.date] | None = None,
+                 loaded_at: dt.datetime | None = None):
+        self.sources, self.as_of = sources, as_of
+        if calendar:
+            self.calendar = calendar
         self.loaded_at = loaded_at or dt.datetime.combine(as_of, dt.time())
         self.lookups = sources.lookups
 
@@ -33,6 +38,15 @@ class Warehouse:
     def spark(self) -> SparkSession:
         return self.sources.orders.sparkSession
 
+    @cached_property
+    def calendar(self) -> tuple[dt.date, dt.date]:
+        """First day and the day after the last one of all status rows."""
+        day = F.to_date("created_at")
+        first, last = self.sources.orders.agg(F.min(day), F.max(day)).first()
+        if first is None:
+            return self.as_of, self.as_of + dt.timedelta(days=1)
+        return first, last + dt.timedelta(days=1)
+
     # --- raw and staging ------------------------------------------------------------
 
     @cached_property
@@ -40,17 +54,6 @@ class Warehouse:
         named = self.sources.named()
         return {name: raw_table(named[source], name) for name, (source, _, _) in RAW_TABLES.items()}
 
-    @cached_property
-    def hot_orders(self) -> list:
-        """Orders with so many status rows that one window task must not hold them."""
-        ids = self.sources.status_order_ids
-        return heavy_keys(self.raw["raw_orders"] if ids is None else ids, "order_id", self.hot_rows)
-
-    @cached_property
-    def hot_item_orders(self) -> list:
-        ids = self.sources.item_order_ids
-        return heavy_keys(self.raw["raw_order_items"] if ids is None else ids, "order_id", self.hot_rows)
-
     @cached_property
     def stg_customers(self) -> DataFrame:
         return staging.stg_customers(self.raw["raw_customers"], self.lookups, self.as_of)
@@ -61,11 +64,11 @@ class Warehouse:
 
     @cached_property
     def stg_orders(self) -> DataFrame:
-        return staging.stg_orders(self.raw["raw_orders"], self.hot_orders)
+        return staging.stg_orders(self.raw["raw_orders"])
 
     @cached_property
     def stg_order_items(self) -> DataFrame:
-        return staging.stg_order_items(self.raw["raw_order_items"], self.lookups, self.hot_item_orders)
+        return staging.stg_order_items(self.raw["raw_order_items"], self.lookups)
 
     # --- dimensions -----------------------------------------------------------------
 
@@ -104,7 +107,7 @@ class Warehouse:
     @cached_property
     def fact_orders_scd2(self) -> DataFrame:
         return facts.fact_orders_scd2(self.raw["raw_orders"], self.order_items_agg, self.dim_customer,
-                                      self.loaded_at, self.hot_orders)
+                                      self.loaded_at)
 
     # --- daily bases and metrics ----------------------------------------------------
 

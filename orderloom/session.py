@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -41,5 +44,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="orderloom-checkpoint-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
     context.setCheckpointDir(folder)
     return folder
+
+
+def pinned(df: DataFrame) -> DataFrame:
+    """Write ``df`` once as Parquet to the shared folder and return its stored form.
+
+    Lineage ends there, as with a checkpoint, but readers prune columns and push filters down.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pinned-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -9,6 +9,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from orderloom.functions import labels as L
 from orderloom.functions.columns import moment
@@ -16,11 +17,11 @@ from orderloom.sources.lookups import Lookups
 from orderloom.sources.tables import Sources
 
 AS_OF = dt.date(2001, 9, 1)
-CALENDAR = (dt.date(1995, 1, 1), dt.date(2002, 1, 1))  # end exclusive
 
 SIGNUP_START = dt.date(1999, 9, 1)
 PRODUCT_CREATED = dt.datetime(1994, 12, 1)
 NAME_SUFFIXES = ["spring", "summer", "fall", "winter", "holiday", "limited edition", "premium", "classic"]
+# The product categories, in order.
 CATEGORIES = [
     "Dresses", "Tops & Blouses", "Sweaters & Knitwear", "Jackets & Coats", "Pants & Trousers", "Skirts",
     "Jeans & Denim", "Activewear & Athleisure", "Lingerie & Intimates", "Sleepwear & Loungewear",
@@ -84,17 +85,18 @@ def star_schema_sources(spark: SparkSession, folder: str) -> Sources:
     discount = 1 - F.col("l_discount").cast("decimal(10,2)")
     lines = (
         lineitem
-        .join(part.select("p_partkey", price.alias("list_price")), F.col("l_partkey") == F.col("p_partkey"))
+        .withColumn("nth", F.row_number().over(W.partitionBy("l_orderkey", "l_linenumber").orderBy(
+            "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount")))
+        # lines of unknown products and orders stay, so that the checks see them
+        .join(part.select("p_partkey", price.alias("list_price")), F.col("l_partkey") == F.col("p_partkey"), "left")
         .select("l_orderkey", "l_partkey", "l_linenumber",
-                # a row's own content names it: no numbering within orders is needed
-                F.md5(F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                                  F.col("l_quantity").cast("int"),
-                                  F.col("l_extendedprice").cast("decimal(12,2)"))).alias("id"),
+                # lines of an order may share a number: their place among those makes the id unique
+                (F.col("l_orderkey") * 1_000_000 + F.col("l_linenumber") * 1000 + F.col("nth")).alias("id"),
                 (1 + F.col("l_quantity").cast("int") % 6).alias("quantity"),
                 F.round(F.col("list_price") * discount, 2).cast("decimal(10,2)").alias("unit_price")))
     order_items = (
         lines.join(orders.select("o_orderkey", ordered_at.alias("order_date")),
-                   F.col("l_orderkey") == F.col("o_orderkey"))
+                   F.col("l_orderkey") == F.col("o_orderkey"), "left")
         .select("id", F.col("l_orderkey").cast("string").alias("order_id"), F.col("l_partkey").alias("product_id"),
                 "quantity", "unit_price",
                 (F.col("order_date") + F.make_dt_interval(mins=F.col("l_linenumber"))).alias("created_at")))
@@ -109,6 +111,7 @@ def star_schema_sources(spark: SparkSession, folder: str) -> Sources:
     closed = _days(placed, 1 + k % 4)
     log = F.array_compact(F.array(
         step(1, L.PENDING, placed),
+        F.when(k % 5 == 0, step(4, L.ITEMS_ADDED, placed + F.make_dt_interval(hours=F.lit(6)))),
         F.when(status == "F", step(2, L.COMPLETED, closed)),
         F.when((status == "O") & (k % 3 == 0), step(2, L.CANCELLED, closed)),
         F.when((status == "F") & (k % 12 == 0), step(3, L.REFUNDED, _days(placed, 2 + k % 4 + k % 2)))))
@@ -121,6 +124,4 @@ def star_schema_sources(spark: SparkSession, folder: str) -> Sources:
         .select("record_id", "id", "customer_id", "order_date", "status", "total_amount", "created_at"))
 
     return Sources(customers, products, order_log, order_items,
-                   lookups=Lookups(country_region=country_region),
-                   status_order_ids=orders.select(k.cast("string").alias("order_id")),
-                   item_order_ids=lineitem.select(F.col("l_orderkey").cast("string").alias("order_id")))
+                   lookups=Lookups(country_region=country_region))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.operators.quality import require_same_schema
-from orderloom.session import ensure_checkpoint_dir
+from orderloom.session import pinned
 
 MONTH = "_month"  # partition column, not part of the table's own columns
 
@@ -82,14 +82,13 @@ class Store:
         if not month:
             kept = self.read(name).join(changed, keys, "left_anti")
             return self.write(kept.unionByName(rows), name)
-        ensure_checkpoint_dir(self.spark)
-        rows = rows.withColumn(MONTH, month_of(month)).checkpoint()
+        rows = pinned(rows.withColumn(MONTH, month_of(month)))
         stored = self.read_with_month(name)
         touched = stored.join(changed, keys, "left_semi").select(MONTH).unionByName(rows.select(MONTH))
         months = [r[0] for r in touched.distinct().collect()]  # calendar months: a short list
         if months:
             kept = stored.where(F.col(MONTH).isin(*months)).join(changed, keys, "left_anti")
-            content = kept.unionByName(rows).checkpoint()  # the files it was read from are about to be replaced
+            content = pinned(kept.unionByName(rows))  # the files it was read from are about to be replaced
             left = {r[0] for r in content.select(MONTH).distinct().collect()}
             self._write_months(content, name, "dynamic")
             for gone in set(months) - left:

@@ -38,19 +38,13 @@ RAW_TABLES = {
 
 @dataclass
 class Sources:
-    """The four source tables and the lookups.
-
-    ``status_order_ids`` and ``item_order_ids`` may give the order ids of the status and
-    item rows more cheaply than the tables do; they only feed the search for oversized orders.
-    """
+    """The four source tables and the lookups."""
 
     customers: DataFrame
     products: DataFrame
     orders: DataFrame
     order_items: DataFrame
     lookups: Lookups = field(default_factory=Lookups)
-    status_order_ids: DataFrame | None = None
-    item_order_ids: DataFrame | None = None
 
     def named(self) -> dict[str, DataFrame]:
         return {"source_customers": self.customers, "source_products": self.products,

@@ -10,9 +10,18 @@ from orderloom.operators import metrics, snapshot
 from tests.conftest import CALENDAR, by
 
 
+def point_in_time(history, start, end:
+    """One row per order and visible day."""
+    days = F.sequence("from_day", F.date_sub("to_day", 1))
+    return (snapshot.status_intervals(history, start, end)
+            .select("*", F.explode(days).alias("metric_date"))
+            .withColumn("enters", F.col("enters") & (F.col("metric_date") == F.col("from_day")))
+            .drop("from_day", "to_day"))
+
+
 def naive_state(history, start, end):
     """The snapshot in its plain form: one row per order and day, distinct counts, exact percentile."""
-    rows = snapshot.point_in_time(history, start, end)
+    rows = point_in_time(history, start, end)
 
     def orders(test):
         return F.count_distinct(F.when(test, F.col("order_id")))
@@ -74,7 +83,7 @@ def test_sweep_equals_exploded_form(random_history, monkeypatch, bits):
 
 def test_status_population_equals_exploded_form(random_history):
     got = snapshot.daily_status_population(random_history, *CALENDAR)
-    want = snapshot.point_in_time(random_history, *CALENDAR).groupBy("metric_date", "order_status").agg(
+    want = point_in_time(random_history, *CALENDAR).groupBy("metric_date", "order_status").agg(
         F.count("*").alias("orders"), F.sum("order_amount").cast("decimal(20,2)").alias("amount"))
     assert got.count() == want.count() and got.exceptAll(want).count() == 0
 

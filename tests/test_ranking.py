@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from orderloom.operators.ranking import heavy_keys, rank_rows, sequence_rows
+from orderloom.operators.ranking import rank_rows, sequence_rows
 
 
 @pytest.fixture(scope="module")
@@ -46,19 +46,16 @@ def test_rank_rows_without_aqe_merging(spark, skewed):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
-def test_heavy_keys(skewed):
-    assert heavy_keys(skewed, "team", min_rows=900, fraction=1) == ["hot"]
-    assert heavy_keys(skewed, "team") == []
-
-
 @pytest.mark.parametrize("merge", ["true", "false"])
 def test_spread_sequence_equals_plain(spark, skewed, merge):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", merge)
     try:
         rows = skewed.where("value is not null")
         options = dict(key="team", order=["value", "key"], seq="seq", upcoming=("value", "next"), last_flag="last")
-        plain = sequence_rows(rows, **options)
-        spread = sequence_rows(rows, **options, hot=["hot", "g1"])
+        window = W.partitionBy("team").orderBy("value", "key")
+        plain = rows.select("*", F.row_number().over(window).alias("seq"), F.lead("value").over(window).alias("next"),
+                            F.lead(F.lit(1)).over(window).isNull().alias("last"))
+        spread = sequence_rows(rows, **options)
         assert spread.columns == plain.columns
         assert spread.count() == rows.count()
         assert spread.exceptAll(plain).count() == 0

@@ -5,7 +5,6 @@ from tests.conftest import AS_OF, by
 from pyspark.sql import functions as F
 
 from orderloom.operators.dimensions import dim_date
-from orderloom.operators.ranking import heavy_keys
 
 
 def test_customers(warehouse):
@@ -81,17 +80,3 @@ def test_calendar(spark):
 def test_default_calendar_size(spark):
     days = dim_date(spark, AS_OF)
     assert days.count() == 2921 and days.agg(F.max("calendar_date")).first()[0] == dt.date(2027, 12, 30)
-
-
-def test_hot_orders_take_the_other_route(spark, sources):
-    """The same tables come out when the larger orders are routed through the range path."""
-    from tests.conftest import CALENDAR
-    from orderloom.plans.warehouse import Warehouse
-    plain, routed = Warehouse(sources, AS_OF, CALENDAR), Warehouse(sources, AS_OF, CALENDAR)
-    hot = heavy_keys(plain.raw["raw_orders"], "order_id", min_rows=2, fraction=1)
-    assert sorted(hot) == ["A", "C", "D"]
-    routed.pin("hot_orders", hot)
-    routed.pin("hot_item_orders", ["A", "C"])
-    for name in ("stg_orders", "stg_order_items", "fact_orders_scd2"):
-        a, b = getattr(plain, name), getattr(routed, name)
-        assert a.count() == b.count() and a.exceptAll(b).count() == 0, name
