@@ -83,7 +83,6 @@ SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
        CASE WHEN n >= 1000 AND page_id <> lead THEN lead END AS refers_to
 FROM m
 """,
-    "op1_simhash": op1_simhash,
     "op7_chat_format": r"""
 WITH rows_ AS (
   SELECT conv_id, turn, role, coalesce(text, '') AS t FROM conversations
