@@ -35,7 +35,7 @@ from orderloom.llm.common import Stored
 
 TABLES, CUTS, WIDTH, SEED = 4, 8, 2.5, 11
 TOP, SAMPLE, AIM, MOST_PROBES = 20, 4000, 0.95, 1500
-CELL, PART_ROWS = 4096, 50_000
+CELL, PART_ROWS = 4096, 20_000
 
 
 def perturbations(cuts: int, count: int) -> list[tuple[int, ...]]:
@@ -272,7 +272,8 @@ def nearest(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding",
             .select("tab", "bucket", F.ceil(F.col("_m") / cell).cast("int").alias("ms"), F.ceil(F.col("_q") / cell).cast("int").alias("qs")))
     grid = Stored(grid, "lsh-grid").df
     total = members.count()
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / PART_ROWS))
+    # A part returns the best of each query that visits it, so parts follow the size of the index alone.
+    parts = max(1, math.ceil(total / PART_ROWS))
 
     def placed(df: DataFrame, key_: str, mine: str, other: str) -> DataFrame:
         spread = df.join(grid, ["tab", "bucket"]).withColumn("_own", F.pmod(F.xxhash64(key_), F.col(mine)))
