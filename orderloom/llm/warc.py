@@ -35,7 +35,7 @@ from urllib.parse import quote, urlsplit
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.llm.common import Stored, new_folder
@@ -44,7 +44,7 @@ LEAST_REVISIT_BYTES = 1000
 BLOCK_LINES = 1000
 MOST_INDEX_FILES = 10_000
 READ_BYTES = 4 << 20
-CHUNK_BITS = 26
+CHUNK_BITS = 23
 DATE = "2000-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -187,7 +187,7 @@ def build_index(captures: DataFrame, block_lines: int = BLOCK_LINES, folder: str
     """Write index files over ``captures`` and return the top level."""
     spark = captures.sparkSession
     folder = folder or new_folder(spark, "cdx")
-    parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), MOST_INDEX_FILES)
+    parts = min(_tasks(spark), MOST_INDEX_FILES)
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, path = opened(folder)
@@ -277,10 +277,14 @@ def lookup(requests: DataFrame, index: Index, key: str = "page_id", url: str = "
         return requests.sparkSession.createDataFrame([], CAPTURE).drop("entry")
     routed = requests.select(F.col(key).cast("long").alias("page_id"), F.col(url).alias("url")).mapInArrow(
         route, "place bigint, entry string, page_id bigint")
-    dealt = routed.repartitionByRange("place", "entry").sortWithinPartitions("place", "entry")
+    dealt = routed.repartitionByRange(_tasks(requests.sparkSession), "place", "entry").sortWithinPartitions("place", "entry")
     return dealt.mapInArrow(search, CAPTURE).drop("entry")
 
 
+def _tasks(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def read(places: DataFrame, texts: bool = False) -> DataFrame:
     """Records at ``page_id, file, offset, length``: ``page_id, payload_bytes, payload_digest, record_type, refers_to``.
 
@@ -306,7 +310,8 @@ def read(places: DataFrame, texts: bool = False) -> DataFrame:
 
     # A range of an archive is one task's; archives of any size are read by many.
     chunk = F.shiftright("offset", CHUNK_BITS)
-    dealt = (places.select("page_id", "file", "offset", "length").repartition("file", chunk)
+    # Rows are small but stand for whole records, so their number of tasks is not left to their size.
+    dealt = (places.select("page_id", "file", "offset", "length").repartition(_tasks(places.sparkSession), "file", chunk)
              .sortWithinPartitions("file", "offset"))
     schema = "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint"
     return dealt.mapInArrow(records, schema + (", payload binary" if texts else ""))
