@@ -1,4 +1,4 @@
-"""Reports over the status history."""
+"""Reports over the status history, each in the order in which it is shown."""
 
 from __future__ import annotations
 
@@ -15,14 +15,15 @@ ARROW = " → "
 
 def current_snapshot(history: DataFrame) -> DataFrame:
     return history.where("is_current_status").select(
-        "order_id", "order_status", "status_effective_date", "order_amount", "total_line_items")
+        "order_id", "order_status", "status_effective_date", "order_amount", "total_line_items").orderBy("order_id")
 
 
 def order_history(history: DataFrame, order_id: str | None = None) -> DataFrame:
     """Status rows of one order, or of all orders."""
     rows = history if order_id is None else history.where(F.col("order_id") == order_id)
     return rows.select("order_id", "status_change_sequence", "order_status", "status_effective_date",
-                       "status_end_date", "status_duration_hours", "status_lifecycle_stage")
+                       "status_end_date", "status_duration_hours", "status_lifecycle_stage").orderBy(
+        "order_id", "status_change_sequence")
 
 
 def _completions(history: DataFrame) -> DataFrame:
@@ -33,13 +34,15 @@ def completion_by_size(history: DataFrame) -> DataFrame:
     hours = "hours_to_completion"
     return _completions(history).groupBy("order_size_category").agg(
         F.count(F.lit(1)).alias("completed_orders"), mean(hours).alias("avg_hours_to_completion"),
-        F.min(hours).alias("min_hours_to_completion"), F.max(hours).alias("max_hours_to_completion"))
+        F.min(hours).alias("min_hours_to_completion"), F.max(hours).alias("max_hours_to_completion")).orderBy(
+        "avg_hours_to_completion", "order_size_category")
 
 
 def status_dwell(history: DataFrame) -> DataFrame:
     return history.where(F.col("status_end_date").isNotNull()).groupBy("order_status").agg(
         F.count_distinct("order_id").alias("unique_orders"), F.count(F.lit(1)).alias("total_status_instances"),
-        mean("status_duration_hours").alias("avg_duration_hours"))
+        mean("status_duration_hours").alias("avg_duration_hours")).orderBy(
+        F.desc("unique_orders"), "order_status")
 
 
 def daily_changes(history: DataFrame, as_of: dt.date, days: int = 30) -> DataFrame:
@@ -47,7 +50,8 @@ def daily_changes(history: DataFrame, as_of: dt.date, days: int = 30) -> DataFra
     return (history.where(F.col("status_effective_date") >= since)
             .groupBy(F.to_date("status_effective_date").alias("change_date"), "order_status")
             .agg(F.count(F.lit(1)).alias("status_changes"),
-                 F.count_distinct("order_id").alias("unique_orders_affected")))
+                 F.count_distinct("order_id").alias("unique_orders_affected"))
+            .orderBy(F.desc("change_date"), F.desc("status_changes"), "order_status"))
 
 
 def status_journey(history: DataFrame, first: str = L.ITEMS_ADDED, then: str = L.CANCELLED) -> DataFrame:
@@ -64,11 +68,13 @@ def status_journey(history: DataFrame, first: str = L.ITEMS_ADDED, then: str = L
     steps = F.array_sort(F.collect_list(F.struct(seq, status)))
     return (history.join(matching, "order_id", "left_semi").groupBy("order_id")
             .agg(F.count(F.lit(1)).alias("total_status_changes"),
-                 F.array_join(F.transform(steps, lambda s: s["order_status"]), ARROW).alias("status_journey")))
+                 F.array_join(F.transform(steps, lambda s: s["order_status"]), ARROW).alias("status_journey"))
+            .orderBy("order_id"))
 
 
 def completion_speed(history: DataFrame) -> DataFrame:
     speed = ladder("hours_to_completion", L.COMPLETION_SPEED, L.COMPLETION_SPEED_REST, "<=")
     return _completions(history).groupBy(speed.alias("completion_speed")).agg(
         F.count(F.lit(1)).alias("order_count"), mean("order_amount").alias("avg_order_value"),
-        F.sum("order_amount").alias("total_revenue"))
+        F.sum("order_amount").alias("total_revenue"), F.min("hours_to_completion").alias("_fastest")).orderBy(
+        "_fastest").drop("_fastest")

@@ -36,6 +36,9 @@ BASES = ["daily_order_state", *DAY_BASES, *KEY_BASES]
 RESULTS = ["metric_daily_orders", "metric_daily_customers", "metric_daily_products", "daily_metrics",
            "analysis_metrics_dashboard", "analysis_order_trends", "analysis_customer_behavior",
            "analysis_product_performance"]
+# Key and attributes of members whose change reaches into bases.
+WATCHED = {"dim_customer": ["customer_key", "customer_segment", "region"],
+           "dim_product": ["product_key", "category", "category_group", "price_tier", "is_limited_edition"]}
 TABLES = DIMENSIONS + FACTS + BASES + RESULTS
 # Tables of one layer do not read each other, so their jobs may run side by side.
 LAYERS = [DIMENSIONS, FACTS, BASES, RESULTS[:3], RESULTS[3:]]
@@ -46,6 +49,10 @@ def _month(name: str) -> str | None:
     return "order_date" if name in FACTS else None
 
 
+def _key_and_attributes(name: str) -> tuple[str, list[str]]:
+    return WATCHED[name][0], WATCHED[name][1:]
+
+
 def _each(names: Iterable[str], work: Callable[[str], DataFrame]) -> dict[str, DataFrame]:
     names = list(names)
     with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
@@ -112,26 +119,45 @@ def _changed_attributes(old: DataFrame, new: DataFrame, key: str, columns: list[
 
 def apply_changes(store: Store, changes: dict[str, DataFrame], lookups: Lookups, as_of: dt.date, calendar,
                   loaded_at: dt.datetime | None = None, tables: list[str] = TABLES) -> Warehouse:
-    """Upsert changed raw rows and bring ``tables`` up to date."""
+    """Upsert changed raw rows and bring ``tables`` up to date, after finishing a run that stopped half-way."""
+    finish_pending(store, lookups, as_of, calendar, loaded_at, tables)
+    return _apply(store, changes, lookups, as_of, calendar, loaded_at, tables)
+
+
+def finish_pending(store: Store, lookups: Lookups, as_of: dt.date, calendar, loaded_at: dt.datetime | None = None,
+                   tables: list[str] = TABLES) -> None:
+    if store.pending():
+        _apply(store, {}, lookups, as_of, calendar, loaded_at, tables)
+
+
+def _apply(store: Store, changes: dict[str, DataFrame], lookups: Lookups, as_of: dt.date, calendar, loaded_at, tables) -> Warehouse:
     key_of = {name: key for name, (_, key, _) in RAW_TABLES.items()}
 
     def newest(name: str) -> DataFrame:
         if name not in changes:
             return store.read(name).limit(0)
-        return pinned(newest_per_key(changes[name], [key_of[name]]))
+        return newest_per_key(changes[name], [key_of[name]])
 
-    def overwritten(name: str) -> DataFrame:
-        """Stored rows that the changes replace; fetched before they are gone."""
+    def overwritten(name: str, rows: DataFrame) -> DataFrame:
+        """Stored rows that the changes replace."""
         key, stored = key_of[name], store.read(name)
-        if name not in changes:
-            return stored.limit(0)
-        rows = pinned(stored.join(fresh[name].select(key), key, "left_semi"))
-        store.replace_keys(name, fresh[name], [key], month="created_at")
-        return rows
-
-    fresh = _each(RAW_TABLES, newest)
-    replaced = _each(RAW_TABLES, overwritten)
-    old = {name: store.read(name) for name in DIMENSIONS if store.exists(name)}
+        return stored.join(rows.select(key), key, "left_semi") if name in changes else stored.limit(0)
+
+    # Everything the run must know of the state before it is noted first.  If the run stops, the next one finds the
+    # notes and does the same steps again; each of them gives the same tables however often it runs.
+    if not store.pending():
+        store.clear_notes()
+        fresh = _each(RAW_TABLES, lambda name: store.note(f"fresh_{name}", newest(name)))
+        _each(RAW_TABLES, lambda name: store.note(f"replaced_{name}", overwritten(name, fresh[name])))
+        for name, columns in WATCHED.items():
+            if store.exists(name):
+                store.note(f"old_{name}", store.read(name).select(*columns))
+        store.seal_notes()
+    fresh = {name: store.noted(f"fresh_{name}") for name in RAW_TABLES}
+    replaced = {name: store.noted(f"replaced_{name}") for name in RAW_TABLES}
+    old = {name: store.noted(f"old_{name}") for name in WATCHED if store.has_note(f"old_{name}")}
+    _each(RAW_TABLES, lambda name: fresh[name] if fresh[name].isEmpty() else store.replace_keys(
+        name, fresh[name], [key_of[name]], month="created_at"))
     w = _stored_warehouse(store, lookups, as_of, calendar, loaded_at)
     _write_layer(w, store, [d for d in DIMENSIONS if d in tables])
 
@@ -150,7 +176,8 @@ def apply_changes(store: Store, changes: dict[str, DataFrame], lookups: Lookups,
     part.pin("raw", {**w.raw, "raw_orders": orders.join(touched, "order_id", "left_semi"),
                      "raw_order_items": items.join(touched, "order_id", "left_semi")})
     wanted = [f for f in FACTS if f in tables]
-    before = _each(wanted, lambda name: pinned(store.read(name).join(touched, "order_id", "left_semi")))
+    before = _each(wanted, lambda name: store.noted(f"before_{name}") if store.has_note(f"before_{name}") else store.note(
+        f"before_{name}", store.read(name).join(touched, "order_id", "left_semi")))
     after = _each(wanted, lambda name: pinned(getattr(part, name)))
     for name, table in _each(wanted, lambda name: store.replace_keys(
             name, after[name], ["order_id"], "order_date", touched)).items():
@@ -162,6 +189,7 @@ def apply_changes(store: Store, changes: dict[str, DataFrame], lookups: Lookups,
         w.pin(name, table)
     for layer in LAYERS[3:]:
         _write_layer(w, store, [t for t in layer if t in tables])
+    store.clear_notes()
     return w
 
 
@@ -191,9 +219,8 @@ def _base_updates(w: Warehouse, store: Store, before: dict, after: dict, old: di
             return None
         return pinned(_changed_attributes(old[dimension], getattr(w, dimension), key, columns))
 
-    customers = changed_members("dim_customer", "customer_key", ["customer_segment", "region"])
-    products = changed_members("dim_product", "product_key",
-                               ["category", "category_group", "price_tier", "is_limited_edition"])
+    customers = changed_members("dim_customer", *_key_and_attributes("dim_customer"))
+    products = changed_members("dim_product", *_key_and_attributes("dim_product"))
 
     def keys(fact: str, column: str, members: DataFrame | None = None, member_key: str = "") -> DataFrame:
         """Keys of changed facts, and of facts whose customer or product changed."""
@@ -239,9 +266,10 @@ def _base_updates(w: Warehouse, store: Store, before: dict, after: dict, old: di
 def incremental_build(sources: Sources, store: Store, as_of: dt.date, calendar, loaded_at: dt.datetime | None = None,
                       lookback: dt.timedelta = dt.timedelta(0), tables: list[str] = TABLES) -> Warehouse:
     """Bring the store up to date with source rows created after those already loaded."""
+    finish_pending(store, sources.lookups, as_of, calendar, loaded_at, tables)   # it moves the watermark
     named, changes = sources.named(), {}
     for name, (source, _, _) in RAW_TABLES.items():
-        changes[name] = rows_after_watermark(raw_table(named[source], name), store.read(name), lookback=lookback)
+        changes[name] = rows_after_watermark(raw_table(named[source], name), store.newest_rows(name), lookback=lookback)
     return apply_changes(store, changes, sources.lookups, as_of, calendar, loaded_at, tables)
 
 

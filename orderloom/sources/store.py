@@ -9,6 +9,7 @@ from orderloom.operators.quality import require_same_schema
 from orderloom.session import pinned
 
 MONTH = "_month"  # partition column, not part of the table's own columns
+NOTES = "_notes"
 
 
 def month_of(column: str) -> Column:
@@ -47,6 +48,35 @@ class Store:
         versions = self._versions(name)
         return self.spark.read.parquet(f"{self.root}/{name}/v{versions[-1]}" if versions else self._monthly(name))
 
+    def newest_rows(self, name: str) -> DataFrame:
+        """Rows of the newest month of a table kept by months; the other months are not read."""
+        months = self._files.globStatus(self._path(f"{self._monthly(name)}/{MONTH}=*")) or []
+        numbers = [int(n) for n in (m.getPath().getName().split("=")[1] for m in months) if n.lstrip("-").isdigit()]
+        rows = self.read_with_month(name)
+        return (rows.where(F.col(MONTH) == max(numbers)) if numbers else rows).drop(MONTH)
+
+    # Notes of a run under way: what the tables held before it, sealed once complete.
+    def note(self, name: str, df: DataFrame) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{self.root}/{NOTES}/{name}")
+        return self.noted(name)
+
+    def noted(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/{NOTES}/{name}")
+
+    def has_note(self, name: str) -> bool:
+        return self._files.exists(self._path(f"{self.root}/{NOTES}/{name}/_SUCCESS"))
+
+    def seal_notes(self) -> None:
+        self._files.mkdirs(self._path(f"{self.root}/{NOTES}/sealed"))
+
+    def pending(self) -> bool:
+        return self._files.exists(self._path(f"{self.root}/{NOTES}/sealed"))
+
+    def clear_notes(self) -> None:
+        # The seal goes first: notes without it are never followed.
+        for part in ("sealed", ""):
+            self._files.delete(self._path(f"{self.root}/{NOTES}/{part}".rstrip("/")), True)
+
     def _check(self, df: DataFrame, name: str) -> None:
         if self.exists(name):
             require_same_schema(df, self.read(name), name)

@@ -131,3 +131,32 @@ def test_modes_and_stats(spark, sources, tmp_path):
     assert store.read("fact_orders").agg(F.sum("order_amount")).first()[0] == Decimal("1249.98")
     with pytest.raises(ValueError):
         build(read, store, AS_OF, CALENDAR, mode="other")
+
+
+@pytest.mark.parametrize("fails_at", ["fact_orders", "daily_order_state", "metric_daily_orders"])
+def test_a_run_that_stops_is_finished_by_the_next(spark, sources, tmp_path, monkeypatch, fails_at):
+    cut = at("2024-02-29T15:00")
+    early = make_sources(spark, *[[r for r in rows if r[-1] <= cut] for rows in (CUSTOMERS, PRODUCTS, ORDERS, ITEMS)])
+    store, tables = Store(spark, str(tmp_path / "s")), ["dim_customer", "dim_product", "fact_orders", "fact_orders_scd2",
+                                                         "daily_order_state", "metric_daily_orders"]
+    full_build(early, store, cut.date(), CALENDAR, tables=tables)
+    replace_keys, write = Store.replace_keys, Store.write
+
+    def failing(original):
+        def call(self, first, second, *args, **kwargs):
+            if fails_at in (first, second):
+                raise RuntimeError("stopped")
+            return original(self, first, second, *args, **kwargs)
+        return call
+
+    with monkeypatch.context() as m:
+        m.setattr(Store, "replace_keys", failing(replace_keys))
+        m.setattr(Store, "write", failing(write))
+        with pytest.raises(RuntimeError, match="stopped"):
+            incremental_build(sources, store, AS_OF, CALENDAR, tables=tables)
+    assert store.pending()
+    incremental_build(sources, store, AS_OF, CALENDAR, tables=tables)
+    assert not store.pending()
+    whole = Store(spark, str(tmp_path / "whole"))
+    full_build(sources, whole, AS_OF, CALENDAR, tables=tables)
+    same(whole, store, ["raw_orders", *tables])
