@@ -116,7 +116,7 @@ def _mask(ranges: list[tuple[int, int]]) -> int:
 
 def _levels() -> list[list[tuple[int, int]]]:
     """Per level its masks with the number of the mask they refine."""
-    level, out = [(-1, [], [(0, 64)])], []
+    level, out = [(0, [], [(0, 64)])], []
     for _ in range(3):
         following = [(parent, known, rest) for parent, (_, k, r) in enumerate(level) for known, rest in _block_keys(k, r)]
         out.append([(parent, _mask(known)) for parent, known, _ in following])
@@ -129,7 +129,7 @@ LEVELS = _levels()
 
 def _buckets(distinct: DataFrame, crowded: int) -> DataFrame:
     """``level, mask, bucket, fp`` of every bucket with two members or more, none of them crowded."""
-    done, rows = None, distinct.select(F.lit(-1).alias("mask"), "fp")
+    done, rows = None, distinct.select(F.lit(0).alias("mask"), "fp")
     for number, level in enumerate(LEVELS):
         choices = F.array(*[F.struct(F.lit(parent).alias("parent"), F.lit(m).alias("mask"), F.lit(value).cast("long").alias("bits"))
                             for m, (parent, value) in enumerate(level)])
