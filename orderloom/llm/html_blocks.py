@@ -46,6 +46,7 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
                    "sub sup time tt u var wbr br".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN_TEXT = frozenset("script style noscript template textarea title svg iframe head select object canvas".split())
+QUIET = INLINE | frozenset("script style noscript template svg iframe select object canvas".split())   # do not end a block
 RAW_TEXT = frozenset("script style textarea title iframe".split())
 CLOSES_P = frozenset("address article aside blockquote center details dir div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr "
                      "main menu nav ol p pre section table ul li td th tr dt dd".split())
@@ -89,7 +90,7 @@ def blocks_of(page: str | None) -> list[tuple[tuple[str, ...], str, float]]:
             name, _ = stack.pop()
             hidden -= name in HIDDEN_TEXT
             links -= name == "a"
-            if name not in INLINE:
+            if name not in QUIET:
                 block = None
 
     lowered = None
@@ -111,7 +112,7 @@ def blocks_of(page: str | None) -> list[tuple[tuple[str, ...], str, float]]:
                     break
                 if name in INLINE and stack[i][0] not in INLINE:
                     break                  # an inline end tag does not close blocks
-            if name not in INLINE:
+            if name not in QUIET:
                 block = None
             continue
         if name in CLOSES_P:
@@ -130,7 +131,7 @@ def blocks_of(page: str | None) -> list[tuple[tuple[str, ...], str, float]]:
                     break
         if name == "br":
             add(" ")
-        elif name not in INLINE:
+        elif name not in QUIET:
             block = None
         if name in VOID or rest.endswith("/") and name in ("path", "rect", "circle"):
             continue

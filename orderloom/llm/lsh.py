@@ -176,6 +176,13 @@ def _best(query: np.ndarray, member: np.ndarray, score: np.ndarray, top: int) ->
 
 def _scored(left: pd.DataFrame, right: pd.DataFrame, top: int) -> pd.DataFrame:
     """Best members per query in the cells of one part; ``left`` has members, ``right`` the queries with their cells."""
+    sizes = left["vec"].map(len), right["vec"].map(len)
+    parts = [_scored_alike(left[sizes[0] == n], right[sizes[1] == n], top) for n in sorted(set(sizes[0]) & set(sizes[1]))]
+    return pd.concat(parts) if parts else _scored_alike(left[:0], right[:0], top)
+
+
+def _scored_alike(left: pd.DataFrame, right: pd.DataFrame, top: int) -> pd.DataFrame:
+    """The same for vectors of one length."""
     out = [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]]
     if len(left) and len(right):
         left = left.sort_values("cell", kind="stable")
