@@ -7,6 +7,9 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from check import TABLES, compare
+from oracle.queries import ORACLE
+from orderloom.functions import labels
+from orderloom.plans.catalog import registered
 
 FOLDER = "/root/testdata/sf0.001"
 # ``check.py`` compares every query; these cover each layer once
@@ -26,7 +29,14 @@ def connection():
 
 
 def test_every_query_has_a_twin():
-    assert queries().keys() == oracle_sql().keys()
+    assert registered().keys() == ORACLE.keys()
+    assert set(oracle_sql()) <= set(queries())
+
+
+def test_a_changed_threshold_shows(spark, connection, monkeypatch):
+    monkeypatch.setattr(labels, "LINE_VALUE_TIER", [(60, "Low Value Line"), *labels.LINE_VALUE_TIER[1:]])
+    verdict = compare(spark, connection, FOLDER, "stg_order_items", queries()["stg_order_items"], ORACLE["stg_order_items"])
+    assert verdict.startswith("VALUES") and "line_value_tier" in verdict
 
 
 @pytest.mark.parametrize("name", NAMES)
