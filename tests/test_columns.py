@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from orderloom.functions import labels as L
 from orderloom.functions.columns import (by_rules, date_key, day_part, days_between, dow0, first_keyword, first_range,
                                          hours_between, ladder, mean, moment, ntile_of, pct, ratio, season, surrogate_key)
-from orderloom.sources.lookups import COLLECTION_KEYWORDS, COUNTRY_REGIONS, PRICE_TIERS, Lookups, parse_groups
+from orderloom.sources.lookups import COLLECTION_KEYWORDS, COUNTRY_REGIONS, PRICE_TIERS, Lookups
 
 
 def one(spark, **columns):
@@ -104,8 +104,7 @@ def test_ntile_equals_window(spark):
 
 
 def test_lookup_sizes(spark, tmp_path):
-    pairs = parse_groups(COUNTRY_REGIONS)
-    counts = {}
+    pairs, counts = COUNTRY_REGIONS, {}
     for _, region in pairs:
         counts[region] = counts.get(region, 0) + 1
     assert counts == {"north america": 17, "europe": 31, "asia pacific": 27, "south america": 13, "africa": 50,
@@ -115,6 +114,9 @@ def test_lookup_sizes(spark, tmp_path):
     path.write_text("min_price,max_price,price_tier\n0,9.99,Low\n10,99,High\n")
     loaded = Lookups.from_csv(spark, price_tiers=str(path))
     assert loaded.price_tiers == [(Decimal("0.00"), Decimal("9.99"), "Low"), (Decimal("10.00"), Decimal("99.00"), "High")]
+    path = tmp_path / "regions.csv"
+    path.write_text("country,region\natlantis,ocean\n")
+    assert [tuple(r) for r in Lookups.from_csv(spark, country_region=str(path)).country_region.collect()] == [("atlantis", "ocean")]
 
 
 def test_metric_catalogue():

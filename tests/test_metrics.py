@@ -10,7 +10,7 @@ from orderloom.operators import metrics, snapshot
 from tests.conftest import CALENDAR, by
 
 
-def point_in_time(history, start, end:
+def point_in_time(history, start, end):
     """One row per order and visible day."""
     days = F.sequence("from_day", F.date_sub("to_day", 1))
     return (snapshot.status_intervals(history, start, end)
