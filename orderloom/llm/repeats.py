@@ -20,7 +20,7 @@ one place, so starts are dealt out by content first.
 Defined cases: null and empty texts have no bytes; repeated rows (equal id and text) are one document, reported once
 per row; rows that share an id but not the text, and rows without id, are documents of their own, ordered by id
 (null first), then by a hash of the text; texts may be of any length, as they are read in blocks; an empty table has no
-output; other columns are kept by ``without_repeats`` and not read otherwise.
+output; other columns, of any name, are kept by ``without_repeats`` and not read otherwise.
 """
 
 from __future__ import annotations
@@ -492,7 +492,11 @@ def repeat_report(docs: DataFrame, key: str = "doc_id", text: str = "text", leng
 def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH,
                     part_bytes: int = PART_BYTES) -> DataFrame:
     """``docs`` with repeated strings cut out of the text; characters that a cut splits go as a whole."""
-    rows = _with_starts(docs, key, text, length, part_bytes)
+    # The caller's columns travel in one struct, so none of them meets a column of this module.
+    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text])
+    rows = _with_starts(docs.select(F.col(key).alias("key"), F.col(text).alias("text"), others.alias("row")), "key", "text",
+                        length, part_bytes)
+    own = [F.col("text").alias(c) if c == text else F.col("row").getField(c).alias(c) for c in docs.columns]
 
     @F.pandas_udf("string")
     def cut(data: pd.Series, ats: pd.Series) -> pd.Series:
@@ -500,5 +504,5 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", le
                          dtype=object)
 
     # Untouched texts, nulls among them, do not pass through Python.
-    touched = rows.where(F.col("ats").isNotNull()).withColumn(text, cut("bytes", "ats"))
-    return touched.select(*docs.columns).unionByName(rows.where(F.col("ats").isNull()).select(*docs.columns))
+    touched = rows.where(F.col("ats").isNotNull()).withColumn("text", cut("bytes", "ats"))
+    return touched.select(*own).unionByName(rows.where(F.col("ats").isNull()).select(*own))

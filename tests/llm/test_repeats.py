@@ -4,6 +4,9 @@ import random
 import numpy as np
 import pytest
 
+from pyspark.sql import types as T
+
+import corpus_pipeline
 from orderloom.llm import repeats
 
 
@@ -93,3 +96,23 @@ def test_texts_without_repeats(frame):
             assert got[i] == t
     assert got[200] == "" and got[202] is None and len(got) == len(rows)
     assert repeats.repeat_report(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("first", [0, None])
+def test_columns_of_the_caller_keep_their_values(frame, first):
+    """Names that the operator uses itself, with ids that serve as they are and with numbered rows."""
+    names = ["doc", "bytes", "ats", "key", "row", "_mark", "_n", "a.b"]
+    rows = texts(9)
+    docs = frame([(first if i == 0 else i, t, *[f"{n} {i}" for n in names]) for i, t in rows],
+                 T.StructType([T.StructField("doc_id", T.LongType()), *[T.StructField(n, T.StringType()) for n in ["text", *names]]]))
+    out = repeats.without_repeats(docs)
+    assert out.columns == docs.columns
+    got, before = {r[0]: r for r in out.collect()}, {r[0]: r for r in docs.collect()}
+    assert got.keys() == before.keys() and all(got[i][2:] == before[i][2:] for i in got)
+    assert sum(got[i].text != before[i].text for i in got) > 2
+
+
+def test_mix_keeps_a_column_copy(spark, frame):
+    docs = frame([(i, f"text {i}", "s0", f"c{i}") for i in range(40)], "doc_id long, text string, source string, copy string")
+    out = corpus_pipeline.mixing_stage(spark, docs, "")
+    assert out.columns == [*docs.columns, "copy_"] and all(r.copy == f"c{r.doc_id}" and r["copy_"] >= 1 for r in out.collect())
