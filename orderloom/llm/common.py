@@ -49,3 +49,27 @@ def word_count(text: Column) -> Column:
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+HEAVY_SHARE = 4096
+
+
+def join_weighted(rows: DataFrame, keyed: DataFrame, keys: list[str], weight: str, total: int, how: str = "inner") -> DataFrame:
+    """Join ``rows`` to ``keyed``, which has one row per key and in ``weight`` the number of its ``rows``.
+
+    At most ``HEAVY_SHARE`` keys can hold 1/``HEAVY_SHARE`` of all ``total`` rows or more.  Those are broadcast, so their rows
+    stay where they are; the others meet by a shuffle in which no key has more than that share.  Both frames are read
+    twice, so they should be stored.
+    """
+    heavy = F.col(weight) * HEAVY_SHARE >= F.lit(total)
+    crowd = F.broadcast(keyed.where(heavy))
+    rest = rows.join(crowd.select(*keys), keys, "left_anti").join(keyed.where(~heavy), keys, how)
+    return rows.join(crowd, keys).unionByName(rest)
+
+
+def free_name(name: str, columns: list[str]) -> str:
+    """``name``, with underscores until no column is called so."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

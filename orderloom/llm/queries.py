@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import chat, html_blocks, lsh, mixing, quality_crf, repeats, simhash, tiling, toxicity, warc
+from orderloom.llm import (chat, filter_audit, html_blocks, lines, lsh, mixing, quality_crf, repeats, simhash, term_tree, tiling,
+                           toxicity, warc)
 from orderloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +62,19 @@ def op10_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return html_blocks.main_text(table(spark, folder, "pages"))
 
 
+def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op12_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return lines.drop_common_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return term_tree.ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_toxicity": op2_toxicity,
@@ -72,6 +86,9 @@ QUERIES: dict[str, Query] = {
     "op8_mix_sources": op8_mix_sources,
     "op9_repeats": op9_repeats,
     "op10_main_text": op10_main_text,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_line_dedup": op12_line_dedup,
+    "op13_ranked_search": op13_ranked_search,
 }
 
 ORACLE: dict[str, str] = {
@@ -124,5 +141,82 @@ rated AS (
 SELECT doc_id, size, source_size, target, (floor(rate) + (u < rate - floor(rate))::INT)::BIGINT AS copies,
        (size * (floor(rate) + (u < rate - floor(rate))::INT))::BIGINT AS taken
 FROM rated
+""",
+    "op11_filter_audit": r"""
+WITH words AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first_id
+  FROM documents),
+marked AS (
+  SELECT doc_id, part, [len(w) < 100, 100 * len(list_distinct(w)) < 80 * len(w),
+         100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text),
+         regexp_matches(text, '[#$%&*|]'), coalesce(doc_id > first_id, false)] AS fails
+  FROM words),
+labelled AS (
+  SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS bad
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+masks AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (bad) AS bad
+  FROM marked LEFT JOIN labelled USING (doc_id) GROUP BY part, fails),
+parts AS (SELECT DISTINCT part FROM masks),
+one AS (SELECT unnest([1, 2, 3, 4, 5]) AS f),
+orders AS (
+  SELECT [a.f, b.f, c.f, d.f, e.f] AS o, array_to_string(list_transform([a.f, b.f, c.f, d.f, e.f], lambda x: substr('ABCDE', x, 1)), '') AS filter_order
+  FROM one a, one b, one c, one d, one e WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+steps AS (
+  SELECT m.part, o.filter_order, s.f AS step, o.o[s.f] AS filter, n, good, bad, fails[o.o[s.f]] AS failed,
+         len(list_filter(o.o[1:s.f - 1], lambda x: fails[x])) > 0 AS earlier, len(list_filter(fails, lambda x: x)) AS failures
+  FROM masks m, orders o, one s),
+counts AS (
+  SELECT part, filter_order, step, filter,
+         coalesce(sum(n) FILTER (NOT failed AND NOT earlier), 0)::BIGINT AS kept,
+         coalesce(sum(n) FILTER (failed AND NOT earlier), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (failed AND earlier), 0)::BIGINT AS redundant,
+         coalesce(sum(n) FILTER (failed AND failures = 1), 0)::BIGINT AS unique_fails,
+         coalesce(sum(good) FILTER (failed AND NOT earlier), 0)::BIGINT AS good_lost,
+         coalesce(sum(bad) FILTER (failed AND NOT earlier), 0)::BIGINT AS toxic_lost
+  FROM steps GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, filter))::BIGINT AS shapley
+FROM counts
+""",
+    "op12_line_dedup": r"""
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+placed AS (
+  SELECT doc_id, text, unnest(lines) AS line, generate_subscripts(lines, 1) AS place FROM cut),
+keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM placed),
+common AS (
+  SELECT key FROM keyed WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT (doc_id, text)) >= 10)
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(c.key)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (c.key IS NULL), '')) AS kept_sha256
+FROM keyed LEFT JOIN common c ON keyed.key = c.key GROUP BY doc_id, text
+""",
+    "op13_ranked_search": r"""
+WITH found AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents),
+sizes AS (SELECT doc_id, count(*) AS n FROM found GROUP BY doc_id),
+total AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM sizes),
+asked AS (
+  SELECT item_id, term, count(*) AS times FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY item_id, term),
+counted AS (
+  SELECT doc_id, term, count(*) AS tf FROM found WHERE term IN (SELECT term FROM asked) GROUP BY doc_id, term),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM counted, total GROUP BY term, docs),
+scored AS (
+  SELECT item_id, c.doc_id,
+         sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // terms))))::BIGINT AS score
+  FROM counted c JOIN asked USING (term) JOIN weights USING (term) JOIN sizes s ON s.doc_id = c.doc_id, total
+  GROUP BY item_id, c.doc_id)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+FROM scored WHERE score > 0
+QUALIFY rank <= 10
 """,
 }
