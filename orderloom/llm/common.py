@@ -47,6 +47,11 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def text_hash(text: Column) -> Column:
+    """128 bits of a text as hexadecimal digits; null counts as empty."""
+    return F.md5(F.coalesce(text, F.lit("")))
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

@@ -10,11 +10,12 @@ one place, so starts are dealt out by content first.
 2. *Meeting.* Segments meet by anchor.  Of equal segments all but the first are removed; an anchor with one
    text only needs nothing more.  Hot anchors were cut down to one row per text and task before.
 3. *Index.* The distinct segments of an anchor can still share strings.  Their text is fetched, groups are
-   packed into parts of a few MB, and segments that agree with no other next to the anchor are left out.  A part's Burrows-Wheeler transform is stored as runs with a
-   position sampled at each run's end.  All its segments are streamed backwards over the runs at once (one LF
-   step per byte); a row inside an interval of two or more that agree on ``length`` bytes is a long match, and
-   all but the first place of an interval are removed.  A group above ``part_bytes`` is spread by the 128-bit hash of
-   its strings instead, which needs no group in one task and finds the same starts.
+   packed into parts of about ``part_bytes``, and segments that agree with no other next to the anchor are left out.  A part's
+   Burrows-Wheeler transform is stored as runs with the place sampled at each run's end.  Matching statistics are streamed
+   from them: a run's head is compared with the sampled end of the run before, and inside a run the match moves on with
+   the text and gets shorter by one.  Matches of ``length`` bytes or more chain equal strings, and all but the first
+   place of a chain are removed.  A group above ``part_bytes`` is spread by the 128-bit hash of its strings instead, which
+   needs no group in one task and finds the same starts.
 4. *Applying.* Removed starts meet their document, are merged into spans and cut out.
 
 Defined cases: null and empty texts have no bytes; repeated rows (equal id and text) are one document, reported once
@@ -40,7 +41,7 @@ from orderloom.llm.common import Stored, release
 
 LENGTH, GRAM = 100, 32
 BLOCK_BYTES = 1 << 18
-PART_BYTES = 2 << 20
+PART_BYTES = 1 << 19
 CHUNK_ROWS = 1 << 17
 FACTOR = np.uint64(0xD1B54A32D192ED03)
 OTHER = np.uint64(0xA0761D6478BD642F)
@@ -190,90 +191,102 @@ def _meet(rows: DataFrame) -> DataFrame:
 
 
 class RunIndex:
-    """Run-length compressed Burrows-Wheeler transform of a set of segments, each with an end mark of its own."""
+    """Run-length compressed Burrows-Wheeler transform of a set of segments, each with an end mark of its own.
 
-    def __init__(self, parts: list[np.ndarray], length: int = LENGTH):
-        self.length = length
+    Of the suffix order only the places at the borders of runs are kept: that of each run's first row and, sampled, that of
+    the row before it, the end of the previous run.
+    """
+
+    def __init__(self, parts: list[np.ndarray]):
         self.sizes = np.array([len(p) for p in parts])
-        n_parts, n = len(parts), int(self.sizes.sum()) + len(parts)
-        text = np.zeros(n, np.int64)
-        begin = np.cumsum(self.sizes + 1) - self.sizes - 1
-        stop = begin + self.sizes                       # places of the end marks
+        n = int(self.sizes.sum()) + len(parts)
+        self.begin = np.cumsum(self.sizes + 1) - self.sizes - 1
+        stop = self.begin + self.sizes                  # places of the end marks
+        self.text = np.zeros(n, np.int16)
         inside = np.ones(n, bool)
         inside[stop] = False
-        text[inside] = np.concatenate(parts).astype(np.int64) + 1
-        part = np.repeat(np.arange(n_parts), self.sizes + 1)
-        own_stop = stop[part]
-        places = np.arange(n)
-        # Ranks by 7 symbols, then by twice as many in each round; a step never leaves the segment.
+        self.text[inside] = np.concatenate(parts).astype(np.int16) + 1
+        self.own_stop = np.repeat(stop, self.sizes + 1).astype(np.int32)
+        order = self._suffix_order()
+        # Transform: the symbol before each suffix.  A segment's first suffix follows another segment's end mark, so it
+        # is a run by itself.
+        before = np.where(np.isin(order, self.begin.astype(np.int32)), np.int16(-1), self.text[order - 1])
+        heads = np.flatnonzero(np.append(True, (before[1:] != before[:-1]) | (before[1:] < 0)))
+        self.run_symbol, self.run_size = before[heads], np.diff(np.append(heads, n)).astype(np.int32)
+        self.run_head_place = order[heads[1:]]
+        self.run_end_place = order[heads[1:] - 1]
+
+    def _suffix_order(self) -> np.ndarray:
+        """Places in the order of their suffixes, by ranks over twice as many symbols in each round."""
+        n = len(self.text)
+        places = np.arange(n, dtype=np.int32)
         key = np.zeros(n, np.int64)
         for k in range(7):
-            at = np.minimum(places + k, own_stop)
-            key = key << 9 | text[at]
-        key[stop] = np.arange(n_parts) - n_parts        # end marks come first, in order
-        rank, depth, exact = self._ranks(key), 7, None
-        while True:
-            if exact is None and 2 * depth >= length:
-                exact = rank, rank[np.minimum(places + length - depth, own_stop)]
-            if exact is not None and rank.max() == n - 1:
-                break
-            rank = self._ranks(rank * n + rank[np.minimum(places + depth, own_stop)])
+            key = key << 9 | self.text[np.minimum(places + np.int32(k), self.own_stop)]
+        ends = np.flatnonzero(self.own_stop == places)
+        key[ends] = np.arange(len(ends)) - len(ends)     # end marks come first, in order
+        rank, depth = self._ranks(key), 7
+        while int(rank.max()) < n - 1:
+            key = rank.astype(np.int64) * n
+            key += rank[np.minimum(places + np.int32(depth), self.own_stop)]
+            rank = self._ranks(key)
             depth *= 2
-        order = np.empty(n, np.int64)                   # the suffix array, needed only while building
+        order = np.empty(n, np.int32)
         order[rank] = places
-        # Transform: the symbol before each suffix; 257 before a segment's first.
-        before = np.where(order == begin[part[order]], 257, text[order - 1])
-        heads = np.flatnonzero(np.append(True, before[1:] != before[:-1]))
-        self.run_start, self.run_symbol = heads, before[heads]
-        run_size = np.diff(np.append(heads, n))
-        self.run_end_place = order[heads + run_size - 1]
-        by_symbol = np.argsort(self.run_symbol, kind="stable")
-        earlier = np.cumsum(run_size[by_symbol]) - run_size[by_symbol]
-        first_of = np.flatnonzero(np.append(True, self.run_symbol[by_symbol][1:] != self.run_symbol[by_symbol][:-1]))
-        base = np.repeat(earlier[first_of], np.diff(np.append(first_of, len(by_symbol))))
-        count = np.bincount(text, minlength=258)
-        smaller = np.cumsum(count) - count
-        self.run_target = np.empty(len(heads), np.int64)   # where LF sends the first row of a run
-        self.run_target[by_symbol] = smaller[np.minimum(self.run_symbol[by_symbol], 257)] + earlier - base
-        # Intervals of two rows or more that agree on ``length`` symbols, all inside the segments.
-        whole = (own_stop - places >= length)[order]
-        a, b = exact[0][order], exact[1][order]
-        same = (a[1:] == a[:-1]) & (b[1:] == b[:-1]) & whole[1:] & whole[:-1]
-        edge = np.diff(np.concatenate(([0], same.view(np.int8), [0])))
-        self.low, self.high = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) + 1
+        return order
 
     @staticmethod
     def _ranks(key: np.ndarray) -> np.ndarray:
         order = np.argsort(key)
-        ordered = key[order]
-        rank = np.empty(len(key), np.int64)
-        rank[order] = np.cumsum(np.append(False, ordered[1:] != ordered[:-1]))
+        key = key[order]
+        rank = np.empty(len(key), np.int32)
+        rank[order] = np.cumsum(np.append(False, key[1:] != key[:-1]), dtype=np.int32)
         return rank
 
-    def long_matches(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Stream all segments: (segment, offset, interval) of every start whose match has ``length`` symbols or more."""
-        row, alive = np.arange(len(self.sizes)), np.arange(len(self.sizes))
-        found = [[np.zeros(0, np.int64)] for _ in range(3)]
-        for matched in range(1, int(self.sizes.max(initial=0)) + 1):
-            going = self.sizes[alive] >= matched
-            row, alive = row[going], alive[going]
-            run = np.searchsorted(self.run_start, row, "right") - 1
-            row = self.run_target[run] + row - self.run_start[run]
-            if matched >= self.length and len(self.low):
-                interval = np.searchsorted(self.low, row, "right") - 1
-                hit = (interval >= 0) & (row < self.high[np.maximum(interval, 0)])
-                for out, x in zip(found, (alive[hit], (self.sizes[alive] - matched)[hit], interval[hit])):
-                    out.append(x)
-        return tuple(np.concatenate(x) for x in found)
+    def _agreement(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Number of symbols that the suffixes at ``a`` and ``b`` have in common; an end mark equals nothing."""
+        out, alive, depth = np.zeros(len(a), np.int32), np.arange(len(a)), 0
+        while len(alive):
+            x, y = self.text[a[alive] + depth], self.text[b[alive] + depth]
+            alive = alive[(x == y) & (x > 0)]
+            depth += 1
+            out[alive] = depth
+        return out
+
+    def matching_statistics(self) -> tuple[np.ndarray, np.ndarray]:
+        """Per place the length of the match with the suffix before it in order, and the place of that match.
+
+        A run's first row is compared with the sampled end of the run before.  Going on in the text, both places move
+        by one and the length falls by one, until the next place that heads a run.
+        """
+        text_order = np.argsort(self.run_head_place)
+        head, end = self.run_head_place[text_order], self.run_end_place[text_order]
+        length = self._agreement(head, end)
+        places = np.arange(len(self.text), dtype=np.int32)
+        at = np.searchsorted(head, places, "right") - 1
+        since = places - head[np.maximum(at, 0)]
+        known = at >= 0
+        return (np.where(known, np.maximum(length[at] - since, 0), 0),
+                np.where(known, np.minimum(end[at] + since, len(places) - 1), places))
 
 
 def repeated_starts(parts: list[np.ndarray], length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
     """(segment, offset) of all starts in ordered segments whose string starts in an earlier place too."""
-    segment, offset, interval = RunIndex(parts, length).long_matches()
-    order = np.lexsort((offset, segment, interval))
-    later = np.zeros(len(order), bool)
-    later[1:] = interval[order][1:] == interval[order][:-1]
-    return segment[order][later], offset[order][later]
+    index = RunIndex(parts)
+    matched, partner = index.matching_statistics()
+    places = np.arange(len(partner), dtype=np.int32)
+    # Long matches chain the equal strings of a place together; the first of a chain stays.
+    first = np.where(matched >= length, partner, places).astype(np.int32)
+    while True:
+        following = first[first]
+        if (following == first).all():
+            break
+        first = following
+    least = places.copy()
+    np.minimum.at(least, first, places)
+    later = np.flatnonzero(least[first] < places)
+    segment = np.searchsorted(index.begin, later, "right") - 1
+    return segment, later - index.begin[segment]
 
 
 def may_match(anchors: np.ndarray, parts: list[np.ndarray], length: int = LENGTH, gram: int = GRAM) -> np.ndarray:

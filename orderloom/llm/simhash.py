@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import Stored
+from orderloom.llm.common import Stored, text_hash
 from orderloom.llm.components import components
 
 SHINGLE, SEED, RADIUS = 3, 42, 2
@@ -85,17 +85,17 @@ def _signed(values: list[int]) -> np.ndarray:
     return np.array(values, dtype=np.uint64).view(np.int64)
 
 
-def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key, fp`` with the fingerprint as a signed 64-bit number."""
-    rows = docs.select(key, text)
-    kind = dict(rows.dtypes)[key]
+def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", also: tuple[str, ...] = ()) -> DataFrame:
+    """``key``, the columns of ``also`` and ``fp``, the fingerprint as a signed 64-bit number."""
+    rows = docs.select(text, key, *also)
+    kinds, kept = dict(rows.dtypes), [key, *also]
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = [fingerprint(t.as_py()) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_signed(values))], names=[key, "fp"])
+            values = [fingerprint(t.as_py()) for t in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(_signed(values))], names=[*kept, "fp"])
 
-    return rows.mapInArrow(of, f"{key} {kind}, fp bigint")
+    return rows.mapInArrow(of, ", ".join(f"{c} {kinds[c]}" for c in kept) + ", fp bigint")
 
 
 def _block_keys(known: list[tuple[int, int]], rest: list[tuple[int, int]]) -> list[tuple[list, list]]:
@@ -278,3 +278,17 @@ def simhash_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", rad
         "fp", F.coalesce("root_first", "first").alias("component_id"))
     return stored.df.join(named, "fp").select(
         key, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def group_leads(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS,
+                crowded: int = CROWDED) -> DataFrame:
+    """``id, h, n``: of each group its row of smallest id (nulls last), then of smallest text hash, and how often it occurs."""
+    rows = docs.select(F.col(key).alias("id"), text_hash(F.col(text)).alias("h"), F.col(text).alias("text"))
+    stored = Stored(fingerprints(rows, "id", "text", also=("h",)), "simhash-rows")
+    counts = stored.df.groupBy("fp", "id", "h").agg(F.count(F.lit(1)).alias("n"))
+    lead = F.struct(F.col("id").isNull().alias("last"), "id", "h", "n")
+    by_print = Stored(counts.groupBy("fp").agg(F.min(lead).alias("lead")), "simhash-distinct")
+    found = components(near_edges(by_print.df, radius, crowded))
+    linked = by_print.df.join(found, F.col("fp") == F.col("node"), "left")
+    leads = linked.groupBy(F.coalesce("root", "fp")).agg(F.min("lead").alias("lead"))
+    return leads.select("lead.id", "lead.h", "lead.n")

@@ -64,6 +64,25 @@ def test_index_finds_all_repeated_starts():
         assert set(zip(segment.tolist(), offset.tolist())) == want
 
 
+def test_matching_statistics_come_from_the_runs():
+    """Lengths and partners are right at every place, and rest on the sampled run ends."""
+    rng = np.random.default_rng(4)
+    base = rng.integers(97, 100, 200).astype(np.uint8)
+    parts = [base[a:a + n].copy() for a, n in zip(rng.integers(0, 100, 15), rng.integers(5, 90, 15))]
+    index = repeats.RunIndex(parts)
+    assert len(index.run_size) < len(index.text) / 2 and index.run_size.sum() == len(index.text)
+    matched, partner = index.matching_statistics()
+    text, stop = index.text.tolist(), index.own_stop.tolist()
+    suffixes = sorted((text[i:stop[i]] + [0, i], i) for i in range(len(text)))
+    for (a, p), (b, q) in zip(suffixes, suffixes[1:]):
+        same = 0
+        while a[same] == b[same] and a[same] > 0:
+            same += 1
+        assert matched[q] == same and (same == 0 or partner[q] == p)
+    index.run_end_place = np.zeros_like(index.run_end_place)
+    assert (index.matching_statistics()[0] != matched).any()
+
+
 @pytest.mark.parametrize("part_bytes, block, rows_held", [(2 << 20, 1 << 18, 1 << 17), (400, 300, 5)])
 def test_report_equals_brute_force(frame, monkeypatch, part_bytes, block, rows_held):
     """Also with parts so small that groups are spread by hash, texts cut into blocks, and rows met in small chunks."""

@@ -73,3 +73,16 @@ def test_groups(frame):
     assert {(r.doc_id, r.component_id) for r in got} == {(9, 4), (4, 4), (7, 2), (2, 2), (5, 5), (8, 4)}
     assert {r.fingerprint for r in got if r.component_id == 4} == {"0" * 16}
     assert simhash.simhash_groups(docs.limit(0)).count() == 0
+
+
+def test_group_leads(frame):
+    rows = [(9, None), (4, ""), (4, ""), (7, "a b c d e f g"), (2, "A B C D E F G"), (2, "a b c d e f g"), (None, "other words stand here now"),
+            (None, "Other words stand here now"), (8, " \n ")]
+    docs = frame([(i, t, "x", 1, 2) for i, t in rows], SCHEMA)
+    import hashlib
+    digest = {t: hashlib.md5((t or "").encode()).hexdigest() for _, t in rows}
+    got = {(r.id, r.h, r.n) for r in simhash.group_leads(docs).collect()}
+    both = min(digest["A B C D E F G"], digest["a b c d e f g"])
+    other = min(digest[t] for i, t in rows if i is None)
+    assert got == {(4, digest[""], 2), (2, both, 1), (None, other, 1)}
+    assert simhash.group_leads(docs.limit(0)).count() == 0
