@@ -1,8 +1,8 @@
 """The corpus pipeline: stages over ``documents``, each written as Parquet and read again as the next one's input.
 
 1. toxicity: a classifier trained on the labelled documents scores every text; documents of score 0.5 or more go.
-2. near_duplicates: documents that share 4/5 of their shingles of five words form groups; one row of each group stays, that of
-   the smallest id (nulls last), then of the smallest text hash.  Rows without id and repeated rows take part.
+2. near_duplicates: SimHash fingerprints of three-word shingles link documents at two or fewer differing bits; one row of each group
+   stays, that of the smallest id (nulls last), then of the smallest text hash.  Rows without id and repeated rows take part.
 3. repeated_strings: bytes covered by a string of 100 bytes that starts earlier are cut out of the texts.
 4. decontamination: documents that cover half of the words of a benchmark item go.
 5. mixing: sources take their targets; a document is emitted as often as its source's rate says.
@@ -19,8 +19,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import jaccard, mixing, repeats, tiling, toxicity
-from orderloom.llm.common import Stored, release, table
+from orderloom.llm import mixing, repeats, simhash, tiling, toxicity
+from orderloom.llm.common import Stored, release, table, text_hash
 
 REJECT = 0.5
 
@@ -33,11 +33,9 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group: of smallest id (nulls last), then of smallest text hash, then any one of equal rows."""
-    rows = jaccard.near_copies(docs).groupBy("component", "id", "h").agg(F.count(F.lit(1)).alias("n"))
-    lead = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "h", "n")).alias("lead")
-    leads = Stored(rows.groupBy("component").agg(lead).select("lead.id", "lead.h", "lead.n"), "near-leads").df
+    leads = Stored(simhash.group_leads(docs), "near-leads").df
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("own"),
-                        jaccard.text_hash("text").alias("own_h"))
+                        text_hash(F.col("text")).alias("own_h"))
     kept = whole.join(leads, F.col("own").eqNullSafe(F.col("id")) & (F.col("own_h") == F.col("h")))
     if leads.where("n > 1").isEmpty():
         return kept.select("row.*")
