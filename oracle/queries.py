@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.sql import AS_OF, block, columns, compose, date_key, ladder, quote, rdiv
+from oracle.sql import AS_OF, block, columns, compose, date_key, early_blocks, ladder, quote, rdiv
 from oracle import values as L
 from oracle.suite import SUITE
 
@@ -318,6 +318,21 @@ FROM held GROUP BY ALL""", "held")
 
 ORACLE["incremental_merge_orders"] = ORACLE["raw_orders"]
 ORACLE["scd2_incremental"] = ORACLE["fact_orders_scd2"]
+for _name in ("metric_daily_orders", "metric_daily_customers", "metric_daily_products", "daily_metrics"):
+    ORACLE[f"{_name}_incremental"] = ORACLE[_name]
+
+# What the second load changes in the long table: all rows against those of the blocks over what was there at the first.
+_FIRST_LOAD = "TIMESTAMP '2000-07-01'"
+_EARLY = early_blocks("long_metrics", _FIRST_LOAD, "DATE '2000-07-01'")
+_LONG = ("date_key", "metric_domain", "metric_name", "dimension_type", "dimension_value")
+ORACLE["daily_metrics_changes"] = compose(f"""
+SELECT CAST(date_key AS BIGINT) AS date_key, metric_date, year(metric_date) AS year, month(metric_date) AS month,
+       quarter(metric_date) AS quarter, year_month, metric_domain, metric_name, metric_value, dimension_type, dimension_value, change
+FROM (SELECT n.*, CASE WHEN o.date_key IS NULL THEN 'insert' ELSE 'update' END AS change
+      FROM long_metrics n LEFT JOIN {_EARLY} o USING ({', '.join(_LONG)})
+      WHERE o.date_key IS NULL OR n.metric_value <> o.metric_value
+      UNION ALL
+      SELECT o.*, 'delete' FROM {_EARLY} o ANTI JOIN long_metrics n USING ({', '.join(_LONG)}))""", "long_metrics", _EARLY)
 
 # --- source tables ------------------------------------------------------------------
 

@@ -8,6 +8,8 @@ ranges, distinct counts, ordinary windows) that the Spark side avoids.
 
 from __future__ import annotations
 
+import re
+
 from oracle import values as L
 
 AS_OF = f"DATE '{L.AS_OF}'"
@@ -709,6 +711,28 @@ def compose(select: str, *reads: str) -> str:
     return f"WITH {', '.join(parts)} {select}"
 
 
+def early_blocks(name: str, loaded_until: str, as_of: str) -> str:
+    """Blocks of ``name`` over the source rows created up to ``loaded_until``, as seen on ``as_of``; returns its name."""
+    sources = {"people": "CAST(signup_date AS TIMESTAMP)", "goods": "created_at", "lines": "created_at", "log": "created_at"}
+    for source, created in sources.items():
+        block(f"early_{source}", source, f"SELECT * FROM {source} WHERE {created} <= {loaded_until}")
+    whole = {"d_date", "placed"}       # the calendar is that of all rows
+
+    def visit(n: str) -> str:
+        if n in whole:
+            return n
+        early = f"early_{n}"
+        if early not in BLOCKS:
+            reads, sql = BLOCKS[n]
+            for needed in reads:
+                replaced = visit(needed)
+                sql = re.sub(rf"(?<=FROM |JOIN ){needed}\b", replaced, sql)
+            BLOCKS[early] = ([visit(r) for r in reads], sql.replace(AS_OF, as_of))
+        return early
+
+    return visit(name)
+
+
 def columns(spec: str) -> str:
     """``name:kind`` items as a select list.
 

@@ -38,12 +38,10 @@ def month_to_date(value: str):
 
 # --- orders -------------------------------------------------------------------------
 
-def metric_daily_orders(state: DataFrame, loaded_at: dt.datetime) -> DataFrame:
-    """Ratios, 7-row averages and changes on top of ``daily_order_state``."""
+def daily_order_base(state: DataFrame) -> DataFrame:
+    """Calendar parts and ratios on top of ``daily_order_state``: what a day's row has without the rows around it."""
     day = F.col("day")
-    by_day = W.orderBy("order_date")
-    week = by_day.rowsBetween(*WEEK)
-    base = state.select(
+    return state.select(
         date_key(day).alias("date_key"), day.alias("order_date"), F.year(day).alias("year"),
         F.month(day).alias("month"), F.quarter(day).alias("quarter"), dow0(day).alias("day_of_week"),
         year_month(day).alias("year_month"), padded_day_name(day).alias("day_name"),
@@ -73,6 +71,12 @@ def metric_daily_orders(state: DataFrame, loaded_at: dt.datetime) -> DataFrame:
         pct("daily_status_changes", "total_orders").alias("daily_activity_rate_pct"),
         pct("daily_completions", "daily_status_changes").alias("completion_conversion_rate_pct"),
         pct("daily_cancellations", "daily_status_changes").alias("cancellation_conversion_rate_pct"))
+
+
+def metric_daily_orders(base: DataFrame, loaded_at: dt.datetime) -> DataFrame:
+    """7-row averages and changes on top of ``daily_order_base``."""
+    by_day = W.orderBy("order_date")
+    week = by_day.rowsBetween(*WEEK)
     averages = {"avg_7d_status_changes": "daily_status_changes", "avg_7d_activity_rate_pct": "daily_activity_rate_pct",
                 **{f"avg_7d_{c}": c for c in ("total_orders", "completed_orders", "total_revenue",
                                               "completed_revenue", "completion_rate_pct", "cancellation_rate_pct")}}

@@ -2,9 +2,9 @@
 
 Both ways give the same rows.  Tables that grow with the data (raw tables, facts,
 per-day, per-customer and per-product bases) are updated by key: every key touched
-by a change is computed again from its whole history.  Everything with windows,
-ranks, "today" or labels is derived from those bases on each run, which costs no
-more than one row per day, customer or product.
+by a change is computed again from its whole history.  Daily metrics are computed again for the days whose
+frames hold a changed row, and written by month.  Everything else with windows, ranks, "today" or labels is derived from the bases on
+each run, which costs no more than one row per day, customer or product, and only rows that differ are written.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from orderloom.functions.columns import moment
-from orderloom.operators import analysis, metrics, snapshot
+from orderloom.operators import analysis, delta, metrics, snapshot
 from orderloom.plans.warehouse import Warehouse
 from orderloom.session import pinned
 from orderloom.sources.lookups import Lookups
@@ -43,10 +44,38 @@ TABLES = DIMENSIONS + FACTS + BASES + RESULTS
 # Tables of one layer do not read each other, so their jobs may run side by side.
 LAYERS = [DIMENSIONS, FACTS, BASES, RESULTS[:3], RESULTS[3:]]
 SIDE_BY_SIDE = 8
+LOAD_TIMES = ["created_at", "metrics_updated_at", "analysis_updated_at"]
+
+
+@dataclass
+class DayMetric:
+    """A metric table: its day, its rows before windows, the windows, and how far those look back."""
+
+    day: str
+    base: str
+    finish: Callable[[DataFrame, dt.datetime], DataFrame]
+    ahead: int
+    month: bool
+
+
+DAY_METRICS = {
+    "metric_daily_orders": DayMetric("order_date", "daily_order_base", metrics.metric_daily_orders, 6, False),
+    "metric_daily_customers": DayMetric("metric_date", "daily_customer_base", metrics.metric_daily_customers, 6, True),
+    "metric_daily_products": DayMetric("metric_date", "daily_product_base", metrics.metric_daily_products, 7, True),
+}
+# Keys of the other results, by which they are merged.
+RESULT_KEYS = {
+    "daily_metrics": ["date_key", "metric_domain", "metric_name", "dimension_type", "dimension_value"],
+    "analysis_metrics_dashboard": ["metric_date"],
+    "analysis_order_trends": ["period_type", "trend_period"],
+    "analysis_customer_behavior": ["customer_key"],
+    "analysis_product_performance": ["product_key"],
+}
+MONTHS = {**dict.fromkeys(FACTS, "order_date"), **{name: m.day for name, m in DAY_METRICS.items()}, "daily_metrics": "metric_date"}
 
 
 def _month(name: str) -> str | None:
-    return "order_date" if name in FACTS else None
+    return MONTHS.get(name)
 
 
 def _key_and_attributes(name: str) -> tuple[str, list[str]]:
@@ -79,6 +108,7 @@ def full_build(sources: Sources, store: Store, as_of: dt.date, calendar, loaded_
                tables: list[str] = TABLES) -> Warehouse:
     """Write the raw tables and ``tables`` in order; each is read back before the next uses it."""
     named = sources.named()
+    store.clear_notes()     # a run that stopped before has nothing left to finish
     _each(RAW_TABLES, lambda name: store.write(raw_table(named[RAW_TABLES[name][0]], name), name, "created_at"))
     w = _stored_warehouse(store, sources.lookups, as_of, calendar, loaded_at)
     for layer in LAYERS:
@@ -99,10 +129,10 @@ def rows_after_watermark(source: DataFrame, target: DataFrame, column: str = "cr
     return source.where(F.col(column) > moment(newest - lookback))
 
 
-def newest_per_key(rows: DataFrame, keys: list[str], column: str = "created_at") -> DataFrame:
-    """One row per key, the newest; full ties are broken by content so that replays agree."""
-    content = F.xxhash64(*rows.columns)
-    order = W.partitionBy(*keys).orderBy(F.desc_nulls_last(column), content)
+def newest_per_key(rows: DataFrame, keys: list[str], column: str = "created_at", prefer: str | None = None) -> DataFrame:
+    """One row per key, the newest; ties are broken by content so that replays agree, and those of equal rows by ``prefer``."""
+    content = F.xxhash64(*[c for c in rows.columns if c != prefer])
+    order = W.partitionBy(*keys).orderBy(F.desc_nulls_last(column), content, *([F.desc(prefer)] if prefer else []))
     return rows.withColumn("_place", F.row_number().over(order)).where("_place = 1").drop("_place")
 
 
@@ -136,7 +166,12 @@ def _apply(store: Store, changes: dict[str, DataFrame], lookups: Lookups, as_of:
     def newest(name: str) -> DataFrame:
         if name not in changes:
             return store.read(name).limit(0)
-        return newest_per_key(changes[name], [key_of[name]])
+        key = key_of[name]
+        fresh = newest_per_key(changes[name], [key])
+        stored = store.read(name).join(fresh.select(key), key, "left_semi")
+        both = fresh.withColumn("_stored", F.lit(False)).unionByName(stored.withColumn("_stored", F.lit(True)))
+        # What is stored already, or newer, stays.
+        return newest_per_key(both, [key], prefer="_stored").where(~F.col("_stored")).drop("_stored")
 
     def overwritten(name: str, rows: DataFrame) -> DataFrame:
         """Stored rows that the changes replace."""
@@ -188,11 +223,34 @@ def _apply(store: Store, changes: dict[str, DataFrame], lookups: Lookups, as_of:
     for name, table in _each([b for b in BASES if b in tables], lambda name: updates[name]()).items():
         w.pin(name, table)
     for layer in LAYERS[3:]:
-        _write_layer(w, store, [t for t in layer if t in tables])
+        for name, table in _each([t for t in layer if t in tables], lambda name: _refresh(w, store, name)).items():
+            w.pin(name, table)
     store.clear_notes()
     return w
 
 
+def _refresh(w: Warehouse, store: Store, name: str) -> DataFrame:
+    """Write what differs in a result."""
+    if not store.exists(name):
+        return store.write(getattr(w, name), name, month=_month(name))
+    if name in DAY_METRICS:
+        return _refresh_days(w, store, name, DAY_METRICS[name])
+    return store.merge(name, pinned(getattr(w, name)), RESULT_KEYS[name], _month(name), LOAD_TIMES, feed=name == "daily_metrics")
+
+
+def _refresh_days(w: Warehouse, store: Store, name: str, metric: DayMetric) -> DataFrame:
+    """Compute the days again whose frames hold a changed row, from those days and the rows their frames reach."""
+    rows, stored = pinned(getattr(w, metric.base)), store.read(name)     # one row per calendar day
+    changed = pinned(delta.row_changes(stored.select(*rows.columns), rows, [metric.day]))
+    if changed.isEmpty():
+        return stored
+    reached = pinned(delta.reach(rows, changed, metric.day, metric.ahead, metric.month))
+    dirty = reached.where("dirty").select(metric.day)
+    near = rows.join(reached.where("needed").select(metric.day), metric.day, "left_semi")
+    fresh = metric.finish(near, w.loaded_at).join(dirty, metric.day, "left_semi")
+    return store.replace_keys(name, fresh, [metric.day], metric.day, changed=dirty.unionByName(changed.select(metric.day)))
+
+
 def _order_state(w: Warehouse, store: Store, status_rows: DataFrame, reshaped: DataFrame) -> DataFrame:
     """Recompute the snapshot from the first day a change can be seen on."""
     name = "daily_order_state"

@@ -83,6 +83,11 @@ def loaded_in_two_runs(w: Warehouse, tables: list[str], split: dt.datetime = dt.
     return store
 
 
+# All that the long metric table is made of.
+DAILY = ["dim_customer", "dim_product", "fact_orders", "fact_order_line", "fact_orders_scd2", "daily_order_state",
+         "daily_customer_activity", "daily_product_base", "metric_daily_orders", "metric_daily_customers", "metric_daily_products",
+         "daily_metrics"]
+
 QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "raw_customers": lambda w: w.raw["raw_customers"],
     "raw_products": lambda w: w.raw["raw_products"],
@@ -128,6 +133,14 @@ QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "product_performance": lambda w: _with_lines(w).analysis_product_performance,
     "incremental_merge_orders": lambda w: loaded_in_two_runs(w, []).read("raw_orders"),
     "scd2_incremental": lambda w: loaded_in_two_runs(w, ["dim_customer", "fact_orders_scd2"]).read("fact_orders_scd2"),
+    "metric_daily_orders_incremental": lambda w: loaded_in_two_runs(
+        w, ["dim_customer", "fact_orders_scd2", "daily_order_state", "metric_daily_orders"]).read("metric_daily_orders"),
+    "metric_daily_customers_incremental": lambda w: loaded_in_two_runs(
+        w, ["dim_customer", "fact_orders", "daily_customer_activity", "metric_daily_customers"]).read("metric_daily_customers"),
+    "metric_daily_products_incremental": lambda w: loaded_in_two_runs(
+        w, ["dim_customer", "dim_product", "fact_order_line", "daily_product_base", "metric_daily_products"]).read("metric_daily_products"),
+    "daily_metrics_incremental": lambda w: loaded_in_two_runs(w, DAILY).read("daily_metrics").drop("created_at"),
+    "daily_metrics_changes": lambda w: loaded_in_two_runs(w, DAILY).read("daily_metrics_changes").drop("created_at"),
     "dq_report": _quality,
 }
 

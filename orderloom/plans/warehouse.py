@@ -115,6 +115,10 @@ class Warehouse:
     def daily_order_state(self) -> DataFrame:
         return snapshot.daily_order_state(self.fact_orders_scd2, *self.calendar)
 
+    @cached_property
+    def daily_order_base(self) -> DataFrame:
+        return metrics.daily_order_base(self.daily_order_state)
+
     @cached_property
     def daily_customer_activity(self) -> DataFrame:
         return metrics.daily_customer_activity(self.fact_orders, self.dim_customer)
@@ -134,7 +138,7 @@ class Warehouse:
 
     @cached_property
     def metric_daily_orders(self) -> DataFrame:
-        return metrics.metric_daily_orders(self.daily_order_state, self.loaded_at)
+        return metrics.metric_daily_orders(self.daily_order_base, self.loaded_at)
 
     @cached_property
     def metric_daily_customers(self) -> DataFrame:

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from orderloom.operators.delta import DELETE, row_changes
 from orderloom.operators.quality import require_same_schema
 from orderloom.session import pinned
 
@@ -19,10 +24,9 @@ def month_of(column: str) -> Column:
 class Store:
     """Tables under one folder, which all executors must reach.
 
-    Tables without a month column are written to a new version folder and become
-    visible when that write has succeeded; readers of the old version are not disturbed.
-    Tables with one are partitioned by month, and only the months that change are
-    rewritten.
+    A table is written to a new version folder, which becomes visible when that write has succeeded; readers of the old
+    version are not disturbed.  A version is complete once its schema lies beside it, so a table without rows can be read.  Tables with a month column are partitioned by month, and an upsert rewrites only the
+    months that change, in the newest version.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -31,26 +35,45 @@ class Store:
         self._path = jvm.Path
         self._files = jvm.Path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
 
-    def _versions(self, name: str) -> list[int]:
-        done = self._files.globStatus(self._path(f"{self.root}/{name}/v*/_SUCCESS"))
-        return sorted(int(s.getPath().getParent().getName()[1:]) for s in done or [])
+    def _versions(self, name: str, kind: str = "v") -> list[int]:
+        done = self._files.globStatus(self._path(f"{self.root}/{name}/{kind}*/_schema"))
+        return sorted(int(s.getPath().getParent().getName()[len(kind):]) for s in done or [])
 
-    def _monthly(self, name: str) -> str:
-        return f"{self.root}/{name}/monthly"
+    def _folder(self, name: str) -> str | None:
+        """The newest complete version; months are versions of their own kind."""
+        for kind in ("monthly", "v"):
+            versions = self._versions(name, kind)
+            if versions:
+                return f"{self.root}/{name}/{kind}{versions[-1]}"
+        return None
 
     def exists(self, name: str) -> bool:
-        return bool(self._versions(name)) or self._files.exists(self._path(f"{self._monthly(name)}/_SUCCESS"))
+        return self._folder(name) is not None
 
     def read(self, name: str) -> DataFrame:
         return self.read_with_month(name).drop(MONTH)
 
     def read_with_month(self, name: str) -> DataFrame:
-        versions = self._versions(name)
-        return self.spark.read.parquet(f"{self.root}/{name}/v{versions[-1]}" if versions else self._monthly(name))
+        folder = self._folder(name)
+        if folder is None:
+            raise ValueError(f"no table {name} in {self.root}")
+        return self.spark.read.schema(self._schema(folder)).parquet(folder)
+
+    def _schema(self, folder: str) -> T.StructType:
+        stream = self._files.open(self._path(f"{folder}/_schema"))
+        try:
+            return T.StructType.fromJson(json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")))
+        finally:
+            stream.close()
+
+    def _keep_schema(self, folder: str, schema: T.StructType) -> None:
+        stream = self._files.create(self._path(f"{folder}/_schema"), True)
+        stream.writeBytes(schema.json())
+        stream.close()
 
     def newest_rows(self, name: str) -> DataFrame:
         """Rows of the newest month of a table kept by months; the other months are not read."""
-        months = self._files.globStatus(self._path(f"{self._monthly(name)}/{MONTH}=*")) or []
+        months = self._files.globStatus(self._path(f"{self._folder(name)}/{MONTH}=*")) or []
         numbers = [int(n) for n in (m.getPath().getName().split("=")[1] for m in months) if n.lstrip("-").isdigit()]
         rows = self.read_with_month(name)
         return (rows.where(F.col(MONTH) == max(numbers)) if numbers else rows).drop(MONTH)
@@ -85,20 +108,24 @@ class Store:
         """Replace a whole table and return its stored form."""
         if keep_schema:
             self._check(df, name)
+        kind = "monthly" if month else "v"
+        versions = self._versions(name, kind)
+        folder = f"{self.root}/{name}/{kind}{versions[-1] + 1 if versions else 1}"
         if month:
-            self._write_months(df.withColumn(MONTH, month_of(month)), name, "static")
+            df = df.withColumn(MONTH, month_of(month))
+            # A folder that a failed write has left is overwritten as a whole.
+            self._write_months(df, folder, "static")
         else:
-            versions = self._versions(name)
-            number = versions[-1] + 1 if versions else 1
-            df.write.mode("overwrite").parquet(f"{self.root}/{name}/v{number}")
-            for old in versions[:-1]:  # the previous version stays for its readers
-                self._files.delete(self._path(f"{self.root}/{name}/v{old}"), True)
+            df.write.mode("overwrite").parquet(folder)
+        self._keep_schema(folder, df.schema)
+        for old in versions[:-1]:  # the previous version stays for its readers
+            self._files.delete(self._path(f"{self.root}/{name}/{kind}{old}"), True)
         return self.read(name)
 
-    def _write_months(self, df: DataFrame, name: str, mode: str) -> None:
+    def _write_months(self, df: DataFrame, folder: str, mode: str) -> None:
         # rebalancing by month avoids many small files, and AQE splits large months
         (df.hint("rebalance", MONTH).write.mode("overwrite").option("partitionOverwriteMode", mode)
-         .partitionBy(MONTH).parquet(self._monthly(name)))
+         .partitionBy(MONTH).parquet(folder))
 
     def replace_keys(self, name: str, rows: DataFrame, keys: list[str], month: str | None = None,
                      changed: DataFrame | None = None) -> DataFrame:
@@ -120,7 +147,26 @@ class Store:
             kept = stored.where(F.col(MONTH).isin(*months)).join(changed, keys, "left_anti")
             content = pinned(kept.unionByName(rows))  # the files it was read from are about to be replaced
             left = {r[0] for r in content.select(MONTH).distinct().collect()}
-            self._write_months(content, name, "dynamic")
+            folder = self._folder(name)
+            self._write_months(content, folder, "dynamic")
             for gone in set(months) - left:
-                self._files.delete(self._path(f"{self._monthly(name)}/{MONTH}={gone}"), True)
+                self._files.delete(self._path(f"{folder}/{MONTH}={gone}"), True)
         return self.read(name)
+
+    def merge(self, name: str, rows: DataFrame, keys: Sequence[str], month: str | None = None, ignore: Sequence[str] = (),
+              feed: bool = False) -> DataFrame:
+        """Make the table equal to ``rows`` by writing only what differs; columns of ``ignore`` alone make no difference.
+
+        With ``feed`` the changes are stored as ``<name>_changes``: the row as it is now, or was if it is gone, and ``change``.
+        """
+        self._check(rows, name)
+        stored = self.read(name)
+        changed = pinned(row_changes(stored, rows, keys, ignore))
+        if feed:
+            gone = changed.where(F.col("change") == DELETE)
+            news = rows.join(changed.where(F.col("change") != DELETE), list(keys)).unionByName(stored.join(gone, list(keys)))
+            self.write(news, f"{name}_changes")
+        if changed.isEmpty():
+            return stored
+        fresh = rows.join(changed.where(F.col("change") != DELETE), list(keys), "left_semi")
+        return self.replace_keys(name, fresh, list(keys), month, changed)
