@@ -318,7 +318,8 @@ FROM held GROUP BY ALL""", "held")
 
 ORACLE["incremental_merge_orders"] = ORACLE["raw_orders"]
 ORACLE["scd2_incremental"] = ORACLE["fact_orders_scd2"]
-for _name in ("metric_daily_orders", "metric_daily_customers", "metric_daily_products", "daily_metrics"):
+for _name in ("metric_daily_orders", "metric_daily_customers", "metric_daily_products", "daily_metrics", "customer_behavior",
+              "product_sales"):
     ORACLE[f"{_name}_incremental"] = ORACLE[_name]
 
 # What the second load changes in the long table: all rows against those of the blocks over what was there at the first.

@@ -2,7 +2,7 @@
 
 Both ways give the same rows.  Tables that grow with the data (raw tables, facts,
 per-day, per-customer and per-product bases) are updated by key: every key touched
-by a change is computed again from its whole history.  Daily metrics are computed again for the days whose
+by a change is computed again from its whole history; totals per customer and product follow from the changed rows alone.  Daily metrics are computed again for the days whose
 frames hold a changed row, and written by month.  Everything else with windows, ranks, "today" or labels is derived from the bases on
 each run, which costs no more than one row per day, customer or product, and only rows that differ are written.
 """
@@ -20,20 +20,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from orderloom.functions.columns import moment
-from orderloom.operators import analysis, delta, metrics, snapshot
+from orderloom.operators import analysis, delta, lifetime, metrics, snapshot
+from orderloom.operators.lifetime import LIFETIMES
 from orderloom.plans.warehouse import Warehouse
 from orderloom.session import pinned
 from orderloom.sources.lookups import Lookups
-from orderloom.sources.store import MONTH, Store
+from orderloom.sources.store import MONTH, Store, bucket_of
 from orderloom.sources.tables import RAW_TABLES, Sources, raw_table
 
 DIMENSIONS = ["dim_date", "dim_customer", "dim_product"]
 FACTS = ["fact_orders", "fact_order_line", "fact_orders_scd2"]  # stored by order month
 DAY_BASES = {"daily_customer_activity": "metric_date", "daily_product_base": "metric_date",
              "order_trend_base": "trend_date"}
-KEY_BASES = {"customer_purchases": "customer_key", "customer_preferences": "customer_key",
-             "product_sales": "product_key"}
-BASES = ["daily_order_state", *DAY_BASES, *KEY_BASES]
+BASES = ["daily_order_state", *DAY_BASES, *LIFETIMES]
 RESULTS = ["metric_daily_orders", "metric_daily_customers", "metric_daily_products", "daily_metrics",
            "analysis_metrics_dashboard", "analysis_order_trends", "analysis_customer_behavior",
            "analysis_product_performance"]
@@ -113,9 +112,20 @@ def full_build(sources: Sources, store: Store, as_of: dt.date, calendar, loaded_
     w = _stored_warehouse(store, sources.lookups, as_of, calendar, loaded_at)
     for layer in LAYERS:
         _write_layer(w, store, [t for t in layer if t in tables])
+    for name in LIFETIMES:
+        if name in tables:
+            _start_lifetime(w, store, name)
     return w
 
 
+def _start_lifetime(w: Warehouse, store: Store, name: str) -> DataFrame:
+    """Write the members and the state behind a table of totals."""
+    life = LIFETIMES[name]
+    rows = pinned(life.rows(getattr(w, life.fact), w.product_links))
+    pairs = store.write(lifetime.member_counts(life, rows), f"{name}_members", bucket_of(*life.key))
+    return store.write(lifetime.first_state(life, rows, pairs), f"{name}_state")
+
+
 def rows_after_watermark(source: DataFrame, target: DataFrame, column: str = "created_at",
                          lookback: dt.timedelta = dt.timedelta(0)) -> DataFrame:
     """Source rows newer than the newest target row; all of them if the target is empty.
@@ -299,11 +309,28 @@ def _base_updates(w: Warehouse, store: Store, before: dict, after: dict, old: di
         return store.replace_keys(name, compute(rows), [day],
                                   changed=store.spark.createDataFrame(dates, f"{day} date"))
 
-    def per_key(name: str, fact: str, compute, *members) -> DataFrame:
-        key = KEY_BASES[name]
-        changed = keys(fact, key, *members)
-        rows = getattr(w, fact).join(changed, key, "left_semi")
-        return store.replace_keys(name, compute(rows), [key], changed=changed)
+    def totals(name: str, members: DataFrame | None = None) -> DataFrame:
+        life, part = LIFETIMES[name], bucket_of(*LIFETIMES[name].key)
+        state, stored, links = f"{name}_state", store.read(name), w.product_links
+        if not store.exists(state):
+            rows = life.finish(_start_lifetime(w, store, name))
+            return store.write(_typed(rows, stored), name)
+        went, came = before[life.fact], after[life.fact]
+        if members is not None and not members.isEmpty():
+            # Lines of changed products in orders that are not touched otherwise leave with the old and come with the new attributes.
+            more = w.fact_order_line.join(members, "product_key", "left_semi").join(
+                _ids(went.select("order_id"), came.select("order_id")), "order_id", "left_anti")
+            went, came = went.unionByName(more), came.unionByName(more)
+        moved = pinned(life.rows(went, old.get("dim_product", links)).withColumn("_weight", F.lit(-1)).unionByName(
+            life.rows(came, links).withColumn("_weight", F.lit(1))))
+        buckets = [r[0] for r in moved.select(part).distinct().collect()]     # a fixed number at most
+        pairs = store.read_with_month(f"{name}_members").where(F.col(MONTH).isin(*buckets)).drop(MONTH)
+        new_members = store.note_once(f"members_{name}", lifetime.changed_members(life, moved, pairs))
+        new_state = store.note_once(f"state_{name}", lifetime.changed_state(life, moved, new_members, pairs, store.read(state)))
+        store.replace_keys(f"{name}_members", new_members.where("n > 0").drop("was"), [*life.key, *lifetime.MEMBER], part, new_members)
+        held = new_state.where(F.col(lifetime.ROWS) > 0)
+        store.replace_keys(state, held, life.key, changed=new_state)
+        return store.replace_keys(name, _typed(life.finish(held), stored), life.key, changed=new_state)
 
     return {
         "daily_customer_activity": lambda: per_day(
@@ -313,14 +340,16 @@ def _base_updates(w: Warehouse, store: Store, before: dict, after: dict, old: di
         "daily_product_base": lambda: per_day(
             "daily_product_base", "fact_order_line",
             lambda f: metrics.daily_product_base(f, w.product_links), products, "product_key"),
-        "customer_purchases": lambda: per_key("customer_purchases", "fact_orders", analysis.customer_purchases),
-        "customer_preferences": lambda: per_key(
-            "customer_preferences", "fact_order_line",
-            lambda f: analysis.product_preferences(f, w.product_links), products, "product_key"),
-        "product_sales": lambda: per_key("product_sales", "fact_order_line", analysis.product_sales),
+        "customer_purchases": lambda: totals("customer_purchases"),
+        "customer_preferences": lambda: totals("customer_preferences", products),
+        "product_sales": lambda: totals("product_sales"),
     }
 
 
+def _typed(rows: DataFrame, like: DataFrame) -> DataFrame:
+    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in like.schema.fields])
+
+
 def incremental_build(sources: Sources, store: Store, as_of: dt.date, calendar, loaded_at: dt.datetime | None = None,
                       lookback: dt.timedelta = dt.timedelta(0), tables: list[str] = TABLES) -> Warehouse:
     """Bring the store up to date with source rows created after those already loaded."""

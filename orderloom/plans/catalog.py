@@ -141,6 +141,11 @@ QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
         w, ["dim_customer", "dim_product", "fact_order_line", "daily_product_base", "metric_daily_products"]).read("metric_daily_products"),
     "daily_metrics_incremental": lambda w: loaded_in_two_runs(w, DAILY).read("daily_metrics").drop("created_at"),
     "daily_metrics_changes": lambda w: loaded_in_two_runs(w, DAILY).read("daily_metrics_changes").drop("created_at"),
+    "customer_behavior_incremental": lambda w: loaded_in_two_runs(
+        w, ["dim_customer", "dim_product", "fact_orders", "fact_order_line", "customer_purchases", "customer_preferences",
+            "analysis_customer_behavior"]).read("analysis_customer_behavior"),
+    "product_sales_incremental": lambda w: loaded_in_two_runs(
+        w, ["dim_customer", "dim_product", "fact_order_line", "product_sales"]).read("product_sales"),
     "dq_report": _quality,
 }
 

@@ -17,8 +17,17 @@ MONTH = "_month"  # partition column, not part of the table's own columns
 NOTES = "_notes"
 
 
-def month_of(column: str) -> Column:
-    return F.year(column) * 100 + F.month(column)
+BUCKETS = 64
+
+
+def month_of(column: str | Column) -> Column:
+    """Month of a named column; any other way to divide a table is a whole number in itself."""
+    return F.year(column) * 100 + F.month(column) if isinstance(column, str) else column
+
+
+def bucket_of(*keys: str) -> Column:
+    """Divides a table by key instead of by month, so that an upsert knows its parts without reading the table."""
+    return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
 
 
 class Store:
@@ -83,6 +92,10 @@ class Store:
         df.write.mode("overwrite").parquet(f"{self.root}/{NOTES}/{name}")
         return self.noted(name)
 
+    def note_once(self, name: str, df: DataFrame) -> DataFrame:
+        """The note as it is, or made now: what a run computes from the state before it must not be computed from the one after."""
+        return self.noted(name) if self.has_note(name) else self.note(name, df)
+
     def noted(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/{NOTES}/{name}")
 
@@ -104,14 +117,14 @@ class Store:
         if self.exists(name):
             require_same_schema(df, self.read(name), name)
 
-    def write(self, df: DataFrame, name: str, month: str | None = None, keep_schema: bool = True) -> DataFrame:
+    def write(self, df: DataFrame, name: str, month: str | Column | None = None, keep_schema: bool = True) -> DataFrame:
         """Replace a whole table and return its stored form."""
         if keep_schema:
             self._check(df, name)
-        kind = "monthly" if month else "v"
+        kind = "v" if month is None else "monthly"
         versions = self._versions(name, kind)
         folder = f"{self.root}/{name}/{kind}{versions[-1] + 1 if versions else 1}"
-        if month:
+        if month is not None:
             df = df.withColumn(MONTH, month_of(month))
             # A folder that a failed write has left is overwritten as a whole.
             self._write_months(df, folder, "static")
@@ -127,7 +140,7 @@ class Store:
         (df.hint("rebalance", MONTH).write.mode("overwrite").option("partitionOverwriteMode", mode)
          .partitionBy(MONTH).parquet(folder))
 
-    def replace_keys(self, name: str, rows: DataFrame, keys: list[str], month: str | None = None,
+    def replace_keys(self, name: str, rows: DataFrame, keys: list[str], month: str | Column | None = None,
                      changed: DataFrame | None = None) -> DataFrame:
         """Upsert: drop the stored rows of the ``changed`` keys and add ``rows``.
 
@@ -136,12 +149,15 @@ class Store:
         """
         self._check(rows, name)
         changed = rows.select(*keys).distinct() if changed is None else changed.select(*keys).distinct()
-        if not month:
+        if month is None:
             kept = self.read(name).join(changed, keys, "left_anti")
             return self.write(kept.unionByName(rows), name)
         rows = pinned(rows.withColumn(MONTH, month_of(month)))
         stored = self.read_with_month(name)
-        touched = stored.join(changed, keys, "left_semi").select(MONTH).unionByName(rows.select(MONTH))
+        if isinstance(month, str):
+            touched = stored.join(changed, keys, "left_semi").select(MONTH).unionByName(rows.select(MONTH))
+        else:
+            touched = changed.select(month.alias(MONTH))
         months = [r[0] for r in touched.distinct().collect()]  # calendar months: a short list
         if months:
             kept = stored.where(F.col(MONTH).isin(*months)).join(changed, keys, "left_anti")
