@@ -16,6 +16,8 @@ from pyspark.sql.window import Window as W
 
 from orderloom.session import pinned
 
+CROWD = 100_000      # rows of a key that one task numbers
+
 
 def _fixed_ranges(df: DataFrame, *order, label: str) -> DataFrame:
     """Range-partition by ``order`` and store the range number of each row.
@@ -68,6 +70,32 @@ def sequence_rows(df: DataFrame, key: str, order: Sequence[str], seq: str, *, up
     ``upcoming=(column, name)`` adds the column's value on the next row of the key, and
     ``last_flag`` marks the row without a next one.
 
+    Keys are counted first, in the map tasks as far as possible.  Those of up to ``CROWD`` rows are numbered by a window, with one
+    shuffle; the rows of larger ones are spread over ranges.  Both ways give the same numbers.
+    """
+    counts = df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > CROWD)
+    crowded = pinned(counts.select("_key"))
+    if crowded.isEmpty():
+        return _number_in_tasks(df, key, order, seq, upcoming, last_flag)
+    met = F.col(key).eqNullSafe(F.col("_key"))
+    few, many = df.join(crowded, met, "left_anti"), df.join(crowded, met, "left_semi")
+    return _number_in_tasks(few, key, order, seq, upcoming, last_flag).unionByName(
+        _number_in_ranges(many, key, order, seq, upcoming, last_flag))
+
+
+def _number_in_tasks(df: DataFrame, key: str, order: Sequence[str], seq: str, upcoming, last_flag) -> DataFrame:
+    own = W.partitionBy(key).orderBy(*[F.col(c).asc_nulls_last() for c in order])
+    added = [F.row_number().over(own).alias(seq)]
+    if upcoming:
+        added.append(F.lead(upcoming[0]).over(own).alias(upcoming[1]))
+    if last_flag:
+        added.append(F.lead(F.lit(1)).over(own).isNull().alias(last_flag))
+    return df.select(*[F.col(c) for c in df.columns], *added)
+
+
+def _number_in_ranges(df: DataFrame, key: str, order: Sequence[str], seq: str, upcoming, last_flag) -> DataFrame:
+    """The same for keys of any size.
+
     Rows are range-partitioned by key and order, so a key of any size is spread over as many ranges as
     it fills, and each range is numbered on its own.  Only a range's first and last key can go on in
     another one: at most two keys per range need the sizes of earlier ranges and the head of the next.

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from orderloom.operators import ranking
 from orderloom.operators.ranking import rank_rows, sequence_rows
 
 
@@ -46,8 +47,10 @@ def test_rank_rows_without_aqe_merging(spark, skewed):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
-@pytest.mark.parametrize("merge", ["true", "false"])
-def test_spread_sequence_equals_plain(spark, skewed, merge):
+@pytest.mark.parametrize("merge, crowd", [("true", 0), ("false", 0), ("true", 500), ("true", 100_000)])
+def test_spread_sequence_equals_plain(spark, skewed, merge, crowd, monkeypatch):
+    """Over ranges alone, with the crowded keys in ranges, and by windows alone."""
+    monkeypatch.setattr(ranking, "CROWD", crowd)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", merge)
     try:
         rows = skewed.where("value is not null")
