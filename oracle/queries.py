@@ -400,3 +400,6 @@ def _quality() -> str:
 
 _USED = list(dict.fromkeys(_QUALITY_BLOCK.values()))
 ORACLE["dq_report"] = compose(_quality(), *_USED)
+_GATED = ["raw_customers", "raw_products", "raw_orders", "raw_order_items", "dim_date", "dim_customer", "dim_product", "fact_orders",
+          "fact_order_line", "fact_orders_scd2"]
+ORACLE["dq_gate"] = compose(f"SELECT * FROM ({_quality()}) WHERE table_name IN ({', '.join(map(quote, _GATED))})", *_USED)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from orderloom.functions.columns import number
@@ -43,11 +43,16 @@ def outside(column: str, low, high, inclusive: bool):
     return bad
 
 
-def row_checks(df: DataFrame, table: str, checks: Expectations) -> DataFrame | None:
-    """All checks that look at one row at a time, in a single pass over the table."""
-    tests = {("not_null", c): F.col(c).isNull() for c in checks.required_columns(df.columns)}
+def row_tests(columns: list[str], checks: Expectations) -> dict[tuple[str, str], Column]:
+    """(test, column) -> condition of a failing row, for all checks that look at one row at a time."""
+    tests = {("not_null", c): F.col(c).isNull() for c in checks.required_columns(columns)}
     tests |= {("accepted_values", c): ~F.col(c).isin(*values) for c, values in checks.accepted.items()}
-    tests |= {("accepted_range", c): outside(c, *bounds) for c, bounds in checks.ranges.items()}
+    return tests | {("accepted_range", c): outside(c, *bounds) for c, bounds in checks.ranges.items()}
+
+
+def row_checks(df: DataFrame, table: str, checks: Expectations) -> DataFrame | None:
+    """The row tests in a single pass over the table."""
+    tests = row_tests(df.columns, checks)
     if not tests:
         return None
     names = [f"t{i}" for i in range(len(tests))]
@@ -57,6 +62,28 @@ def row_checks(df: DataFrame, table: str, checks: Expectations) -> DataFrame | N
     return counted.select(F.lit(table).alias("table_name"), F.inline(rows))
 
 
+class Watch:
+    """Row tests that are counted while a table is written, without a pass of their own.
+
+    ``over`` goes around the frame just before it is written, so that each of its tasks counts once.
+    """
+
+    def __init__(self, table: str, checks: Expectations):
+        self.table, self.checks, self._seen, self._tests = table, checks, None, {}
+
+    def over(self, df: DataFrame) -> DataFrame:
+        self._tests = row_tests(df.columns, self.checks)
+        if not self._tests:
+            return df
+        self._seen = Observation()
+        return df.observe(self._seen, *[F.count_if(test).alias(f"t{i}") for i, test in enumerate(self._tests.values())])
+
+    def results(self) -> list[tuple[str, str, str, int]]:
+        """``table, test, column, failures`` of the written rows."""
+        counts = self._seen.get if self._seen else {}
+        return [(self.table, test, column, counts[f"t{i}"]) for i, (test, column) in enumerate(self._tests)]
+
+
 def _one(df: DataFrame, table: str, test: str, column: str) -> DataFrame:
     return df.select(F.lit(table).alias("table_name"), F.lit(test).alias("test"),
                      F.lit(column).alias("column_name"), F.col("failures").cast("bigint").alias("failures"))
@@ -78,11 +105,14 @@ def orphans(df: DataFrame, column: str, parent: DataFrame, field_name: str) -> D
 
 
 def table_report(frames: dict[str, DataFrame], table: str, checks: Expectations) -> list[DataFrame]:
-    df, out = frames[table], []
-    rows = row_checks(df, table, checks)
-    if rows is not None:
-        out.append(rows)
-    out += [_one(repeated(df, c), table, "unique", c) for c in checks.unique.split()]
+    rows = row_checks(frames[table], table, checks)
+    return ([] if rows is None else [rows]) + key_checks(frames, table, checks)
+
+
+def key_checks(frames: dict[str, DataFrame], table: str, checks: Expectations) -> list[DataFrame]:
+    """Checks that compare rows with each other or with a parent."""
+    df = frames[table]
+    out = [_one(repeated(df, c), table, "unique", c) for c in checks.unique.split()]
     out += [_one(repeated(df, F.concat_ws("-", *c)), table, "unique", "-".join(c)) for c in checks.unique_text]
     out += [_one(repeated(df, *c), table, "unique_combination", "-".join(c)) for c in checks.unique_together]
     out += [_one(orphans(df, c, frames[parent], f), table, "relationships", c)

@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from orderloom.functions.columns import moment
-from orderloom.operators import analysis, delta, lifetime, metrics, snapshot
+from orderloom.operators import analysis, delta, lifetime, metrics, quality, snapshot
 from orderloom.operators.lifetime import LIFETIMES
+from orderloom.plans.expectations import SUITE
 from orderloom.plans.warehouse import Warehouse
 from orderloom.session import pinned
 from orderloom.sources.lookups import Lookups
@@ -87,11 +88,63 @@ def _each(names: Iterable[str], work: Callable[[str], DataFrame]) -> dict[str, D
         return dict(zip(names, pool.map(work, names)))
 
 
-def _write_layer(w: Warehouse, store: Store, names: Iterable[str]) -> None:
+class ChecksFailed(RuntimeError):
+    """Checks that stopped a build: ``failures`` lists table, test, column and number of rows."""
+
+    def __init__(self, failures: list[tuple[str, str, str, int]]):
+        super().__init__("; ".join(f"{t}.{c}: {test} fails {n} times" for t, test, c, n in failures))
+        self.failures = failures
+
+
+class Gate:
+    """Checks of a build's tables.  ``mode`` is "stop", "record" or None for no checks.
+
+    Row tests are counted while a table is written; tests of keys read the stored key columns once its layer is written.  With "stop", a failure
+    keeps all later layers from being built.  Results are in the stored table ``dq_gate`` either way.
+    """
+
+    def __init__(self, store: Store, mode: str | None = None, suite: dict = SUITE):
+        if mode not in (None, "stop", "record"):
+            raise ValueError(f"unknown mode of checks {mode!r}")
+        self.store, self.mode, self.suite, self.results, self._watches = store, mode, suite, [], {}
+
+    def watch(self, name: str) -> Callable[[DataFrame], DataFrame]:
+        if self.mode is None or name not in self.suite:
+            return lambda df: df
+        self._watches[name] = quality.Watch(name, self.suite[name])
+        return self._watches[name].over
+
+    def close_layer(self, tables: Callable[[str], DataFrame]) -> None:
+        """Gather what the written tables of a layer have shown, and compare their keys; ``tables`` finds a table by name."""
+        seen = [row for watch in self._watches.values() for row in watch.results()]
+        parts = []
+        for name in self._watches:
+            checks = self.suite[name]
+            frames = {t: tables(t) for t in {name, *[parent for parent, _ in checks.references.values()]}}
+            parts += quality.key_checks(frames, name, checks)
+        self._watches = {}
+        if parts:      # one row per declared check
+            seen += [tuple(r) for r in reduce(lambda a, b: a.unionByName(b), parts).collect()]
+        self.results += seen
+        failures = [row for row in seen if row[3]]
+        if failures and self.mode == "stop":
+            self.finish()
+            raise ChecksFailed(failures)
+
+    def finish(self) -> None:
+        if self.mode:
+            kind = "table_name string, test string, column_name string, failures bigint"
+            report = self.store.spark.createDataFrame(self.results, kind).withColumn("passed", F.col("failures") == 0)
+            self.store.write(report, "dq_gate")
+
+
+def _write_layer(w: Warehouse, store: Store, names: Iterable[str], gate: Gate) -> None:
     """Write tables of one layer; later layers then read their stored form."""
-    written = _each(names, lambda name: store.write(getattr(w, name), name, month=_month(name)))
+    watches = {name: gate.watch(name) for name in names}
+    written = _each(watches, lambda name: store.write(getattr(w, name), name, month=_month(name), watch=watches[name]))
     for name, table in written.items():
         w.pin(name, table)
+    gate.close_layer(lambda name: w.raw[name] if name in w.raw else getattr(w, name))
 
 
 def _stored_warehouse(store: Store, lookups: Lookups, as_of: dt.date, calendar, loaded_at) -> Warehouse:
@@ -104,14 +157,20 @@ def _stored_warehouse(store: Store, lookups: Lookups, as_of: dt.date, calendar,
 
 
 def full_build(sources: Sources, store: Store, as_of: dt.date, calendar, loaded_at: dt.datetime | None = None,
-               tables: list[str] = TABLES) -> Warehouse:
-    """Write the raw tables and ``tables`` in order; each is read back before the next uses it."""
-    named = sources.named()
+               tables: list[str] = TABLES, checks: str | None = None) -> Warehouse:
+    """Write the raw tables and ``tables`` in order; each is read back before the next uses it.
+
+    ``checks="stop"`` ends the build with ``ChecksFailed`` after the first layer with a failing check; "record" only notes failures.
+    """
+    named, gate = sources.named(), Gate(store, checks)
     store.clear_notes()     # a run that stopped before has nothing left to finish
-    _each(RAW_TABLES, lambda name: store.write(raw_table(named[RAW_TABLES[name][0]], name), name, "created_at"))
+    watches = {name: gate.watch(name) for name in RAW_TABLES}
+    _each(RAW_TABLES, lambda name: store.write(raw_table(named[RAW_TABLES[name][0]], name), name, "created_at", watch=watches[name]))
     w = _stored_warehouse(store, sources.lookups, as_of, calendar, loaded_at)
+    gate.close_layer(lambda name: w.raw[name])
     for layer in LAYERS:
-        _write_layer(w, store, [t for t in layer if t in tables])
+        _write_layer(w, store, [t for t in layer if t in tables], gate)
+    gate.finish()
     for name in LIFETIMES:
         if name in tables:
             _start_lifetime(w, store, name)
@@ -158,19 +217,25 @@ def _changed_attributes(old: DataFrame, new: DataFrame, key: str, columns: list[
 
 
 def apply_changes(store: Store, changes: dict[str, DataFrame], lookups: Lookups, as_of: dt.date, calendar,
-                  loaded_at: dt.datetime | None = None, tables: list[str] = TABLES) -> Warehouse:
-    """Upsert changed raw rows and bring ``tables`` up to date, after finishing a run that stopped half-way."""
-    finish_pending(store, lookups, as_of, calendar, loaded_at, tables)
-    return _apply(store, changes, lookups, as_of, calendar, loaded_at, tables)
+                  loaded_at: dt.datetime | None = None, tables: list[str] = TABLES, checks: str | None = None) -> Warehouse:
+    """Upsert changed raw rows and bring ``tables`` up to date, after finishing a run that stopped half-way.
+
+    With ``checks="stop"`` the new rows of dimensions and facts are checked before facts are stored.  A run that they stop
+    stays pending: ``checks="record"`` lets it through, and a full build of mended sources replaces it.
+    """
+    finish_pending(store, lookups, as_of, calendar, loaded_at, tables, checks)
+    return _apply(store, changes, lookups, as_of, calendar, loaded_at, tables, checks)
 
 
 def finish_pending(store: Store, lookups: Lookups, as_of: dt.date, calendar, loaded_at: dt.datetime | None = None,
-                   tables: list[str] = TABLES) -> None:
+                   tables: list[str] = TABLES, checks: str | None = None) -> None:
     if store.pending():
-        _apply(store, {}, lookups, as_of, calendar, loaded_at, tables)
+        _apply(store, {}, lookups, as_of, calendar, loaded_at, tables, checks)
 
 
-def _apply(store: Store, changes: dict[str, DataFrame], lookups: Lookups, as_of: dt.date, calendar, loaded_at, tables) -> Warehouse:
+def _apply(store: Store, changes: dict[str, DataFrame], lookups: Lookups, as_of: dt.date, calendar, loaded_at, tables,
+           checks: str | None = None) -> Warehouse:
+    gate = Gate(store, checks)
     key_of = {name: key for name, (_, key, _) in RAW_TABLES.items()}
 
     def newest(name: str) -> DataFrame:
@@ -204,7 +269,7 @@ def _apply(store: Store, changes: dict[str, DataFrame], lookups: Lookups, as_of:
     _each(RAW_TABLES, lambda name: fresh[name] if fresh[name].isEmpty() else store.replace_keys(
         name, fresh[name], [key_of[name]], month="created_at"))
     w = _stored_warehouse(store, lookups, as_of, calendar, loaded_at)
-    _write_layer(w, store, [d for d in DIMENSIONS if d in tables])
+    _write_layer(w, store, [d for d in DIMENSIONS if d in tables], gate)
 
     # orders with a new status or item, or of a new customer or product
     orders, items = w.raw["raw_orders"], w.raw["raw_order_items"]
@@ -223,7 +288,9 @@ def _apply(store: Store, changes: dict[str, DataFrame], lookups: Lookups, as_of:
     wanted = [f for f in FACTS if f in tables]
     before = _each(wanted, lambda name: store.noted(f"before_{name}") if store.has_note(f"before_{name}") else store.note(
         f"before_{name}", store.read(name).join(touched, "order_id", "left_semi")))
-    after = _each(wanted, lambda name: pinned(getattr(part, name)))
+    watches = {name: gate.watch(name) for name in wanted}
+    after = _each(wanted, lambda name: pinned(watches[name](getattr(part, name))))
+    gate.close_layer(lambda name: after[name] if name in after else w.raw[name] if name in w.raw else getattr(w, name))
     for name, table in _each(wanted, lambda name: store.replace_keys(
             name, after[name], ["order_id"], "order_date", touched)).items():
         w.pin(name, table)
@@ -235,6 +302,7 @@ def _apply(store: Store, changes: dict[str, DataFrame], lookups: Lookups, as_of:
     for layer in LAYERS[3:]:
         for name, table in _each([t for t in layer if t in tables], lambda name: _refresh(w, store, name)).items():
             w.pin(name, table)
+    gate.finish()
     store.clear_notes()
     return w
 
@@ -351,13 +419,13 @@ def _typed(rows: DataFrame, like: DataFrame) -> DataFrame:
 
 
 def incremental_build(sources: Sources, store: Store, as_of: dt.date, calendar, loaded_at: dt.datetime | None = None,
-                      lookback: dt.timedelta = dt.timedelta(0), tables: list[str] = TABLES) -> Warehouse:
+                      lookback: dt.timedelta = dt.timedelta(0), tables: list[str] = TABLES, checks: str | None = None) -> Warehouse:
     """Bring the store up to date with source rows created after those already loaded."""
-    finish_pending(store, sources.lookups, as_of, calendar, loaded_at, tables)   # it moves the watermark
+    finish_pending(store, sources.lookups, as_of, calendar, loaded_at, tables, checks)   # it moves the watermark
     named, changes = sources.named(), {}
     for name, (source, _, _) in RAW_TABLES.items():
         changes[name] = rows_after_watermark(raw_table(named[source], name), store.newest_rows(name), lookback=lookback)
-    return apply_changes(store, changes, sources.lookups, as_of, calendar, loaded_at, tables)
+    return apply_changes(store, changes, sources.lookups, as_of, calendar, loaded_at, tables, checks)
 
 
 def build(sources: Sources, store: Store, as_of: dt.date, calendar, mode: str = "incremental", **options) -> Warehouse:

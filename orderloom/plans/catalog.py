@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from orderloom.functions.columns import moment
 from orderloom.operators import analysis, dimensions, facts, lifecycle, metrics, quality, snapshot
-from orderloom.plans.build import full_build, incremental_build
+from orderloom.plans.build import DIMENSIONS, FACTS, full_build, incremental_build
 from orderloom.plans.expectations import SUITE
 from orderloom.plans.warehouse import Warehouse
 from orderloom.session import ensure_checkpoint_dir, pinned
@@ -88,6 +88,13 @@ DAILY = ["dim_customer", "dim_product", "fact_orders", "fact_order_line", "fact_
          "daily_customer_activity", "daily_product_base", "metric_daily_orders", "metric_daily_customers", "metric_daily_products",
          "daily_metrics"]
 
+def checked_build(w: Warehouse) -> DataFrame:
+    """What the checks of a build's raw tables, dimensions and facts have seen."""
+    store = Store(w.spark, f"{ensure_checkpoint_dir(w.spark)}/store-{uuid.uuid4().hex}")
+    full_build(w.sources, store, w.as_of, w.calendar, tables=DIMENSIONS + FACTS, checks="record")
+    return store.read("dq_gate")
+
+
 QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "raw_customers": lambda w: w.raw["raw_customers"],
     "raw_products": lambda w: w.raw["raw_products"],
@@ -146,6 +153,7 @@ QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
             "analysis_customer_behavior"]).read("analysis_customer_behavior"),
     "product_sales_incremental": lambda w: loaded_in_two_runs(
         w, ["dim_customer", "dim_product", "fact_order_line", "product_sales"]).read("product_sales"),
+    "dq_gate": checked_build,
     "dq_report": _quality,
 }
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -117,8 +117,9 @@ class Store:
         if self.exists(name):
             require_same_schema(df, self.read(name), name)
 
-    def write(self, df: DataFrame, name: str, month: str | Column | None = None, keep_schema: bool = True) -> DataFrame:
-        """Replace a whole table and return its stored form."""
+    def write(self, df: DataFrame, name: str, month: str | Column | None = None, keep_schema: bool = True,
+              watch: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+        """Replace a whole table and return its stored form.  ``watch`` goes around the rows as they are written."""
         if keep_schema:
             self._check(df, name)
         kind = "v" if month is None else "monthly"
@@ -127,17 +128,17 @@ class Store:
         if month is not None:
             df = df.withColumn(MONTH, month_of(month))
             # A folder that a failed write has left is overwritten as a whole.
-            self._write_months(df, folder, "static")
+            self._write_months(df, folder, "static", watch)
         else:
-            df.write.mode("overwrite").parquet(folder)
+            watch(df).write.mode("overwrite").parquet(folder)
         self._keep_schema(folder, df.schema)
         for old in versions[:-1]:  # the previous version stays for its readers
             self._files.delete(self._path(f"{self.root}/{name}/{kind}{old}"), True)
         return self.read(name)
 
-    def _write_months(self, df: DataFrame, folder: str, mode: str) -> None:
+    def _write_months(self, df: DataFrame, folder: str, mode: str, watch: Callable[[DataFrame], DataFrame] = lambda df: df) -> None:
         # rebalancing by month avoids many small files, and AQE splits large months
-        (df.hint("rebalance", MONTH).write.mode("overwrite").option("partitionOverwriteMode", mode)
+        (watch(df.hint("rebalance", MONTH)).write.mode("overwrite").option("partitionOverwriteMode", mode)
          .partitionBy(MONTH).parquet(folder))
 
     def replace_keys(self, name: str, rows: DataFrame, keys: list[str], month: str | Column | None = None,
