@@ -314,6 +314,14 @@ ORACLE["daily_status_population"] = compose("""
 SELECT day AS metric_date, order_status, count(*) AS orders, CAST(sum(order_amount) AS DOUBLE) / 100 AS amount
 FROM held GROUP BY ALL""", "held")
 
+ORACLE["orders_open_at_item_events"] = compose("""
+SELECT i.id, min(i.order_id) AS order_id, count(*) AS open_orders, CAST(sum(h.order_amount) AS DOUBLE) / 100 AS open_amount,
+       min(h.status_effective_date) AS open_since
+FROM lines i JOIN (SELECT DISTINCT order_id, customer_id FROM log) o USING (order_id)
+JOIN f_history h ON h.customer_id = o.customer_id AND h.order_id <> i.order_id AND h.order_status IN ('pending', 'items added')
+ AND h.status_effective_date <= i.created_at AND (h.status_end_date IS NULL OR h.status_end_date > i.created_at)
+GROUP BY i.id""", "lines", "log", "f_history")
+
 # --- two loads give what one load gives ---------------------------------------------
 
 ORACLE["incremental_merge_orders"] = ORACLE["raw_orders"]

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.functions import labels as L
-from orderloom.functions.columns import ladder, mean, moment
+from orderloom.functions.columns import MONEY, ladder, mean, moment
+from orderloom.operators.intervals import interval_join
 
 ARROW = " → "
 
@@ -78,3 +79,19 @@ def completion_speed(history: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("order_count"), mean("order_amount").alias("avg_order_value"),
         F.sum("order_amount").alias("total_revenue"), F.min("hours_to_completion").alias("_fastest")).orderBy(
         "_fastest").drop("_fastest")
+
+
+def open_at_items(history: DataFrame, items: DataFrame, orders: DataFrame) -> DataFrame:
+    """Per order item, the other orders of its customer that were open when it was added, and what they were worth.
+
+    Customer and time meet in one interval join, so a customer with very many orders is spread over the bins of time.
+    """
+    owner = orders.groupBy("order_id").agg(F.min("customer_id").alias("customer_id"))      # one customer per order
+    added = items.select("id", F.col("order_id").alias("own_order"), F.col("created_at").alias("added_at")).join(
+        owner.withColumnRenamed("order_id", "own_order"), "own_order")
+    open_now = history.where(F.col("order_status").isin(L.PENDING, L.ITEMS_ADDED)).join(owner, "order_id").select(
+        "customer_id", "order_id", "order_amount", "status_effective_date", "status_end_date")
+    met = interval_join(added, open_now, "added_at", "status_effective_date", "status_end_date", ["customer_id"])
+    return met.where(F.col("order_id") != F.col("own_order")).groupBy("id").agg(
+        F.first("own_order").alias("order_id"), F.count(F.lit(1)).alias("open_orders"),
+        F.sum("order_amount").cast(MONEY).alias("open_amount"), F.min("status_effective_date").alias("open_since"))

@@ -122,6 +122,8 @@ QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "scd2_status_journey": lambda w: lifecycle.status_journey(w.fact_orders_scd2, "pending", "cancelled"),
     "scd2_items_added_then_cancelled": lambda w: lifecycle.status_journey(w.fact_orders_scd2),
     "scd2_completion_speed": lambda w: lifecycle.completion_speed(w.fact_orders_scd2),
+    "orders_open_at_item_events": lambda w: lifecycle.open_at_items(
+        w.fact_orders_scd2, w.raw["raw_order_items"], w.raw["raw_orders"]),
     "daily_status_population": lambda w: snapshot.daily_status_population(w.fact_orders_scd2, *w.calendar),
     "metric_daily_orders": lambda w: w.metric_daily_orders,
     "daily_customer_activity": lambda w: w.daily_customer_activity,
