@@ -5,7 +5,8 @@ are one row per source, stored, and joined back as Spark sees fit by their measu
 
 Defined cases: a null or empty text has size 0; null sources form one source, placed last;
 a source without words has target 0, and so rate 0 for its (empty) documents; repeated rows
-count each; rows of equal id share their draw; other columns pass through ``emit`` untouched.
+count each; the draw depends on id and text, so only rows equal in both share it, and rows without id draw by their text;
+other columns pass through ``emit`` untouched.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from orderloom.llm.common import Stored, word_count
+from orderloom.llm.common import Stored, text_hash, word_count
 
 WEIGHTS = (3, 1, 2)
 SHARE, CAP = 1.5, 2.0
@@ -47,27 +48,28 @@ def source_targets(sized: DataFrame, weights: Sequence[int] = WEIGHTS, share: fl
                         F.least("most", F.col("weight") * F.max("level").over(everything)).alias("target"))
 
 
-def draw(key: Column, seed: str = SEED) -> Column:
-    """A uniform number of [0, 1) that depends on the key and the seed alone."""
-    digits = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit("")))), 1, 13)
+def draw(key: Column, mark: Column, seed: str = SEED) -> Column:
+    """A uniform number of [0, 1) that depends on the key, the text's hash and the seed alone."""
+    digits = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit("")), F.lit(":"), mark)), 1, 13)
     return F.conv(digits, 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
-def with_copies(rows: DataFrame, targets: DataFrame, key: str, source: str, seed: str = SEED) -> DataFrame:
-    """``rows`` with ``_mix_source_size``, ``_mix_target`` and ``_mix_copies``.
+def with_copies(rows: DataFrame, targets: DataFrame, key: str, mark: Column, source: str, seed: str = SEED) -> DataFrame:
+    """``rows``, whose texts have the hash ``mark``, with ``_mix_source_size``, ``_mix_target`` and ``_mix_copies``.
 
     Copies are floor(rate), plus one with the probability of the fraction.
     """
     t = targets.select(*[F.col(c).alias(f"_mix_{c}") for c in targets.columns])
     rate = F.when(F.col("_mix_source_size") > 0, F.col("_mix_target") / F.col("_mix_source_size")).otherwise(F.lit(0.0))
-    copies = F.floor(rate) + (draw(F.col(key), seed) < rate - F.floor(rate)).cast("long")
+    copies = F.floor(rate) + (draw(F.col(key), mark, seed) < rate - F.floor(rate)).cast("long")
     return (rows.join(t, F.col(source).eqNullSafe(F.col("_mix_source")))
             .withColumn("_mix_copies", copies).drop("_mix_source"))
 
 
 def measure(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> Stored:
-    """Stored ``key, source, size``; the only pass over the texts."""
-    sized = docs.select(F.col(key), F.col(source).alias("source"), word_count(F.col(text)).alias("size"))
+    """Stored ``key, source, size, mark``; the only pass over the texts."""
+    sized = docs.select(F.col(key), F.col(source).alias("source"), word_count(F.col(text)).alias("size"),
+                        text_hash(F.col(text)).alias("mark"))
     return Stored(sized, "mix-sizes")
 
 
@@ -76,7 +78,7 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     """Per document what the mix takes of it: ``key, size, source_size, target, copies, taken``."""
     sized = measure(docs, key, text, source).df
     targets = Stored(source_targets(sized, weights, share, cap), "mix-targets").df
-    return with_copies(sized, targets, key, "source", seed).select(
+    return with_copies(sized, targets, key, F.col("mark"), "source", seed).select(
         key, "size", F.col("_mix_source_size").alias("source_size"), F.col("_mix_target").alias("target"),
         F.col("_mix_copies").alias("copies"), (F.col("size") * F.col("_mix_copies")).alias("taken"))
 
@@ -90,7 +92,7 @@ def emit(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     """
     columns = docs.columns
     targets = Stored(source_targets(measure(docs, key, text, source).df, weights, share, cap), "mix-targets").df
-    rows = with_copies(docs, targets, key, source, seed).where(F.col("_mix_copies") > 0)
+    rows = with_copies(docs, targets, key, text_hash(F.col(text)), source, seed).where(F.col("_mix_copies") > 0)
     number = [F.explode(F.sequence(F.lit(1), F.col("_mix_copies").cast("int"))).alias(copy_column or "_mix_copy")]
     out = rows.select(*columns, *number)
     return out if copy_column else out.drop("_mix_copy")

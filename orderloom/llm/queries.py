@@ -120,7 +120,8 @@ FROM e GROUP BY conv_id
 """,
     "op8_mix_sources": r"""
 WITH sized AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+         md5(coalesce(text, '')) AS mark FROM documents),
 by_source AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
 weighed AS (
   SELECT *, 2.0::DOUBLE * source_size AS most,
@@ -135,7 +136,7 @@ targets AS (SELECT source, source_size, least(most, weight * max(level) OVER ())
 rated AS (
   SELECT s.doc_id, s.size, t.source_size, t.target,
          CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS rate,
-         ('0x' || substr(md5('mix-1:' || coalesce(s.doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE
+         ('0x' || substr(md5('mix-1:' || coalesce(s.doc_id::VARCHAR, '') || ':' || s.mark), 1, 13))::BIGINT::DOUBLE
            / 4503599627370496::DOUBLE AS u
   FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target, (floor(rate) + (u < rate - floor(rate))::INT)::BIGINT AS copies,

@@ -16,8 +16,8 @@ their place in the archives, in large ranges; payloads are checked against their
 
 Defined cases: a null payload is empty; a null URL is the empty URL; a null id is written as such, is no response to others, and
 becomes a revisit if its payload has a response; repeated rows are records of their own, and each reads back a record of their
-id; rows that share an id but not the payload read back the first of them unless their URLs differ; an empty table has no records;
-other columns are not read.
+id, URL and payload; rows that share id and URL but not the payload each read back their own, as the digest is part of a capture's key; an
+empty table has no records; other columns are not read.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ from urllib.parse import quote, urlsplit
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.llm.common import Stored, new_folder
@@ -69,9 +69,9 @@ def url_key(url: str | None) -> str:
     return ",".join(reversed(host.split("."))) + port + ")" + (parts.path or "/") + query + (f"#{parts.fragment}" if parts.fragment else "")
 
 
-def entry_key(url: str | None, page: int | None) -> str:
-    """Key of a capture: URL key and id, in an order that text comparison keeps."""
-    return f"{url_key(url)} {'' if page is None else f'{page + (1 << 63):020d}'}"
+def entry_key(url: str | None, page: int | None, digest: str) -> str:
+    """Key of a capture: URL key, id and payload digest, in an order that text comparison keeps."""
+    return f"{url_key(url)} {'' if page is None else f'{page + (1 << 63):020d}'} {digest}"
 
 
 def record(page: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, revisit: bool) -> bytes:
@@ -122,11 +122,16 @@ def parsed(member: bytes) -> Record:
     return Record(number("WARC-Record-ID"), head["WARC-Type"], head["WARC-Target-URI"], payload, size, digest, number("WARC-Refers-To"))
 
 
+def payload_digest(payload: Column) -> Column:
+    """Hexadecimal SHA-1 of a payload's UTF-8 bytes; null is empty."""
+    return F.sha1(F.coalesce(payload, F.lit("")).cast("binary"))
+
+
 def _decided(pages: DataFrame, key: str, url: str, payload: str, least: int) -> DataFrame:
     """``page_id, url, payload, digest, refers_to, revisit`` of every row."""
     body = F.coalesce(F.col(payload), F.lit("")).cast("binary")
     rows = pages.select(F.col(key).cast("long").alias("page_id"), F.col(url).alias("url"), body.alias("payload"),
-                        F.sha1(body).alias("digest"))
+                        payload_digest(F.col(payload)).alias("digest"))
     shared = (rows.where(F.length("payload") >= least).groupBy("digest")
               .agg(F.max("page_id").alias("lead"), F.count(F.lit(1)).alias("n")).where("n > 1").select("digest", "lead"))
     # Only payloads that occur again are kept; stored, so that the join is planned by their measured size.
@@ -150,11 +155,11 @@ def write(pages: DataFrame, key: str = "page_id", url: str = "url", payload: str
             for batch in batches:
                 out = []
                 for page, address, body, digest, lead, again in zip(*(batch.column(i) for i in range(6))):
-                    page, address = page.as_py(), address.as_py()
-                    member = record(page, address, body.as_py(), digest.as_py(), lead.as_py(), again.as_py())
+                    page, address, digest = page.as_py(), address.as_py(), digest.as_py()
+                    member = record(page, address, body.as_py(), digest, lead.as_py(), again.as_py())
                     sink = sink or system.open_output_stream(f"{path}/{name}", compression=None)
                     sink.write(member)
-                    out.append((entry_key(address, page), page, name, offset, len(member)))
+                    out.append((entry_key(address, page, digest), page, name, offset, len(member)))
                     offset += len(member)
                 if out:
                     yield _rows(out)
@@ -224,15 +229,15 @@ def build_index(captures: DataFrame, block_lines: int = BLOCK_LINES, folder: str
     return Index([r[0] for r in rows], [(f"{folder}/{r[1]}", r[2], r[3]) for r in rows])
 
 
-def lookup(requests: DataFrame, index: Index, key: str = "page_id", url: str = "url") -> DataFrame:
-    """``page_id, file, offset, length`` of the capture of each requested (id, URL) that the index has."""
+def lookup(requests: DataFrame, index: Index, key: str = "page_id", url: str = "url", digest: str = "digest") -> DataFrame:
+    """``page_id, file, offset, length`` of the capture of each requested (id, URL, payload digest) that the index has."""
     shared = requests.sparkSession.sparkContext.broadcast(index)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         top = shared.value
         for batch in batches:
             pages = batch.column(0).to_pylist()
-            entries = [entry_key(u, p) for u, p in zip(batch.column(1).to_pylist(), pages)]
+            entries = [entry_key(u, p, d) for u, p, d in zip(batch.column(1).to_pylist(), pages, batch.column(2).to_pylist())]
             places = [max(bisect_right(top.firsts, e) - 1, 0) for e in entries]
             # An entry that fills several files is found in the first that starts with it.
             places = [top.firsts.index(e) if top.firsts[p] == e else p for p, e in zip(places, entries)]
@@ -275,7 +280,7 @@ def lookup(requests: DataFrame, index: Index, key: str = "page_id", url: str = "
 
     if not index.files:
         return requests.sparkSession.createDataFrame([], CAPTURE).drop("entry")
-    routed = requests.select(F.col(key).cast("long").alias("page_id"), F.col(url).alias("url")).mapInArrow(
+    routed = requests.select(F.col(key).cast("long").alias("page_id"), F.col(url).alias("url"), F.col(digest).alias("digest")).mapInArrow(
         route, "place bigint, entry string, page_id bigint")
     dealt = routed.repartitionByRange(_tasks(requests.sparkSession), "place", "entry").sortWithinPartitions("place", "entry")
     return dealt.mapInArrow(search, CAPTURE).drop("entry")
@@ -321,4 +326,5 @@ def round_trip(pages: DataFrame, least: int = LEAST_REVISIT_BYTES, key: str = "p
                payload: str = "html") -> DataFrame:
     """Write all pages, index them, look every page up, and read its record back."""
     index = build_index(write(pages, key, url, payload, least))
-    return read(lookup(pages, index, key, url))
+    asked = pages.select(F.col(key).alias("page_id"), F.col(url).alias("url"), payload_digest(F.col(payload)).alias("digest"))
+    return read(lookup(asked, index))

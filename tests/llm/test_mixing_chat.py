@@ -44,6 +44,14 @@ def test_mixing(frame):
     assert mixing.mix(docs.limit(0)).count() == 0
 
 
+def test_rows_without_an_id_draw_apart(frame):
+    """A source whose rows have no id, or one id, still comes near its target."""
+    rows = [(None, f"text number {i} of many", "a") for i in range(600)] + [(7, f"other words {i}", "b") for i in range(600)]
+    got = mixing.mix(frame(rows, "doc_id long, text string, source string"))
+    sums = got.groupBy("doc_id").agg(F.sum("taken").alias("taken"), F.max("target").alias("target"), F.sum("size").alias("size")).collect()
+    assert len(sums) == 2 and all(abs(r.taken - r.target) < 0.1 * r.size for r in sums)
+
+
 EVENTS = "conv_id long, message long, seq long, kind string, role string, text string"
 
 

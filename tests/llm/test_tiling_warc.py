@@ -1,6 +1,8 @@
+import hashlib
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from orderloom.llm import tiling, warc
 
@@ -55,7 +57,6 @@ def test_decontamination(frame, monkeypatch, slice_words, block):
 
 def test_record_round_trip():
     data = "<p>é</p>\r\n\r\n".encode() * 9
-    import hashlib
     digest = hashlib.sha1(data).hexdigest()
     r = warc.parsed(warc.record(-5, "http://a.b/ü\r\nX: 1", data, digest, None, False))
     assert (r.page, r.kind, r.payload, r.payload_bytes, r.digest, r.refers_to) == (-5, "response", data, len(data), digest, None)
@@ -68,7 +69,7 @@ def test_record_round_trip():
 def test_keys():
     assert warc.url_key("http://www.Example.com:8080/a?b=1#c") == "com,example,www:8080)/a?b=1#c"
     assert warc.url_key(None) == "" and "\n" not in warc.url_key("http://a.b/x\ny\tz")
-    assert warc.url_key("http://[bad/") and warc.entry_key("u", -1) < warc.entry_key("u", 3) < warc.entry_key("u", 10)
+    assert warc.url_key("http://[bad/") and warc.entry_key("u", -1, "f") < warc.entry_key("u", 3, "a") < warc.entry_key("u", 10, "a")
 
 
 def test_archives(spark, frame):
@@ -78,7 +79,8 @@ def test_archives(spark, frame):
              (62, "y", "b" * 999), (None, "z", big), (70, "http://x.org/", sentence(rng, 500)), (50, "http://x.org/", big)]
     pages = frame([(p, u, h, "q") for p, u, h in rows], "page_id long, url string, html string, payload string", 3)
     index = warc.build_index(warc.write(pages), block_lines=4)
-    got = warc.read(warc.lookup(pages, index), texts=True).collect()
+    asked = pages.withColumn("digest", warc.payload_digest(F.col("html")))
+    got = warc.read(warc.lookup(asked, index), texts=True).collect()
     assert len(got) == len(rows)
     kinds = {}
     for r in got:
@@ -87,6 +89,18 @@ def test_archives(spark, frame):
     assert kinds[61] == kinds[62] == kinds[60] == {("response", None)}
     assert {r.page_id: (r.payload or b"").decode() for r in got if r.record_type == "response"} == {
         p: h or "" for p, _, h in rows if p not in (49, 50, None)}
-    missing = warc.lookup(frame([(999, "http://x.org/"), (0, "http://none/")], "page_id long, url string"), index)
+    missing = warc.lookup(frame([(999, "http://x.org/"), (0, "http://none/")], "page_id long, url string").withColumn(
+        "digest", F.lit("0" * 40)), index)
     assert missing.count() == 0
     assert warc.round_trip(pages.limit(0)).count() == 0
+
+
+def test_rows_that_share_id_and_url(frame):
+    """Each reads back its own record, with and without an id, long payloads and short ones."""
+    rows = [(5, "http://a.org/", "one"), (5, "http://a.org/", "two"), (5, "http://a.org/", "x" * 2000), (5, "http://a.org/", "y" * 2000),
+            (None, "u", "three"), (None, "u", "four"), (6, "http://b.org/", "x" * 2000), (5, "http://a.org/", "one")]
+    got = warc.round_trip(frame(rows, "page_id long, url string, html string")).collect()
+    sha = {h: hashlib.sha1(h.encode()).hexdigest() for _, _, h in rows}
+    want = sorted((str(p), len(h), sha[h], "revisit" if p == 5 and h[0] == "x" else "response", 6 if p == 5 and h[0] == "x" else None)
+                  for p, _, h in rows)
+    assert sorted((str(r.page_id), r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got) == want
