@@ -152,21 +152,50 @@ class Slice:
                 found[item].append(ids[starts[run]:stops[run]])
 
 
-def _longest(pattern: np.ndarray, text: np.ndarray, free_p: np.ndarray, free_t: np.ndarray, width: int) -> list[tuple[int, int]]:
-    """Places (in pattern, in text) where unmarked windows of ``width`` words are equal; hashes are verified."""
-    whole_p = np.flatnonzero(np.convolve(free_p, np.ones(width, int), "valid") == width) if len(free_p) >= width else []
-    whole_t = np.flatnonzero(np.convolve(free_t, np.ones(width, int), "valid") == width) if len(free_t) >= width else []
-    if not len(whole_p) or not len(whole_t):
-        return []
-    hp, ht = window_hashes(pattern, width)[whole_p], window_hashes(text, width)[whole_t]
-    order = np.argsort(ht, kind="stable")
-    low, high = np.searchsorted(ht[order], hp, "left"), np.searchsorted(ht[order], hp, "right")
-    places = []
-    for p, a, b in zip(whole_p.tolist(), low.tolist(), high.tolist()):
-        for t in whole_t[order[a:b]].tolist():
-            if (pattern[p:p + width] == text[t:t + width]).all():
-                places.append((p, t))
-    return places
+class _Windows:
+    """Unmarked windows of ``width`` words of a pattern, in order, with the places of equal hash in a text.
+
+    Places are one list per hash, not one per pair, so repeated words cost no more than others.
+    """
+
+    def __init__(self, pattern: np.ndarray, text: np.ndarray, free_p: np.ndarray, free_t: np.ndarray, width: int):
+        self.pattern, self.text, self.free_p, self.free_t, self.width = pattern, text, free_p, free_t, width
+        whole_p, whole_t = (np.flatnonzero(np.convolve(free, np.ones(width, int), "valid") == width) if len(free) >= width
+                            else np.zeros(0, int) for free in (free_p, free_t))
+        self.places, self.hashes = [], []
+        if not len(whole_p) or not len(whole_t):
+            return
+        hp, ht = window_hashes(pattern, width)[whole_p], window_hashes(text, width)[whole_t]
+        order = np.argsort(ht, kind="stable")
+        self._hashes, self._places = ht[order], whole_t[order]
+        low, high = np.searchsorted(self._hashes, hp, "left"), np.searchsorted(self._hashes, hp, "right")
+        met = low < high
+        self.places, self.hashes = whole_p[met].tolist(), list(zip(low[met].tolist(), high[met].tolist()))
+
+    def _equal(self, p: int, t: int) -> bool:
+        return bool((self.pattern[p:p + self.width] == self.text[t:t + self.width]).all())
+
+    def any(self) -> bool:
+        return any(self._equal(p, int(self._places[i])) for p, (low, high) in zip(self.places, self.hashes) for i in range(low, high))
+
+    def mark(self) -> list[tuple[int, int, int]]:
+        """Tiles of this width, each at the first place of the pattern and then of the text that is free, and mark them."""
+        tiles, following = [], {}
+        for p, (low, high) in zip(self.places, self.hashes):
+            if not self.free_p[p:p + self.width].all():
+                continue
+            i = following.get(low, low)
+            # Marks only grow, so places passed over once are passed for all windows of the hash.
+            while i < high and not self.free_t[self._places[i]:self._places[i] + self.width].all():
+                i += 1
+            following[low] = i
+            for j in range(i, high):
+                t = int(self._places[j])
+                if self.free_t[t:t + self.width].all() and self._equal(p, t):
+                    self.free_p[p:p + self.width] = self.free_t[t:t + self.width] = 0
+                    tiles.append((p, t, self.width))
+                    break
+        return tiles
 
 
 def tile(pattern: np.ndarray, runs: list[np.ndarray], least: int) -> list[tuple[int, int, int]]:
@@ -181,20 +210,17 @@ def tile(pattern: np.ndarray, runs: list[np.ndarray], least: int) -> list[tuple[
     tiles = []
     while True:
         # Longest common unmarked run: binary search over the length, as any shorter length occurs as well.
-        low, high, best = least, min(len(pattern), max(map(len, runs))), []
+        low, high, best = least, min(len(pattern), max(map(len, runs))), None
         while low <= high:
             middle = (low + high) // 2
-            places = _longest(pattern, text, free_p, free_t, middle)
-            if places:
-                best, length, low = places, middle, middle + 1
+            windows = _Windows(pattern, text, free_p, free_t, middle)
+            if windows.any():
+                best, low = windows, middle + 1
             else:
                 high = middle - 1
-        if not best:
+        if best is None:
             return tiles
-        for p, t in best:
-            if free_p[p:p + length].all() and free_t[t:t + length].all():
-                free_p[p:p + length] = free_t[t:t + length] = 0
-                tiles.append((p, t, length))
+        tiles += best.mark()
 
 
 def matches(text: str | None, part: Slice, coverage: float) -> list[tuple[int, float, int, int]]:

@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -55,6 +56,46 @@ def test_decontamination(frame, monkeypatch, slice_words, block):
     tiling._powers.cache_clear()
 
 
+def test_repeated_words_cost_no_pairs():
+    """Hundreds of equal windows on both sides; tiles are those of the plain greedy choice."""
+    import time
+    start = time.perf_counter()
+    tiles = tiling.tile(np.ones(3000, np.int64), [np.ones(40_000, np.int64), np.array([1, 2, 1])], 5)
+    assert tiles == [(0, 0, 3000)] and time.perf_counter() - start < 5
+    start = time.perf_counter()
+    pattern = np.tile(np.array([1, 1, 1, 2], np.int64), 500)
+    tiles = tiling.tile(pattern, [np.tile(np.array([1, 1, 1, 3], np.int64), 3000)], 3)
+    assert tiles == [(4 * i, 4 * i, 3) for i in range(500)] and time.perf_counter() - start < 5
+
+
+def test_tiles_equal_the_plain_choice():
+    rng = np.random.default_rng(6)
+    for _ in range(60):
+        pattern = rng.integers(0, 3, 30)
+        runs = [rng.integers(0, 3, n) for n in rng.integers(3, 25, 3)]
+        text = [(r, i) for r, run in enumerate(runs) for i in range(len(run))]
+        free_p, free_t, want = set(range(30)), set(text), []
+        while True:
+            best = []
+            for p in range(30):
+                for r, i in text:
+                    n = 0
+                    while (p + n in free_p and (r, i + n) in free_t and p + n < 30 and i + n < len(runs[r]) and pattern[p + n] == runs[r][i + n]):
+                        n += 1
+                    best.append((n, p, r, i))
+            longest = max(b[0] for b in best)
+            if longest < 3:
+                break
+            for n, p, r, i in best:
+                cells = [(p + k, (r, i + k)) for k in range(longest)]
+                if n == longest and all(a in free_p and b in free_t for a, b in cells):
+                    free_p -= {a for a, _ in cells}
+                    free_t -= {b for _, b in cells}
+                    want.append((p, r, i, n))
+        starts = np.cumsum([0] + [len(r) + 1 for r in runs[:-1]])
+        assert tiling.tile(pattern, runs, 3) == [(p, int(starts[r]) + i, n) for p, r, i, n in want]
+
+
 def test_record_round_trip():
     data = "<p>é</p>\r\n\r\n".encode() * 9
     digest = hashlib.sha1(data).hexdigest()
