@@ -84,40 +84,58 @@ class Watch:
         return [(self.table, test, column, counts[f"t{i}"]) for i, (test, column) in enumerate(self._tests)]
 
 
-def _one(df: DataFrame, table: str, test: str, column: str) -> DataFrame:
-    return df.select(F.lit(table).alias("table_name"), F.lit(test).alias("test"),
-                     F.lit(column).alias("column_name"), F.col("failures").cast("bigint").alias("failures"))
+def _text(*columns: str) -> Column:
+    """Text of a key, null if a part is null; parts carry their length, so no two keys share a text."""
+    if len(columns) == 1:
+        return F.col(columns[0]).cast("string")
+    texts = [F.col(c).cast("string") for c in columns]
+    return F.concat(*[part for t in texts for part in (F.length(t).cast("string"), F.lit(":"), t)])
 
 
-def repeated(df: DataFrame, *columns) -> DataFrame:
-    """Number of values that occur more than once; nulls are not compared."""
-    keys = [F.col(c) if isinstance(c, str) else c for c in columns]
-    rows = df.select(*[k.alias(f"k{i}") for i, k in enumerate(keys)]).dropna()
-    counts = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n"))
-    return counts.agg(F.count_if(F.col("n") > 1).alias("failures"))
+def key_report(frames: dict[str, DataFrame], suite: dict[str, Expectations]) -> DataFrame | None:
+    """Checks that compare rows with each other or with a parent, for all tables of ``suite`` in one shuffle.
 
+    Every row sends the text of each of its checked keys once.  A domain is a set of key columns; its own table sends into slot 0, each
+    table that refers to it into a slot of its own.  Per key the slots are counted, in the map tasks first, so a frequent key
+    is one row per task.  A key is repeated if slot 0 has it more than once, and an orphan if slot 0 lacks it.  Null keys are
+    not compared; keys of different types are equal if their texts are.
+    """
+    domains, slots, sent, declared = {}, {}, {}, []
+
+    def domain(table: str, key: Column, *name) -> int:
+        found = domains.setdefault((table, *name), len(domains))
+        if found not in slots:
+            slots[found] = 0
+            sent.setdefault(table, []).append((found, 0, key))
+        return found
+
+    for table, checks in suite.items():
+        unique = [("unique", c, domain(table, _text(c), c)) for c in checks.unique.split()]
+        unique += [("unique", "-".join(c), domain(table, F.concat_ws("-", *c), "text", *c)) for c in checks.unique_text]
+        unique += [("unique_combination", "-".join(c), domain(table, _text(*c), "parts", *c)) for c in checks.unique_together]
+        declared += [(table, test, column, found, 0) for test, column, found in unique]
+        for column, (parent, name) in checks.references.items():
+            found = domain(parent, _text(name), name)
+            slots[found] += 1
+            sent.setdefault(table, []).append((found, slots[found], _text(column)))
+            declared.append((table, "relationships", column, found, slots[found]))
+    if not declared:
+        return None
 
-def orphans(df: DataFrame, column: str, parent: DataFrame, field_name: str) -> DataFrame:
-    """Rows whose key has no parent.  Keys are counted first, so a frequent key is one row in the join."""
-    keys = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    parents = parent.select(F.col(field_name).alias(column))
-    return keys.join(parents, column, "left_anti").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("failures"))
-
-
-def table_report(frames: dict[str, DataFrame], table: str, checks: Expectations) -> list[DataFrame]:
-    rows = row_checks(frames[table], table, checks)
-    return ([] if rows is None else [rows]) + key_checks(frames, table, checks)
-
+    def keys(table: str) -> DataFrame:
+        entries = F.array(*[F.struct(F.lit(d).alias("domain"), F.lit(s).alias("slot"), key.alias("key")) for d, s, key in sent[table]])
+        return frames[table].select(F.inline(entries)).where("key is not null")
 
-def key_checks(frames: dict[str, DataFrame], table: str, checks: Expectations) -> list[DataFrame]:
-    """Checks that compare rows with each other or with a parent."""
-    df = frames[table]
-    out = [_one(repeated(df, c), table, "unique", c) for c in checks.unique.split()]
-    out += [_one(repeated(df, F.concat_ws("-", *c)), table, "unique", "-".join(c)) for c in checks.unique_text]
-    out += [_one(repeated(df, *c), table, "unique_combination", "-".join(c)) for c in checks.unique_together]
-    out += [_one(orphans(df, c, frames[parent], f), table, "relationships", c)
-            for c, (parent, f) in checks.references.items()]
-    return out
+    each = range(max(slots.values()) + 1)
+    counts = (reduce(lambda a, b: a.unionByName(b), [keys(t) for t in sent])
+              .groupBy("domain", "key").agg(*[F.count_if(F.col("slot") == i).alias(f"n{i}") for i in each]))
+    orphaned = [F.sum(F.when(F.col("n0") == 0, F.col(f"n{i}")).otherwise(0)) for i in each if i]
+    failed = counts.groupBy("domain").agg(F.array(F.count_if(F.col("n0") > 1), *orphaned).alias("failed"))
+    # one row per declared check, also where its tables are empty
+    kind = "table_name string, test string, column_name string, domain int, slot int"
+    listed = frames[declared[0][0]].sparkSession.createDataFrame(declared, kind)
+    return listed.join(F.broadcast(failed), "domain", "left").select(
+        "table_name", "test", "column_name", F.coalesce(F.get("failed", F.col("slot")), F.lit(0)).cast("bigint").alias("failures"))
 
 
 def report(frames: dict[str, DataFrame], suite: dict[str, Expectations], store: bool = False) -> DataFrame:
@@ -129,8 +147,8 @@ def report(frames: dict[str, DataFrame], suite: dict[str, Expectations], store:
     narrow = {t: frames[t].select(*suite[t].columns(frames[t].columns)) for t in suite}
     if store:
         narrow = {t: pinned(df) for t, df in narrow.items()}
-    parts = [part for t, checks in suite.items() for part in table_report(narrow, t, checks)]
-    out = reduce(lambda a, b: a.unionByName(b), parts)
+    parts = [row_checks(narrow[t], t, checks) for t, checks in suite.items()] + [key_report(narrow, suite)]
+    out = reduce(lambda a, b: a.unionByName(b), [part for part in parts if part is not None])
     return out.withColumn("passed", F.col("failures") == 0)
 
 

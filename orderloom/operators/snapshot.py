@@ -25,6 +25,7 @@ RUNNING = (W.unboundedPreceding, W.currentRow)
 PAID = (L.COMPLETED, L.REFUNDED)
 
 STEP_BITS = 9  # an amount is searched at most this many bits at a time
+RUNG_BITS = 5  # the same where counts of all steps are stored beforehand
 
 
 def status_intervals(history: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
@@ -145,32 +146,45 @@ def _cents(amount: str):
     return (F.col(amount).cast(MONEY) * 100).cast("bigint")
 
 
-def _search_plan(values: DataFrame) -> tuple[int, list[tuple[int, int]]]:
+def _search_plan(values: DataFrame, step_bits: int) -> tuple[int, list[tuple[int, int]]]:
     """Lowest value, and the (parent, child) bit shifts that cover the range of ``cents``."""
     low, high = values.agg(F.min("cents"), F.max("cents")).first()
     bits = max(1, ((high or 0) - (low or 0)).bit_length())
-    steps = -(-bits // STEP_BITS)
+    steps = -(-bits // step_bits)
     edges = [bits * i // steps for i in range(steps, -1, -1)]
     return low or 0, list(zip(edges, edges[1:]))
 
 
+def value_ladder(leaf: DataFrame, lowest: int, shifts: list[tuple[int, int]]) -> DataFrame:
+    """Counts of ``cents, day, step`` in the value buckets of every search step, stored by ``rung``.
+
+    A bucket of rung ``i`` joins the values that agree above the ``i``-th child shift.  All rungs come from one scan; the map
+    tasks sum before the shuffle, so a coarse rung costs at most its buckets times the calendar per task.
+    """
+    value = F.col("cents") - F.lit(lowest)
+    rungs = F.array(*[F.struct(F.lit(i).alias("rung"), F.shiftright(value, child).alias("child"),
+                               F.shiftright(value, parent).alias("bucket")) for i, (parent, child) in enumerate(shifts)])
+    return pinned(leaf.select("day", "step", F.inline(rungs))
+                  .groupBy("rung", "bucket", "child", "day").agg(F.sum("step").alias("step"))
+                  .where("step <> 0"), by="rung")
+
+
 def interval_statistics(intervals: DataFrame, sizes: DataFrame, end: dt.date) -> DataFrame:
     """Exact min, median and max of ``order_amount`` over the orders held on each day.
 
-    The value with a wanted rank is found a few bits at a time: only the
-    children of buckets that hold a wanted rank on some day are counted, and only on
+    The intervals are read once: their marks are stored as net steps per value and day, and from those come the counts of
+    all dyadic value buckets.  The value with a wanted rank is then found a few bits at a time: only the
+    children of buckets that hold a wanted rank on some day are summed, and only on
     those days.  No task sees more than a bucket's children times the calendar.
     """
-    amounts = intervals.select("from_day", "to_day", _cents("order_amount").alias("cents"))
-    lowest, steps_down = _search_plan(amounts)
-    marks = _marks(amounts, end, (F.col("cents") - F.lit(lowest)).alias("cents"))
-    chosen = pinned(_wanted_ranks(sizes))
-    for high, low in steps_down:
-        parent, child = F.shiftright("cents", high), F.shiftright("cents", low)
+    marks = _marks(intervals.select("from_day", "to_day", _cents("order_amount").alias("cents")), end, "cents")
+    leaf = pinned(marks.groupBy("cents", "day").agg(F.sum("sign").alias("step")).where("step <> 0"))
+    lowest, shifts = _search_plan(leaf, RUNG_BITS)
+    ladder, chosen = value_ladder(leaf, lowest, shifts), pinned(_wanted_ranks(sizes))
+    for rung in range(len(shifts)):
         # at most four buckets per calendar day
-        open_buckets = F.broadcast(chosen.select(F.col("bucket").alias("open")).distinct())
-        steps = (marks.join(open_buckets, parent == F.col("open"), "left_semi")
-                 .groupBy(parent.alias("bucket"), child.alias("child"), "day").agg(F.sum("sign").alias("step")))
+        open_buckets = F.broadcast(chosen.select("bucket").distinct())
+        steps = ladder.where(F.col("rung") == rung).drop("rung").join(open_buckets, "bucket", "left_semi")
         places = (chosen.select("day", "bucket").distinct()
                   .join(steps.select("bucket", "child").distinct(), "bucket"))
         grid = (steps.withColumn("asked", F.lit(False))
@@ -188,7 +202,7 @@ def daily_statistics(rows: DataFrame, day: str, amount: str) -> DataFrame:
     """Exact min, median and max of ``amount`` per day, by the same search over plain rows."""
     values = pinned(rows.where(F.col(amount).isNotNull())
                     .groupBy(F.col(day).alias("day"), _cents(amount).alias("cents")).agg(F.count(F.lit(1)).alias("held")))
-    lowest, steps_down = _search_plan(values)
+    lowest, steps_down = _search_plan(values, STEP_BITS)
     offset = F.col("cents") - F.lit(lowest)
     chosen = pinned(_wanted_ranks(values.groupBy("day").agg(F.sum("held").alias("n"))))
     for high, low in steps_down:

@@ -117,14 +117,12 @@ class Gate:
     def close_layer(self, tables: Callable[[str], DataFrame]) -> None:
         """Gather what the written tables of a layer have shown, and compare their keys; ``tables`` finds a table by name."""
         seen = [row for watch in self._watches.values() for row in watch.results()]
-        parts = []
-        for name in self._watches:
-            checks = self.suite[name]
-            frames = {t: tables(t) for t in {name, *[parent for parent, _ in checks.references.values()]}}
-            parts += quality.key_checks(frames, name, checks)
+        suite = {name: self.suite[name] for name in self._watches}
+        parents = [parent for checks in suite.values() for parent, _ in checks.references.values()]
+        keys = quality.key_report({t: tables(t) for t in {*suite, *parents}}, suite)
         self._watches = {}
-        if parts:      # one row per declared check
-            seen += [tuple(r) for r in reduce(lambda a, b: a.unionByName(b), parts).collect()]
+        if keys is not None:      # one row per declared check
+            seen += [tuple(r) for r in keys.collect()]
         self.results += seen
         failures = [row for row in seen if row[3]]
         if failures and self.mode == "stop":

@@ -75,12 +75,37 @@ def random_history(spark):
 @pytest.mark.parametrize("bits", [2, 9])
 def test_sweep_equals_exploded_form(random_history, monkeypatch, bits):
     monkeypatch.setattr(snapshot, "STEP_BITS", bits)
+    monkeypatch.setattr(snapshot, "RUNG_BITS", bits)
     got = comparable_state(snapshot.daily_order_state(random_history, *CALENDAR))
     want = naive_state(random_history, *CALENDAR).withColumn("low", F.col("low").cast("decimal(10,2)"))
     assert got.count() == want.count() == 91
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
 
 
+def test_value_ladder_counts_every_level_from_one_scan(spark, monkeypatch):
+    """Each rung equals a count of its own, negative values included; the intervals are read by one plan only."""
+    draw = random.Random(3)
+    rows = [(draw.choice([-300, 0, 7, draw.randrange(-500, 5000)]), draw.randrange(4), draw.choice([1, -1])) for _ in range(400)]
+    lowest, shifts = min(r[0] for r in rows), [(13, 8), (8, 3), (3, 0)]
+    leaf = spark.createDataFrame(rows, "cents bigint, day int, step bigint")
+    got = {(r.rung, r.bucket, r.child, r.day): r.step for r in snapshot.value_ladder(leaf, lowest, shifts).collect()}
+    want = {}
+    for rung, (parent, child) in enumerate(shifts):
+        for cents, day, step in rows:
+            at = (rung, cents - lowest >> parent, cents - lowest >> child, day)
+            want[at] = want.get(at, 0) + step
+    assert got == {at: step for at, step in want.items() if step}
+    scans, write = [], snapshot.pinned
+    monkeypatch.setattr(snapshot, "pinned", lambda df, **by: scans.append(df._jdf.queryExecution().optimizedPlan().toString()) or write(df, **by))
+    intervals = spark.createDataFrame([(dt.date(2024, 1, 1), dt.date(2024, 1, 3), Decimal("1.50")),
+                                       (dt.date(2024, 1, 2), dt.date(2024, 1, 9), Decimal("4.00"))],
+                                      "from_day date, to_day date, order_amount decimal(10,2)")
+    sizes = spark.createDataFrame([(dt.date(2024, 1, 1), 1), (dt.date(2024, 1, 2), 2)], "day date, n bigint")
+    days = by(snapshot.interval_statistics(intervals, sizes, dt.date(2024, 2, 1)), "day")
+    assert [days[d]["median_value"] for d in sorted(days)] == [Decimal("1.5"), Decimal("2.75")]
+    assert sum("order_amount" in plan for plan in scans) == 1
+
+
 def test_status_population_equals_exploded_form(random_history):
     got = snapshot.daily_status_population(random_history, *CALENDAR)
     want = point_in_time(random_history, *CALENDAR).groupBy("metric_date", "order_status").agg(

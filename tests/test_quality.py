@@ -1,6 +1,6 @@
 import pytest
 
-from orderloom.operators.quality import Expectations, report, require_same_schema
+from orderloom.operators.quality import Expectations, key_report, report, require_same_schema
 from orderloom.plans.catalog import stored_tables
 from orderloom.plans.expectations import SUITE
 
@@ -30,6 +30,27 @@ def test_each_check(frames):
     assert run(frames, Expectations("*"))[("not_null", "amount")] == 1
 
 
+def test_key_checks_of_all_tables_share_one_shuffle(spark, frames):
+    """One domain with several children, repeated, null and missing keys, empty tables; the keys move once."""
+    other = spark.createDataFrame([(1, "1:a"), (7, "1"), (7, None), (2, "a")], "ref bigint, label string")
+    lost = spark.createDataFrame([], "key int")
+    tables = {**frames, "other": other, "lost": lost}
+    suite = {"child": Expectations(unique="id label", unique_text=[["id", "label"]], references={"parent": ("parent", "key")}),
+             "parent": Expectations(unique="key"),
+             "other": Expectations(unique="ref", unique_together=[["ref", "label"]], references={"ref": ("parent", "key")}),
+             "lost": Expectations(unique="key", references={"key": ("parent", "key")})}
+    got = key_report(tables, suite)
+    assert {(r.table_name, r.test, r.column_name): r.failures for r in got.collect()} == {
+        ("child", "unique", "id"): 1, ("child", "unique", "label"): 1, ("child", "unique", "id-label"): 0,
+        ("child", "relationships", "parent"): 2, ("parent", "unique", "key"): 0, ("other", "unique", "ref"): 1,
+        ("other", "unique_combination", "ref-label"): 0, ("other", "relationships", "ref"): 2,
+        ("lost", "unique", "key"): 0, ("lost", "relationships", "key"): 0}
+    plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Exchange hashpartitioning(domain") == 2   # all keys, then one row per domain
+    assert "Join" not in plan.replace("BroadcastHashJoin", "", 1)
+    assert key_report(frames, {"child": Expectations("id")}) is None
+
+
 def test_suite_size(warehouse):
     tables = stored_tables(warehouse)
     counts = {"not_null": sum(len(e.required_columns(tables[t].columns)) for t, e in SUITE.items()),
