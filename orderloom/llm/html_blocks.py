@@ -21,6 +21,7 @@ import html
 import pickle
 import re
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -38,8 +39,10 @@ HIDDEN = 12
 BATCH_PAGES, BATCH_BLOCKS = 64, 20_000
 SEED = 5
 
-TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|"""
-                 r"""<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
+OPENING = re.compile(r"<!--|<!\[CDATA\[|<[!?]|<(/?)([a-zA-Z][^\s/>]*)")
+ASIDE = re.compile(r"<!--|<!\[CDATA\[")
+ATTRIBUTES = re.compile(r"""(?:[^'">]++|"[^"]{0,400}"|'[^']{0,400}'){0,40}+>""")     # of nearly all tags
+SPECIAL = re.compile("""['">]""")
 NAMES = re.compile(r"""\b(?:class|id|role|itemprop)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 WORDS = re.compile(r"[a-z]+|[0-9]+")
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong "
@@ -60,17 +63,178 @@ OTHER_WORDS = frozenset("nav header footer aside form menu sidebar comment comme
                         "related share social subscribe breadcrumb pagination widget popup".split())
 
 
+class Tags:
+    """Finds the tags of a page in time linear in its length, however its brackets and quotes are closed.
+
+    A tag ends at the first ``>`` outside of quotes, or at the next ``>`` if there is none.  Where a search for it starts again behind a
+    closed quote it goes on like any other from there, so those ends are kept.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.last, self.marks, self.ends = page, page.rfind(">"), None, {}
+
+    def after(self, at: int) -> tuple[int, int, str, str, str] | None:
+        """Begin, end, slash, name and attributes of the next tag; comments and instructions have no name."""
+        page = self.page
+        while m := (OPENING if at <= self.last else ASIDE).search(page, at):
+            begin, body, opened = m.start(), m.end(), m[0]
+            if opened in ("<!--", "<![CDATA["):
+                close = "-->" if opened == "<!--" else "]]>"
+                end = page.find(close, body)
+                return begin, len(page) if end < 0 else end + 3, "", "", ""
+            if begin > self.last:                    # no bracket closes any more
+                at = begin + 1
+            elif not m[2]:
+                return begin, page.find(">", body) + 1, "", "", ""
+            else:
+                plain = ATTRIBUTES.match(page, body)
+                end = plain.end() if plain else self._unquoted_end(body)
+                if end < 0:
+                    end = page.find(">", body) + 1
+                return begin, end, m[1], m[2], page[body:end - 1]
+        return None
+
+    def _unquoted_end(self, at: int) -> int:
+        if self.marks is None:
+            self.marks = [m.start() for m in SPECIAL.finditer(self.page)]
+        walked, end = [], -1
+        while at not in self.ends:
+            walked.append(at)
+            i = bisect_left(self.marks, at)
+            if i == len(self.marks):
+                break
+            mark = self.marks[i]
+            if self.page[mark] == ">":
+                end = mark + 1
+                break
+            at = self.page.find(self.page[mark], mark + 1) + 1
+            if not at:
+                break
+        else:
+            end = self.ends[at]
+        self.ends.update(dict.fromkeys(walked, end))
+        return end
+
+
+class Path:
+    """Open elements above a block; children share their parents, so a page's paths take memory linear in its tags."""
+
+    __slots__ = ("parent", "element", "inside", "spoiled", "sums")
+
+    def __init__(self, parent: Path | None = None, element: str = ""):
+        self.parent, self.element, self.sums = parent, element, None
+        main = element.split(" ")[0] in MAIN_NAMES
+        self.inside = main or parent is not None and parent.inside
+        # Parts named as boilerplate, below the innermost main element.
+        self.spoiled = not main and (parent is not None and parent.spoiled or not OTHER_WORDS.isdisjoint(WORDS.findall(element)))
+
+    @classmethod
+    def of(cls, *elements: str) -> Path:
+        path = cls()
+        for element in elements:
+            path = cls(path, element)
+        return path
+
+    def names(self) -> tuple[str, ...]:
+        out, path = [], self
+        while path.parent is not None:
+            out.append(path.element)
+            path = path.parent
+        return tuple(reversed(out))
+
+    def vector(self) -> np.ndarray:
+        """Hashed path: tag names with their depth from the leaf, and class and id words wherever they are."""
+        waiting, path = [], self
+        while path.sums is None:
+            if path.parent is None:
+                path.sums = np.zeros(PATH_SLOTS, np.float32)
+            else:
+                waiting.append(path)
+                path = path.parent
+        for path in reversed(waiting):
+            path.sums = path.parent.sums + _element_vectors(path.element)[0]
+        if self.parent is None:
+            return self.sums
+        out = self.sums + _element_vectors(self.element)[1]
+        return out if self.parent.parent is None else out + _element_vectors(self.parent.element)[2]
+
+
+@lru_cache(4000)
+def _element_vectors(element: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An element's part in a path: two or more above the leaf, and what the leaf and the one above it have instead."""
+    def hashed(*tokens: tuple[str, float]) -> np.ndarray:
+        v = np.zeros(PATH_SLOTS, np.float32)
+        for token, weight in tokens:
+            h = zlib.crc32(token.encode())
+            v[h % PATH_SLOTS] += weight if h >> 16 & 1 else -weight
+        return v
+
+    tag, _, names = element.partition(" ")
+    leaf, above, higher = (hashed((f"d{depth}:{tag}", 0.5)) for depth in range(3))
+    return hashed((f"t:{tag}", 1.0), *((f"n:{w}", 1.0) for w in WORDS.findall(names))) + higher, leaf - higher, above - higher
+
+
 class Block:
     __slots__ = ("path", "pieces", "linked")
 
-    def __init__(self, path: tuple[str, ...]):
+    def __init__(self, path: Path):
         self.path, self.pieces, self.linked = path, [], 0
 
 
-def blocks_of(page: str | None) -> list[tuple[tuple[str, ...], str, float]]:
+class Open:
+    """Open elements, with the places of each name, so that no end tag searches the stack."""
+
+    def __init__(self):
+        self.stack, self.places, self.blocks, self.root = [], {}, [], Path()
+
+    def push(self, name: str, element: str) -> None:
+        path = self.path()
+        self.places.setdefault(name, []).append(len(self.stack))
+        if name not in INLINE:
+            self.blocks.append(len(self.stack))
+            path = Path(path, element)
+        self.stack.append((name, path))
+
+    def pop(self) -> str:
+        name, _ = self.stack.pop()
+        self.places[name].pop()
+        if name not in INLINE:
+            self.blocks.pop()
+        return name
+
+    def path(self) -> Path:
+        return self.stack[-1][1] if self.stack else self.root
+
+    def last(self, *names: str) -> int:
+        """Place of the innermost open element of these names, -1 if none."""
+        return max((self.places[n][-1] for n in names if self.places.get(n)), default=-1)
+
+    def inner_block(self) -> int:
+        return self.blocks[-1] if self.blocks else -1
+
+    def ended_by(self, name: str) -> int:
+        """Place of the element that an end tag closes: an inline end tag does not close blocks."""
+        place = self.last(name)
+        return place if name not in INLINE or place > self.inner_block() else -1
+
+    def paragraph(self) -> int:
+        place = self.inner_block()
+        return place if place >= 0 and self.stack[place][0] == "p" else -1
+
+    def sibling(self, name: str) -> int:
+        place = self.last(*SIBLINGS[name])
+        return place if place >= self.last(*(SCOPES - {"tr"} if name in ("td", "th") else SCOPES)) else -1
+
+
+@lru_cache(100)
+def _end_tag(name: str) -> re.Pattern:
+    return re.compile(f"</{name}", re.I | re.A)
+
+
+def blocks_of(page: str | None) -> list[tuple[Path, str, float]]:
     """Leaf blocks of a page in order: path, text, share of link text."""
-    page, stack, out, block, at, links = page or "", [], [], None, 0, 0
-    hidden = 0
+    page, open_, out, block, at, links = page or "", Open(), [], None, 0, 0
+    tags, hidden = Tags(page), 0
 
     def add(text: str) -> None:
         nonlocal block
@@ -78,57 +242,37 @@ def blocks_of(page: str | None) -> list[tuple[tuple[str, ...], str, float]]:
             if block is None:
                 if text.isspace():
                     return
-                block = Block(tuple(s[1] for s in stack if s[0] not in INLINE))
+                block = Block(open_.path())
                 out.append(block)
             block.pieces.append(text)
             if links:
                 block.linked += len(text)
 
-    def pop(n: int) -> None:
+    def close(place: int) -> None:
         nonlocal block, hidden, links
-        while len(stack) > n:
-            name, _ = stack.pop()
+        while 0 <= place < len(open_.stack):
+            name = open_.pop()
             hidden -= name in HIDDEN_TEXT
             links -= name == "a"
             if name not in QUIET:
                 block = None
 
-    lowered = None
-    while True:
-        m = TAG.search(page, at)
-        if not m:
-            add(page[at:])
-            break
-        add(page[at:m.start()])
-        at = m.end()
-        closing, name, rest = m[1] or m[4], m[2] or m[5], m[3] or m[6] or ""
+    while found := tags.after(at):
+        begin, end, closing, name, rest = found
+        add(page[at:begin])
+        at = end
         if not name:
             continue                       # comment, doctype or instruction
         name = name.lower()
         if closing:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    pop(i)
-                    break
-                if name in INLINE and stack[i][0] not in INLINE:
-                    break                  # an inline end tag does not close blocks
+            close(open_.ended_by(name))
             if name not in QUIET:
                 block = None
             continue
         if name in CLOSES_P:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == "p":
-                    pop(i)
-                    break
-                if stack[i][0] not in INLINE:
-                    break
+            close(open_.paragraph())
         if name in SIBLINGS:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in SIBLINGS[name]:
-                    pop(i)
-                    break
-                if stack[i][0] in SCOPES and not (name in ("td", "th") and stack[i][0] == "tr"):
-                    break
+            close(open_.sibling(name))
         if name == "br":
             add(" ")
         elif name not in QUIET:
@@ -136,32 +280,20 @@ def blocks_of(page: str | None) -> list[tuple[tuple[str, ...], str, float]]:
         if name in VOID or rest.endswith("/") and name in ("path", "rect", "circle"):
             continue
         if name in RAW_TEXT:               # markup inside does not count
-            lowered = page.lower() if lowered is None or len(lowered) != len(page) else lowered
-            end = lowered.find(f"</{name}", at) if len(lowered) == len(page) else page.find(f"</{name}", at)
-            at = len(page) if end < 0 else end
+            m = _end_tag(name).search(page, at)
+            at = m.start() if m else len(page)
         named = "" if "=" not in rest else " ".join(v.strip("\"'") for v in NAMES.findall(rest)).lower()
-        stack.append((name, f"{name} {named}" if named else name))
+        open_.push(name, f"{name} {named}" if named else name)
         hidden += name in HIDDEN_TEXT
         links += name == "a"
-    found = []
+    add(page[at:])
+    kept = []
     for b in out:
         raw = "".join(b.pieces)
         text = " ".join(html.unescape(raw).split())
         if text:
-            found.append((b.path, text, min(b.linked / max(len(raw), 1), 1.0)))
-    return found
-
-
-@lru_cache(20_000)
-def _path_vector(path: tuple[str, ...]) -> np.ndarray:
-    """Hashed path: tag names with their depth from the leaf, and class and id words wherever they are."""
-    v = np.zeros(PATH_SLOTS, np.float32)
-    for depth, element in enumerate(reversed(path)):
-        tag, _, names = element.partition(" ")
-        for token, weight in ((f"t:{tag}", 1.0), (f"d{min(depth, 2)}:{tag}", 0.5), *((f"n:{w}", 1.0) for w in WORDS.findall(names))):
-            h = zlib.crc32(token.encode())
-            v[h % PATH_SLOTS] += weight if h >> 16 & 1 else -weight
-    return v
+            kept.append((b.path, text, min(b.linked / max(len(raw), 1), 1.0)))
+    return kept
 
 
 def _word_vectors(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -182,13 +314,14 @@ def _word_vectors(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return bag / np.maximum(counts, 1)[:, None], counts
 
 
-def vectors(pages: list[list[tuple[tuple[str, ...], str, float]]]) -> np.ndarray:
+def vectors(pages: list[list[tuple[Path, str, float]]]) -> np.ndarray:
     """Input vectors of all blocks of some pages, page after page."""
     flat = [b for page in pages for b in page]
     out = np.zeros((len(flat), INPUT), np.float32)
     if not flat:
         return out
-    out[:, :PATH_SLOTS] = np.stack([_path_vector(b[0]) for b in flat])
+    for row, b in zip(out, flat):
+        row[:PATH_SLOTS] = b[0].vector()
     out[:, PATH_SLOTS:PATH_SLOTS + WORD_SLOTS], counts = _word_vectors([b[1] for b in flat])
     sizes = np.array([len(b[1]) for b in flat])
     place = np.concatenate([np.arange(len(p)) / max(len(p) - 1, 1) for p in pages])
@@ -308,13 +441,9 @@ class BlockLabeller:
         return self
 
 
-def path_label(path: tuple[str, ...]) -> bool | None:
+def path_label(path: Path) -> bool | None:
     """Whether path words put a block into the main text; None if nothing marks it."""
-    words = [set(WORDS.findall(e)) for e in path]
-    inside = [i for i, e in enumerate(path) if e.split(" ")[0] in MAIN_NAMES]
-    if any(w & OTHER_WORDS for w in words[(inside[-1] + 1 if inside else 0):]):
-        return False
-    return True if inside else None
+    return False if path.spoiled else True if path.inside else None
 
 
 # Names for containers in training variants.
@@ -328,7 +457,7 @@ OTHER_CONTAINERS = (
     ("div", "p", "div class=footer"), ("div", "span", "div class=promo"), ("div", "p", "div class=advert"), ("div", "p", "div role=alert"))
 
 
-def variants(page: list[tuple[tuple[str, ...], str, float]], marks: list[bool], pool: list[str], rng: np.random.Generator):
+def variants(page: list[tuple[Path, str, float]], marks: list[bool], pool: list[str], rng: np.random.Generator):
     """The page under other names, with parts of other pages put around and into its article: blocks and labels."""
     container = MAIN_CONTAINERS[rng.integers(len(MAIN_CONTAINERS))].replace("class=", "").replace("id=", "").replace("'", "")
     shell = ("html", "body") + (("div",) if rng.random() < 0.5 else ())
@@ -340,7 +469,7 @@ def variants(page: list[tuple[tuple[str, ...], str, float]], marks: list[bool],
         parent = main if inner_part or rng.random() < 0.2 else shell
         path = parent + (plain[0],) + ((plain[1],) if rng.random() < 0.6 else ()) + ((plain[2],) if plain[2].split()[0] not in INLINE else ())
         short = inner in ("a", "li", "label")
-        out = []
+        path, out = Path.of(*path), []
         for _ in range(int(rng.integers(1, 8))):
             words = pool[rng.integers(len(pool))].split()
             n = int(rng.integers(1, 4 if short else 40))
@@ -348,8 +477,20 @@ def variants(page: list[tuple[tuple[str, ...], str, float]], marks: list[bool],
             out.append((path, " ".join(words[at:at + n]) or "x", 1.0 if inner in ("a",) or (short and rng.random() < 0.7) else 0.0))
         return out
 
-    article = [(main + b[0][max((i for i, e in enumerate(b[0]) if e.split(" ")[0] in MAIN_NAMES), default=len(b[0]) - 2) + 1:], b[1], b[2])
-               for b, mark in zip(page, marks) if mark]
+    top, moved = Path.of(*main), {}
+
+    def under_main(path: Path) -> Path:
+        """The elements below the innermost main element, under the new container."""
+        waiting = []
+        while path not in moved and path.element.split(" ")[0] not in MAIN_NAMES:
+            waiting.append(path)
+            path = path.parent
+        here = moved.get(path, top)
+        for path in reversed(waiting):
+            here = moved[path] = Path(here, path.element)
+        return here
+
+    article = [(under_main(b[0]), b[1], b[2]) for b, mark in zip(page, marks) if mark]
     blocks, labels = [], []
 
     def put(some: list[tuple], mark: bool) -> None:

@@ -1,4 +1,8 @@
+import time
+import zlib
+
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -53,11 +57,36 @@ def page(k, body=None):
 def test_blocks():
     got = html_blocks.blocks_of("a<p><b>x &lt;y&gt;<br>z\n\n w<p>v<script>if (a<b) '<p>'</script> u<ul><li>1<li>2 <a href='>'>l</a></ul>t<!-- -")
     assert [b[1] for b in got] == ["a", "x <y> z w", "v u", "1", "2 l", "t"]
-    assert got[3][0] == ("ul", "li") and 0 < got[4][2] < 1
+    assert got[3][0].names() == ("ul", "li") and 0 < got[4][2] < 1
     assert html_blocks.blocks_of(None) == html_blocks.blocks_of("<p> &nbsp;</p><style>x") == []
     assert [b[1] for b in html_blocks.blocks_of("</div>x</p>" + "<div>" * 3000 + "y")] == ["x", "y"]
 
 
+@pytest.mark.parametrize("page, blocks", [
+    ("<a " * 350_000, 1), ('<a ">"' * 170_000, 1), ("<a '" * 250_000, 1), ("<a" * 500_000 + ">", 0), ("<div>x" * 170_000, 170_000),
+    ("<div>" * 100_000 + "</p>" * 100_000, 0), ("<u><div>" + "<b>" * 150_000 + "</u>" * 100_000, 0),
+    ("<table>" + "<b>" * 100_000 + "<li>" * 100_000, 0), ("\u0130" + "<script></script>" * 60_000, 1)])
+def test_unclosed_and_nested_markup_takes_linear_time(page, blocks):
+    begin = time.process_time()
+    got = html_blocks.blocks_of(page)
+    html_blocks.vectors([got])
+    assert len(got) == blocks and time.process_time() - begin < 15       # a quadratic search takes hours
+
+
+def test_a_path_is_the_sum_of_its_elements():
+    for names in [(), ("div",), ("body", "nav a b"), ("html", "body", "article x", "div ad", "p", "main", "p")]:
+        want = np.zeros(html_blocks.PATH_SLOTS)
+        for depth, element in enumerate(reversed(names)):
+            tag, *words = element.split(" ")
+            for token, weight in [(f"t:{tag}", 1), (f"d{min(depth, 2)}:{tag}", 0.5), *((f"n:{w}", 1) for w in words)]:
+                h = zlib.crc32(token.encode())
+                want[h % html_blocks.PATH_SLOTS] += weight if h >> 16 & 1 else -weight
+        path = html_blocks.Path.of(*names)
+        assert path.names() == names and (path.vector() == want).all()
+    label = {n: html_blocks.path_label(html_blocks.Path.of(*n)) for n in [("p",), ("nav",), ("nav", "main"), ("main", "p ad"), ("article", "p")]}
+    assert list(label.values()) == [None, False, True, False, True]
+
+
 def test_gradients_are_those_of_the_loss():
     rng = np.random.default_rng(0)
     net = html_blocks.BlockLabeller(3)
