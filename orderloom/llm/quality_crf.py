@@ -54,14 +54,44 @@ def _shares(values: np.ndarray) -> np.ndarray:
     return np.searchsorted(EDGES, values, "right")
 
 
+def _pieces(text: bytes) -> Iterator[bytes]:
+    """A text in runs of whole lines of at most ``BATCH_BYTES``; a longer line is a piece of its own."""
+    at = 0
+    while len(text) - at > BATCH_BYTES:
+        cut = text.rfind(b"\n", at, at + BATCH_BYTES)
+        cut = cut if cut >= 0 else text.find(b"\n", at + BATCH_BYTES)
+        if cut < 0:
+            break
+        yield text[at:cut]
+        at = cut + 1
+    yield text[at:]
+
+
 def line_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bins (line, feature), first line of each text, and bytes per line."""
-    data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
+    """Bins (line, feature), first line of each text, and bytes per line.
+
+    All but the repetition of lines is seen within a line, so the working arrays are those of one piece.
+    """
+    bins, again, whole, size = (np.concatenate(c) for c in zip(*map(_line_parts, _pieces(b"\n".join(texts)))))
+    # A text starts after as many breaks as the texts before it have lines.
+    first = np.concatenate(([0], np.cumsum([t.count(b"\n") + 1 for t in texts])[:-1]))
+    n = len(size)
+    # Lines that occur more than once in their text.
+    text = np.repeat(np.arange(len(first)), np.diff(np.append(first, n)))
+    at = np.lexsort((whole, text))
+    same = (whole[at][1:] == whole[at][:-1]) & (text[at][1:] == text[at][:-1]) & (size[at][1:] > 0)
+    twice = np.zeros(n, bool)
+    twice[at[1:]] |= same
+    twice[at[:-1]] |= same
+    return np.column_stack([bins, _shares(np.where(twice, 1.0, again))]), first, size
+
+
+def _line_parts(piece: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of the lines of a piece: bins, share of repeated words, a hash of the words in order, and bytes."""
+    data = np.frombuffer(piece + b"\n", np.uint8)
     breaks = np.flatnonzero(data == 10)
     begin = np.concatenate(([0], breaks[:-1] + 1))
     size = breaks - begin
-    # A text starts after as many breaks as the texts before it have lines.
-    first = np.concatenate(([0], np.cumsum([t.count(b"\n") + 1 for t in texts])[:-1]))
     n = len(begin)
     line = np.repeat(np.arange(n), size + 1)
     kind = KIND[data]
@@ -90,24 +120,17 @@ def line_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     order = np.lexsort((hashes, owner))
     repeated = np.zeros(len(start), bool)
     repeated[1:] = (hashes[order][1:] == hashes[order][:-1]) & (owner[order][1:] == owner[order][:-1])
-    # Lines that occur more than once in their text.
     sum_words = np.concatenate(([np.uint64(0)], np.cumsum(hashes * (np.uint64(1) + np.uint64(2) * np.arange(len(hashes), dtype=np.uint64)))))
+    sum_hashes = np.concatenate(([np.uint64(0)], np.cumsum(hashes)))
     last = np.cumsum(words)
     whole = sum_words[last] - sum_words[last - words] - np.uint64(2) * (last - words).astype(np.uint64) * (
-        np.concatenate(([np.uint64(0)], np.cumsum(hashes)))[last] - np.concatenate(([np.uint64(0)], np.cumsum(hashes)))[last - words])
-    text = np.repeat(np.arange(len(first)), np.diff(np.append(first, n)))
-    at = np.lexsort((whole, text))
-    same = (whole[at][1:] == whole[at][:-1]) & (text[at][1:] == text[at][:-1]) & (size[at][1:] > 0)
-    twice = np.zeros(n, bool)
-    twice[at[1:]] |= same
-    twice[at[:-1]] |= same
+        sum_hashes[last] - sum_hashes[last - words])
     bins = np.stack([
         np.searchsorted(SIZES, size, "right"), np.searchsorted(WORDS, size / many, "right"),
         _shares(counts[:, 1] / letters), _shares(counts[:, 2] / total), _shares(counts[:, 4] / total),
         _shares(counts[:, 5] / many), _shares(counts[:, 6] / many), _shares(counts[:, 7] / many), _shares(runs / many),
-        _shares(np.bincount(owner[again], minlength=n) / many),
-        _shares(np.where(twice, 1.0, np.bincount(owner[order][repeated], minlength=n) / many / 2))], axis=1)
-    return bins, first, size
+        _shares(np.bincount(owner[again], minlength=n) / many)], axis=1)
+    return bins, np.bincount(owner[order][repeated], minlength=n) / many / 2, whole, size
 
 
 def _batches(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:

@@ -1,5 +1,6 @@
 import itertools
 import random
+import tracemalloc
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -93,3 +94,24 @@ def test_quality_learns_from_document_labels(spark, frame):
     assert [text for text, _ in marked] == docs[0][1].split("\n") and marked[0][1] < 0.5
     assert crf.train(table, frame([(1, 1)], "doc_id long, quality int"), F.lit(True)) == 1.0
     assert crf.score(table.limit(0), model).count() == 0
+
+
+def test_line_features_do_not_depend_on_pieces(monkeypatch):
+    """A long text is read in runs of whole lines; lines that repeat across runs still count as repeated."""
+    draw = np.random.default_rng(4)
+    words = ["a", "the", "The", "x1", "!!!", "||", "12", "\t", "", "a b", "zz,"]
+    for size in (1, 7, 60):
+        for _ in range(40):
+            texts = ["\n".join(" ".join(draw.choice(words, draw.integers(6))) for _ in range(draw.integers(1, 9))).encode()
+                     for _ in range(draw.integers(1, 5))]
+            monkeypatch.setattr(crf, "BATCH_BYTES", 1 << 22)
+            whole = crf.line_features(texts)
+            monkeypatch.setattr(crf, "BATCH_BYTES", size)
+            assert all((a == b).all() for a, b in zip(whole, crf.line_features(texts)))
+            assert all((a == b).all() for a, b in zip(whole, crf.batched_features(texts)))
+    monkeypatch.setattr(crf, "BATCH_BYTES", 1 << 18)
+    tracemalloc.start()
+    lines, _, _ = crf.line_features([b"Some words of an ordinary line, number 12.\n" * 100_000])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(lines) == 100_001 and peak < 70 << 20       # in one piece it takes 300 MB
