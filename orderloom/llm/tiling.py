@@ -6,10 +6,12 @@ common runs first, none overlapping in item or document, found by a running Karp
 share of the item's words that tiles cover decides.  As tiles may come in any order, a
 benchmark passage whose sentences were shuffled is caught as well.
 
-The benchmark is cut into slices of at most ``slice_words`` words.  A slice is broadcast (that is the
-proof of its size), and the documents are scanned once per slice; a usual benchmark is one slice.  Documents are
-not shuffled, and a document is paired only with items that it shares enough seeds with.  A document larger than
-memory-friendly blocks is tokenized block by block; only its shared runs are kept.
+Candidates come from one scan of the documents and a join.  A broadcast bit filter of ``filter_bits`` bits, whatever the size of the benchmark,
+tells which windows of a document may be seeds; the runs of words in such windows are all that leaves the scan, once per
+different text.  Their windows meet the benchmark's seeds by hash.  An item is compared only with texts whose shared seeds could
+cover enough of it, and only with the runs that hold one of them: every tile lies inside such a run, so nothing is lost.  A
+larger benchmark fills the filter and lets more runs through to the join; results stay the same.  A document larger than
+memory-friendly blocks is tokenized block by block; only its runs are kept.
 
 Defined cases: null and empty texts share nothing; items of fewer than ``seed`` words match if all of their words
 occur as one run; items without words match nothing; repeated rows of documents give repeated results, repeated
@@ -19,20 +21,19 @@ document; empty tables have no output; other columns are not read.
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orderloom.llm.common import Stored, free_name, text_hash
+
 SEED_WORDS = 5
 COVERAGE = 0.5
-SLICE_WORDS = 2_000_000
+FILTER_BITS = 1 << 26      # a power of two
 BLOCK_CHARS = 1 << 18
 PLANE = 1 << 16
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -92,64 +93,59 @@ def window_hashes(ids: np.ndarray, width: int) -> np.ndarray:
     return total
 
 
-class Slice:
-    """A part of the benchmark: its vocabulary, its items as word numbers, and where its seeds occur."""
-
-    def __init__(self, items: list[tuple[int, str]], seed: int):
-        self.seed = seed
-        hashed = [(item, np.concatenate([np.zeros(0, np.uint64), *words_of(text)])) for item, text in items]
-        self.vocabulary = np.unique(np.concatenate([h for _, h in hashed]))
-        self.items = [(item, self.numbers(h)) for item, h in hashed]
-        places: dict[int, set[int]] = defaultdict(set)
-        for number, (_, ids) in enumerate(self.items):
-            width = min(seed, len(ids))
-            for h in window_hashes(ids, width).tolist() if width else []:
-                places[width * (1 << 64) + h].add(number)
-        self.widths = sorted({k >> 64 for k in places})
-        self.owners = {w: {k & (1 << 64) - 1: sorted(v) for k, v in places.items() if k >> 64 == w} for w in self.widths}
-        self.hashes = {w: np.array(sorted(self.owners[w]), np.uint64) for w in self.widths}
-
-    def numbers(self, hashes: np.ndarray) -> np.ndarray:
-        """Number of each word in the slice's vocabulary, from 1; 0 for other words."""
-        if not len(self.vocabulary):
-            return np.zeros(len(hashes), np.int64)
-        at = np.minimum(np.searchsorted(self.vocabulary, hashes), len(self.vocabulary) - 1)
-        return np.where(self.vocabulary[at] == hashes, at + 1, 0)
-
-    def candidates(self, text: str | None) -> dict[int, list[np.ndarray]]:
-        """Per item number the stretches of benchmark words in the document that share a seed with it."""
-        found: dict[int, list[np.ndarray]] = defaultdict(list)
-        rest = np.zeros(0, np.int64)
-        if not self.widths:
-            return found
-        for words in words_of(text):
-            ids = np.concatenate((rest, self.numbers(words)))
-            known = (ids != 0).view(np.int8)
-            if not known.all():
-                end = len(known) - int(np.argmin(known[::-1]))     # words after the last foreign one may go on
-                self._collect(ids[:end], known[:end], found)
-                ids = ids[end:]
-            rest = ids
-        self._collect(rest, np.ones(len(rest), np.int8), found)
-        return found
-
-    def _collect(self, ids: np.ndarray, known: np.ndarray, found: dict[int, list[np.ndarray]]) -> None:
-        total = np.concatenate(([0], np.cumsum(known, dtype=np.int64)))
-        hits: list[tuple[int, int]] = []
+def _whole(text: str | None) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.uint64), *words_of(text)])
+
+
+def _shift(bits: int) -> int:
+    """A hash shifted so far right is a place in a filter of ``bits`` bits."""
+    return 65 - bits.bit_length()
+
+
+class Filter:
+    """Which window hashes may be seeds, and the widths of seeds; equal hashes always pass."""
+
+    def __init__(self, bits: np.ndarray, widths: list[int]):
+        self.bits, self.widths = bits, widths
+        self.shift = np.uint64(_shift(32 * len(bits)))
+
+    def may_hold(self, hashes: np.ndarray) -> np.ndarray:
+        place = hashes >> self.shift
+        return (self.bits[place >> np.uint64(5)] >> (place & np.uint64(31)).astype(np.uint32) & np.uint32(1)) != 0
+
+    def runs(self, text: str | None) -> Iterator[tuple[int, np.ndarray]]:
+        """``width, words`` of the longest stretches of words that lie in windows that may be seeds, in order per width."""
         for width in self.widths:
-            whole = np.flatnonzero(total[width:] - total[:-width] == width) if len(ids) >= width else []
-            if not len(whole):
-                continue
-            hashes, table = window_hashes(ids, width)[whole], self.hashes[width]
-            at = np.minimum(np.searchsorted(table, hashes), len(table) - 1)
-            for i in np.flatnonzero(table[at] == hashes).tolist():
-                hits += [(int(whole[i]), item) for item in self.owners[width][int(hashes[i])]]
-        if hits:
-            edges = np.flatnonzero(np.diff(np.concatenate(([0], known, [0]))))
-            starts, stops = edges[::2], edges[1::2]
-            places = np.searchsorted(starts, [h[0] for h in hits], "right") - 1
-            for run, item in sorted({(int(r), h[1]) for r, h in zip(places, hits)}):
-                found[item].append(ids[starts[run]:stops[run]])
+            held: list[np.ndarray] = []
+            for words, inside in self._marked(text, width):
+                edges = np.flatnonzero(np.diff(np.concatenate(([0], inside.view(np.int8), [0]))))
+                if held and len(inside) and not inside[0]:
+                    yield width, np.concatenate(held)
+                    held = []
+                for start, stop in zip(edges[::2].tolist(), edges[1::2].tolist()):
+                    held.append(words[start:stop])
+                    if stop < len(inside):
+                        yield width, np.concatenate(held)
+                        held = []
+            if held:
+                yield width, np.concatenate(held)
+
+    def _marked(self, text: str | None, width: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Parts of the text, and which of their words lie in a window of ``width`` words that may be a seed."""
+        tail, marked = np.zeros(0, np.uint64), 0          # words whose windows are not complete; how many of them lie in one
+        for block in words_of(text):
+            words = np.concatenate((tail, block))
+            starts = np.flatnonzero(self.may_hold(window_hashes(words, width)))
+            done = max(0, len(words) - width + 1)
+            steps = np.zeros(len(words) + 1, np.int64)
+            steps[starts] += 1
+            steps[starts + width] -= 1
+            inside = np.cumsum(steps[:-1]) > 0
+            inside[:marked] = True
+            yield words[:done], inside[:done]
+            marked = max(0, marked - done, int(starts[-1]) + width - done if len(starts) else 0)
+            tail = words[done:]
+        yield tail[:marked], np.ones(marked, bool)
 
 
 class _Windows:
@@ -223,70 +219,116 @@ def tile(pattern: np.ndarray, runs: list[np.ndarray], least: int) -> list[tuple[
         tiles += best.mark()
 
 
-def matches(text: str | None, part: Slice, coverage: float) -> list[tuple[int, float, int, int]]:
-    """``item, coverage, tiles, longest`` of every item of the slice that the text covers enough of."""
-    out = []
-    for number, shared in part.candidates(text).items():
-        item, pattern = part.items[number]
-        tiles = tile(pattern, shared, min(part.seed, len(pattern)))
-        share = sum(t[2] for t in tiles) / len(pattern)
-        if share >= coverage:
-            out.append((item, share, len(tiles), max(t[2] for t in tiles)))
-    return sorted(out)
-
-
-def _slices(benchmark: DataFrame, key: str, text: str, seed: int, slice_words: int) -> Iterator[Slice]:
-    """The benchmark in parts of bounded size; only one part is on the driver at a time."""
-    items, words = [], 0
-    for row in benchmark.select(key, text).orderBy(key, text).toLocalIterator():
-        n = sum(map(len, words_of(row[1])))
-        if items and words + n > slice_words:
-            yield Slice(items, seed)
-            items, words = [], 0
-        items.append((row[0], row[1]))
-        words += n
-    if items:
-        yield Slice(items, seed)
+def covered(pattern: np.ndarray, runs: list[np.ndarray], seed: int) -> tuple[float, int, int]:
+    """``coverage, tiles, longest`` of an item by the runs of a text, both as word hashes."""
+    vocabulary = np.unique(pattern)
+
+    def numbers(words: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(vocabulary, words), len(vocabulary) - 1)
+        return np.where(vocabulary[at] == words, at + 1, 0)
+
+    tiles = tile(numbers(pattern), [numbers(r) for r in runs], min(seed, len(pattern)))
+    return sum(t[2] for t in tiles) / len(pattern), len(tiles), max((t[2] for t in tiles), default=0)
+
+
+def _lists(arrays: list[np.ndarray]) -> pa.Array:
+    """Arrays of 64-bit hashes as Arrow lists of signed numbers."""
+    ends = np.concatenate(([0], np.cumsum([len(a) for a in arrays]))).astype(np.int32)
+    flat = np.concatenate([np.zeros(0, np.uint64), *arrays]).view(np.int64)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+
+
+def _items(benchmark: DataFrame, text: str, seed: int) -> DataFrame:
+    """``item, width, words, seeds`` per different text of the benchmark that has words."""
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = [_whole(t.as_py()) for t in batch.column(1)]
+            keep = [i for i, w in enumerate(words) if len(w)]
+            words = [words[i] for i in keep]
+            widths = [min(seed, len(w)) for w in words]
+            seeds = [window_hashes(w, n) for w, n in zip(words, widths)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keep, pa.int64())), pa.array(widths, pa.int32()),
+                                              _lists(words), _lists(seeds)], names=["item", "width", "words", "seeds"])
+
+    texts = benchmark.select(text_hash(F.col(text)).alias("item"), F.col(text).alias("t")).where("t is not null").dropDuplicates(["item"])
+    return texts.mapInArrow(read, "item string, width int, words array<bigint>, seeds array<bigint>")
+
+
+def _filter(seeds: DataFrame, size: int) -> Filter:
+    """Bits of all seeds: at most ``size`` / 32 rows reach the driver, and one per width."""
+    place = f"shiftrightunsigned(seed, {_shift(size)})"
+    rows = (seeds.groupBy(F.expr(f"shiftright({place}, 5)").alias("at"))
+            .agg(F.expr(f"bit_or(shiftleft(1L, cast({place} & 31 as int)))").alias("bits"))).toArrow()
+    bits = np.zeros(size // 32, np.uint32)
+    bits[rows["at"].to_numpy()] = rows["bits"].to_numpy().astype(np.uint32)
+    return Filter(bits, sorted(r[0] for r in seeds.select("width").distinct().collect()))
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, key: Column, text: str, item_text: str, seed: int,
+           coverage: float, filter_bits: int) -> tuple[DataFrame, DataFrame]:
+    """``key, text_id`` of the rows with runs, and ``text_id, item, coverage, tiles, longest`` per text and item covered enough."""
+    items = Stored(_items(benchmark, item_text, seed), "tiling-items").df
+    seeds = Stored(items.select("item", "width", F.size("words").alias("n"), F.explode("seeds").alias("seed"))
+                   .groupBy("item", "width", "n", "seed").agg(F.count(F.lit(1)).alias("places")), "tiling-seeds").df
+    shared = docs.sparkSession.sparkContext.broadcast(_filter(seeds, filter_bits))
+    rows = docs.select(key.alias("key"), text_hash(F.col(text)).alias("text_id"), F.col(text).alias("t"))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, t in enumerate(batch.column(2)):
+                found = list(shared.value.runs(t.as_py()))
+                if found:
+                    n, one = len(found), pa.array(np.full(len(found), i))
+                    hashes = [np.unique(window_hashes(words, width)) for width, words in found]
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).take(one), batch.column(1).take(one), pa.array([w for w, _ in found], pa.int32()),
+                         pa.array(np.arange(n, dtype=np.int32)), _lists([w for _, w in found]), _lists(hashes)],
+                        names=["key", "text_id", "width", "run", "words", "seeds"])
+
+    kind = dict(rows.dtypes)["key"]
+    found = Stored(rows.mapInArrow(scan, f"key {kind}, text_id string, width int, run int, words array<bigint>, seeds array<bigint>"),
+                   "tiling-runs").df
+    # Copies of a text have the same runs: one of each goes on.
+    runs = Stored(found.drop("key").dropDuplicates(["text_id", "run"]), "tiling-texts").df
+    pairs = (runs.select("text_id", "width", "run", F.explode("seeds").alias("seed")).join(seeds, ["width", "seed"])
+             .groupBy("text_id", "item", "width", "n").agg(F.sum("places").alias("places"), F.collect_set("run").alias("runs"))
+             .where(F.col("places") * F.col("width") >= F.col("n") * F.lit(coverage) - F.lit(1e-6)))
+    held = (pairs.select("text_id", "item", F.explode("runs").alias("run")).join(runs.select("text_id", "run", "words"), ["text_id", "run"])
+            .groupBy("text_id", "item").agg(F.sort_array(F.collect_list(F.struct("run", "words"))).alias("held")))
+    both = held.select("text_id", "item", F.col("held.words").alias("runs")).join(items.select("item", "words"), "item")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for i in range(len(batch)):
+                share = covered(batch.column(3)[i].values.to_numpy().view(np.uint64),
+                                [r.values.to_numpy().view(np.uint64) for r in batch.column(2)[i]], seed)
+                if share[0] >= coverage:
+                    out.append((i, *share))
+            at = pa.array([o[0] for o in out], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array([o[1] for o in out], pa.float64()),
+                                              *[pa.array([o[c] for o in out], pa.int32()) for c in (2, 3)]],
+                                             names=["text_id", "item", "coverage", "tiles", "longest"])
+
+    both = both.select("text_id", "item", "runs", "words")
+    matched = both.mapInArrow(compare, "text_id string, item string, coverage double, tiles int, longest int")
+    return found.where("run = 0").select("key", "text_id"), Stored(matched, "tiling-matches").df
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id",
                  item_text: str = "text", seed: int = SEED_WORDS, coverage: float = COVERAGE,
-                 slice_words: int = SLICE_WORDS) -> DataFrame:
+                 filter_bits: int = FILTER_BITS) -> DataFrame:
     """Pairs ``key, item_key, coverage, tiles, longest``: the document covers at least ``coverage`` of the item's words."""
-    rows = docs.select(key, text)
-    kinds = dict(rows.dtypes)[key], dict(benchmark.dtypes)[item_key]
-    schema = f"{key} {kinds[0]}, {item_key} {kinds[1]}, coverage double, tiles int, longest int"
-    names = [key, item_key, "coverage", "tiles", "longest"]
-    out = None
-    for part in _slices(benchmark, item_key, item_text, seed, slice_words):
-        shared = rows.sparkSession.sparkContext.broadcast(part)
-
-        def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                found = [(i, *m) for i, t in enumerate(batch.column(1)) for m in matches(t.as_py(), shared.value, coverage)]
-                ids = batch.column(0).take(pa.array([f[0] for f in found], pa.int64()))
-                columns = [ids, *[pa.array([f[c] for f in found]) for c in (1, 2)],
-                           *[pa.array([f[c] for f in found], pa.int32()) for c in (3, 4)]]
-                if found:
-                    yield pa.RecordBatch.from_arrays(columns, names=names)
-
-        found = rows.mapInArrow(scan, schema)
-        out = found if out is None else out.unionByName(found)
-    return rows.sparkSession.createDataFrame([], schema) if out is None else out
+    holders, matched = _found(docs, benchmark, F.col(key), text, item_text, seed, coverage, filter_bits)
+    named = benchmark.select(F.col(item_key).alias("item_key"), text_hash(F.col(item_text)).alias("item")).where(F.col(item_text).isNotNull())
+    return (holders.join(matched.join(named, "item"), "text_id")
+            .select(F.col("key").alias(key), F.col("item_key").alias(item_key), "coverage", "tiles", "longest"))
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, seed: int = SEED_WORDS, coverage: float = COVERAGE,
-          slice_words: int = SLICE_WORDS, text: str = "text", item_text: str = "text") -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, seed: int = SEED_WORDS, coverage: float = COVERAGE, text: str = "text",
+          item_text: str = "text", filter_bits: int = FILTER_BITS) -> DataFrame:
     """The documents, all columns and repeated rows kept, that cover no benchmark item enough."""
-    out = docs
-    for part in _slices(benchmark, item_text, item_text, seed, slice_words):
-        out = out.where(~_covers(docs.sparkSession.sparkContext.broadcast(part), coverage)(F.col(text)))
-    return out
-
-
-def _covers(shared: Broadcast, coverage: float):
-    @F.pandas_udf("boolean")
-    def covers(texts: pd.Series) -> pd.Series:
-        return pd.Series([bool(matches(t, shared.value, coverage)) for t in texts], dtype=bool)
-
-    return covers
+    _, matched = _found(docs, benchmark, F.lit(0), text, item_text, seed, coverage, filter_bits)
+    name = free_name("text_id", docs.columns)
+    covers = matched.select(F.col("text_id").alias(name)).distinct()
+    return docs.join(covers, text_hash(F.col(text)) == F.col(name), "left_anti")

@@ -31,10 +31,8 @@ def test_tiles_are_greedy_and_disjoint():
         assert lengths == sorted(lengths, reverse=True) and (lengths[0] == best if best >= 3 else not lengths)
 
 
-@pytest.mark.parametrize("slice_words, block", [(2_000_000, 1 << 18), (40, 64)])
-def test_decontamination(frame, monkeypatch, slice_words, block):
-    monkeypatch.setattr(tiling, "BLOCK_CHARS", block)
-    tiling._powers.cache_clear()
+@pytest.mark.parametrize("bits", [1 << 26, 64])
+def test_decontamination(frame, bits):
     rng = random.Random(4)
     items = [(k, ". ".join(sentence(rng, 10) for _ in range(3))) for k in range(6)]
     clean = [sentence(rng, 80) for _ in range(20)]
@@ -46,13 +44,55 @@ def test_decontamination(frame, monkeypatch, slice_words, block):
     benchmark = items + [(50, "ärger öl DREI"), (51, None), (52, "?!"), (0, items[0][1])]
     table = frame([(i, t, 0.5) for i, t in docs], "doc_id long, text string, coverage double")
     tests = frame(benchmark, "item_id long, text string")
-    got = tiling.contaminated(table, tests, slice_words=slice_words).distinct().collect()
+    got = tiling.contaminated(table, tests, filter_bits=bits).distinct().collect()
     assert {(r.doc_id, r.item_id) for r in got} == {(1, 0), (2, 1), (4, 3), (5, 50), (8, 5)}
     assert {r.doc_id: round(r.coverage, 3) for r in got} == {1: 1.0, 2: 1.0, 4: 0.667, 5: 1.0, 8: 1.0}
-    kept = tiling.clean(table, tests, slice_words=slice_words)
+    kept = tiling.clean(table, tests, filter_bits=bits)
     assert kept.columns == table.columns
     assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, _ in docs if i not in (1, 2, 4, 5, 8))
     assert tiling.clean(table, tests.limit(0)).count() == len(docs) and tiling.contaminated(table.limit(0), tests).count() == 0
+
+
+def plain_coverage(text, item, seed=5):
+    """Share of the item's words under greedy tiles over the whole text, without any candidate search."""
+    pattern, words = tiling._whole(item), tiling._whole(text)
+    if not len(pattern) or not len(words):
+        return 0.0
+    return tiling.covered(pattern, [words], seed)[0]
+
+
+def test_candidates_lose_no_match(frame):
+    """All pairs above the coverage are found, by items of all lengths that share words, sentences and whole texts."""
+    rng = random.Random(8)
+    pool = [sentence(rng, rng.choice([1, 2, 4, 6, 9])) for _ in range(30)]
+    items = [(i, " ".join(rng.choice(pool) for _ in range(rng.choice([1, 2, 5])))) for i in range(60)]
+    docs = [(i, " ".join(rng.choice(pool) if rng.random() < 0.6 else sentence(rng, 3) for _ in range(rng.choice([1, 5, 30])))) for i in range(80)]
+    docs += [(80, docs[3][1]), (None, docs[4][1])]
+    want = {(d, i) for d, text in docs for i, item in items if plain_coverage(text, item) >= 0.5}
+    assert len(want) > 100
+    for bits in (1 << 20, 64):
+        got = tiling.contaminated(frame(docs, "doc_id long, text string"), frame(items, "item_id long, text string"), filter_bits=bits)
+        assert {(r.doc_id, r.item_id) for r in got.collect()} == want
+
+
+def test_runs_over_blocks(monkeypatch):
+    """Runs are those of the text as a whole, wherever its blocks end."""
+    rng = random.Random(9)
+    words = [rng.choice(WORDS[:6]) for _ in range(400)]
+    bits = np.zeros(2, np.uint32)
+    bits[:] = 0x0F0F3311
+    for width in (1, 3, 5):
+        part = tiling.Filter(bits, [width])
+        whole = tiling._whole(" ".join(words))
+        passed = part.may_hold(tiling.window_hashes(whole, width))
+        inside = [any(passed[max(0, i - width + 1):i + 1]) for i in range(len(whole))]
+        edges = np.flatnonzero(np.diff([0, *map(int, inside), 0]))
+        want = [whole[a:b].tolist() for a, b in zip(edges[::2], edges[1::2])]
+        assert len(want) > 3
+        for block in (7, 20, 64, 1 << 18):
+            monkeypatch.setattr(tiling, "BLOCK_CHARS", block)
+            tiling._powers.cache_clear()
+            assert [r.tolist() for _, r in part.runs(" ".join(words))] == want
     tiling._powers.cache_clear()
 
 
