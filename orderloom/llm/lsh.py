@@ -8,9 +8,14 @@ near vector fell there (the query's distances to the slot borders, in the fixed
 * Equal vectors are one class: an answer holds at most ``top`` + 1 ids of it, the smallest.
 * The number of probes is fitted on a bounded sample of ``sample`` vectors until it finds ``aim`` of the true
   neighbours there; every vector is indexed.  Sampled neighbours lie farther apart than those of all rows, so recall is higher.
+  A dimension in which ``MOST_PROBES`` do not reach the aim is searched exactly: it has one bucket, whose grid of cells
+  holds all members and all queries, in blocks.
 * Bucket members and the queries that visit them meet in cells of at most ``cell`` members times ``cell`` queries: a crowded
-  bucket is split into a grid, so no key grows with the data.  A cell is scored exactly by a matrix product and returns
-  the best of each query; candidates of all tables are merged and ranked.
+  bucket is split into a grid, so no key grows with the data.  Queries are dealt out to slices of about ``SLICE_QUERIES``, and a task sees
+  the queries of one slice and ``PART_ROWS`` members on average.
+* A cell is scored by a matrix product, which keeps the best of each query with room for rounding.  Those are scored
+  again one by one, in an order of summation that depends on the dimension alone, so equal pairs have equal scores
+  wherever they meet; these scores rank and are returned.
 
 Defined cases: null vectors, zero vectors and those with null or non-finite components take no part; vectors of different
 lengths are never compared; equal scores go to the smaller id; repeated rows are one candidate; an id with several vectors has
@@ -35,7 +40,7 @@ from orderloom.llm.common import Stored
 
 TABLES, CUTS, WIDTH, SEED = 4, 8, 2.5, 11
 TOP, SAMPLE, AIM, MOST_PROBES = 20, 4000, 0.95, 1500
-CELL, PART_ROWS = 4096, 20_000
+CELL, PART_ROWS, SLICE_QUERIES = 4096, 20_000, 50_000
 
 
 def perturbations(cuts: int, count: int) -> list[tuple[int, ...]]:
@@ -74,6 +79,7 @@ class Tables:
     cuts: int = CUTS
     width: float = WIDTH
     seed: int = SEED
+    exact: bool = False
 
     def __post_init__(self):
         rng = np.random.default_rng([self.seed, self.dimension])
@@ -88,7 +94,9 @@ class Tables:
         return (slots.astype(np.int64) * self.mixer).sum(axis=-1)
 
     def buckets(self, vectors: np.ndarray) -> np.ndarray:
-        """Bucket of each row in each table."""
+        """Bucket of each row in each table; an exact search has one of either."""
+        if self.exact:
+            return np.zeros((len(vectors), 1), np.int64)
         scaled = vectors / self.norm
         rest = np.sqrt(np.maximum(0.0, 1.0 - (scaled * scaled).sum(axis=1)))
         x = np.column_stack([scaled, rest])
@@ -96,6 +104,8 @@ class Tables:
 
     def probe(self, queries: np.ndarray, probes: int | None = None) -> np.ndarray:
         """Buckets that each query visits, (query, table, probe), in order."""
+        if self.exact:
+            return np.zeros((len(queries), 1, 1), np.int64)
         scaled = queries / np.sqrt((queries * queries).sum(axis=1, keepdims=True))
         x = np.column_stack([scaled, np.zeros(len(queries))])
         sets = perturbations(self.cuts, probes or self.probes)
@@ -115,9 +125,9 @@ class Tables:
         return out
 
 
-def fitted(vectors: np.ndarray, norm: float, top: int = TOP, aim: float = AIM) -> Tables:
-    """Tables whose number of probes finds ``aim`` of the ``top`` nearest of a sample."""
-    tables = Tables(vectors.shape[1], norm)
+def fitted(vectors: np.ndarray, norm: float, top: int = TOP, aim: float = AIM, most: int = MOST_PROBES) -> Tables:
+    """Tables whose number of probes finds ``aim`` of the ``top`` nearest of a sample, or exact ones if ``most`` probes do not."""
+    tables = Tables(vectors.shape[1], norm, most)
     asked = vectors[:: max(1, len(vectors) // 64)][:64]
     scores = asked @ vectors.T
     nearest = np.argsort(-scores, axis=1, kind="stable")[:, :min(top + 1, len(vectors))]
@@ -131,7 +141,8 @@ def fitted(vectors: np.ndarray, norm: float, top: int = TOP, aim: float = AIM) -
                 first.setdefault(bucket, p + 1)
             found = np.array([first.get(b, tables.probes + 1) for b in own[nearest[q], t].tolist()])
             needed[q] = np.minimum(needed[q], found)
-    tables.probes = int(np.clip(np.quantile(needed, aim, method="higher"), 1, MOST_PROBES))
+    probes = int(np.quantile(needed, aim, method="higher"))
+    tables.exact, tables.probes = probes > most, min(probes, most)
     return tables
 
 
@@ -163,17 +174,27 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
-def _best(query: np.ndarray, member: np.ndarray, score: np.ndarray, top: int) -> np.ndarray:
-    """Rows of the ``top`` best members of each query; a pair met in several tables counts once."""
-    order = np.lexsort((member, -score, query))
-    q, m = query[order], member[order]
-    again = np.zeros(len(q), bool)
-    again[1:] = (q[1:] == q[:-1]) & (m[1:] == m[:-1])
-    order, q = order[~again], q[~again]
-    begin = np.searchsorted(q, q, "left")
+def _best(qids: np.ndarray, cids: np.ndarray, score: np.ndarray, top: int, slack: float = 0.0) -> np.ndarray:
+    """Places of the ``top`` best members of each query, and with ``slack`` of those that are lower by no more than that; a pair counts once."""
+    order = np.lexsort((cids, qids))
+    q, c = qids[order], cids[order]
+    order = order[np.append(np.ones(min(1, len(q)), bool), (q[1:] != q[:-1]) | (c[1:] != c[:-1]))]
+    order = order[np.lexsort((cids[order], -score[order], qids[order]))]
+    q, held = qids[order], score[order]
+    begin, end = np.searchsorted(q, q, "left"), np.searchsorted(q, q, "right")
+    if slack:
+        return order[held >= held[np.minimum(begin + top, end) - 1] - slack]
     return order[np.arange(len(q)) - begin < top]
 
 
+def products(left: np.ndarray, right: np.ndarray, at: np.ndarray, to: np.ndarray) -> np.ndarray:
+    """Inner products of rows ``at`` and ``to``; each depends on its two vectors alone."""
+    out = np.empty(len(at))
+    for i in range(0, len(at), 16_384):
+        out[i:i + 16_384] = (left[at[i:i + 16_384]] * right[to[i:i + 16_384]]).sum(axis=1)
+    return out
+
+
 def _scored(left: pd.DataFrame, right: pd.DataFrame, top: int) -> pd.DataFrame:
     """Best members per query in the cells of one part; ``left`` has members, ``right`` the queries with their cells."""
     sizes = left["vec"].map(len), right["vec"].map(len)
@@ -183,53 +204,68 @@ def _scored(left: pd.DataFrame, right: pd.DataFrame, top: int) -> pd.DataFrame:
 
 def _scored_alike(left: pd.DataFrame, right: pd.DataFrame, top: int) -> pd.DataFrame:
     """The same for vectors of one length."""
-    out = [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]]
-    if len(left) and len(right):
-        left = left.sort_values("cell", kind="stable")
-        cells, begin = np.unique(left["cell"].to_numpy(), return_index=True)
-        end = np.append(begin[1:], len(left))
-        members, ids = np.array(left["vec"].tolist(), np.float64), left["cid"].to_numpy()
-        queries, qids = np.array(right["vec"].tolist(), np.float64), right["qid"].to_numpy()
-        asked = np.concatenate(right["cells"].tolist())
-        owner = np.repeat(np.arange(len(right)), [len(c) for c in right["cells"]])
-        order = np.argsort(asked, kind="stable")
-        asked, owner = asked[order], owner[order]
-        held = 0
-        for cell, a, b in zip(cells, begin, end):
-            rows = owner[np.searchsorted(asked, cell, "left"):np.searchsorted(asked, cell, "right")]
-            if not len(rows):
-                continue
-            scores = queries[rows] @ members[a:b].T
-            if b - a > top:
-                least = np.partition(scores, b - a - top, axis=1)[:, b - a - top]
-                q, m = np.nonzero(scores >= least[:, None])
-            else:
-                q, m = np.divmod(np.arange(scores.size), b - a)
-            for o, x in zip(out, (qids[rows[q]], ids[a:b][m], scores[q, m])):
-                o.append(x)
-            held += len(q)
-            if held > 2_000_000:
-                merged = [np.concatenate(o) for o in out]
-                best = _best(*merged, top)
-                out, held = [[x[best]] for x in merged], len(best)
-    merged = [np.concatenate(o) for o in out]
-    best = _best(*merged, top)
-    return pd.DataFrame({"qid": merged[0][best], "cid": merged[1][best], "score": merged[2][best]})
-
-
-def _fit_all(classes: DataFrame, top: int, sample: int, aim: float) -> dict[int, Tables]:
+    if not len(left) or not len(right):
+        return pd.DataFrame({"qid": np.zeros(0, np.int64), "cid": np.zeros(0, np.int64), "score": np.zeros(0)})
+    left = left.sort_values("cell", kind="stable")
+    cells, begin = np.unique(left["cell"].to_numpy(), return_index=True)
+    end = np.append(begin[1:], len(left))
+    members, ids = np.array(left["vec"].tolist(), np.float64), left["cid"].to_numpy()
+    queries, qids = np.array(right["vec"].tolist(), np.float64), right["qid"].to_numpy()
+    asked = np.concatenate(right["cells"].tolist())
+    owner = np.repeat(np.arange(len(right)), [len(c) for c in right["cells"]])
+    order = np.argsort(asked, kind="stable")
+    asked, owner = asked[order], owner[order]
+    # Two sums of the same n products differ by less than this.
+    longest = [np.sqrt((x * x).sum(axis=1).max()) for x in (members, queries)]
+    slack = 4 * members.shape[1] * np.finfo(float).eps * longest[0] * longest[1]
+    # Places of queries and members, and their scores: those kept, and those since the last merge.
+    out: list[list[np.ndarray]] = [[], [], []]
+
+    def merge() -> None:
+        q, m, score = (np.concatenate(o) for o in out)
+        near = _best(qids[q], ids[m], score, top, slack)
+        q, m = q[near], m[near]
+        score = products(queries, members, q, m)
+        best = _best(qids[q], ids[m], score, top)
+        out[:] = [[q[best]], [m[best]], [score[best]]]
+
+    held = 0
+    for cell, a, b in zip(cells, begin, end):
+        rows = owner[np.searchsorted(asked, cell, "left"):np.searchsorted(asked, cell, "right")]
+        if not len(rows):
+            continue
+        scores = queries[rows] @ members[a:b].T
+        if b - a > top:
+            least = np.partition(scores, b - a - top, axis=1)[:, b - a - top]
+            q, m = np.nonzero(scores >= least[:, None] - slack)
+        else:
+            q, m = np.divmod(np.arange(scores.size), b - a)
+        for o, x in zip(out, (rows[q], a + m, scores[q, m])):
+            o.append(x)
+        held += len(q)
+        if held > 2_000_000:
+            merge()
+            held = len(out[0][0])
+    if not out[0]:
+        return _scored_alike(left[:0], right[:0], top)
+    merge()
+    return pd.DataFrame({"qid": qids[out[0][0]], "cid": ids[out[1][0]], "score": out[2][0]})
+
+
+def _fit_all(classes: DataFrame, top: int, sample: int, aim: float, most: int) -> dict[int, Tables]:
     """Fitted tables of each dimension; a bounded sample of vectors reaches the driver."""
     squared = F.aggregate("vec", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
     norms = classes.groupBy("n").agg(F.max(F.sqrt(squared)).alias("norm"))
     out = {}
     for n, norm in norms.collect():
         rows = classes.where(F.col("n") == n).orderBy(F.xxhash64("cid"), "cid").limit(sample).select("vec").collect()
-        out[n] = fitted(np.array([r[0] for r in rows], np.float64), norm, top, aim)
+        out[n] = fitted(np.array([r[0] for r in rows], np.float64), norm, top, aim, most)
     return out
 
 
 def nearest(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", asks: Column | None = None, top: int = TOP,
-            sample: int = SAMPLE, aim: float = AIM, cell: int = CELL) -> DataFrame:
+            sample: int = SAMPLE, aim: float = AIM, cell: int = CELL, most_probes: int = MOST_PROBES,
+            slice_queries: int = SLICE_QUERIES) -> DataFrame:
     """``query_id, rank, key, score``: the ``top`` largest inner products of the rows for which ``asks`` holds.
 
     A row is never its own answer.  ``asks`` is a condition on the key, by default all rows ask.
@@ -243,7 +279,7 @@ def nearest(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding",
     queries = Stored(asking.distinct().join(classes.select("vec", "cid"), "vec").select("id", "cid"), "lsh-queries").df
     spark = vectors.sparkSession
     kind = dict(rows.dtypes)["vec"]
-    tables = spark.sparkContext.broadcast(_fit_all(classes, top, sample, aim))
+    tables = spark.sparkContext.broadcast(_fit_all(classes, top, sample, aim, most_probes))
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -252,8 +288,8 @@ def nearest(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding",
                 at = np.flatnonzero(sizes == n)
                 own, t = tables.value[int(n)].buckets(_matrix(batch.column(1).take(pa.array(at)))), tables.value[int(n)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(np.arange(t.tables) + 1000 * int(n), len(at))), pa.array(own.T.ravel()),
-                     *[batch.column(i).take(pa.array(np.tile(at, t.tables))) for i in (0, 1)]], names=["tab", "bucket", "cid", "vec"])
+                    [pa.array(np.repeat(np.arange(own.shape[1]) + 1000 * int(n), len(at))), pa.array(own.T.ravel()),
+                     *[batch.column(i).take(pa.array(np.tile(at, own.shape[1]))) for i in (0, 1)]], names=["tab", "bucket", "cid", "vec"])
 
     members = classes.select("cid", "vec", "n").mapInArrow(index, f"tab bigint, bucket bigint, cid bigint, vec {kind}")
     members = Stored(members, "lsh-members").df
@@ -272,27 +308,33 @@ def nearest(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding",
                     yield pa.RecordBatch.from_arrays([pa.array((tab + 1000 * int(n)).ravel()), pa.array(buckets.ravel()),
                                                       pa.array(ids[some][q.ravel()])], names=["tab", "bucket", "qid"])
 
-    visits = Stored(asked.mapInArrow(visit, "tab bigint, bucket bigint, qid bigint"), "lsh-visits").df
-    # How often a bucket is split: one row per bucket that has members and visitors.
+    slices = max(1, math.ceil(queries.count() / slice_queries))
+    visits = asked.mapInArrow(visit, "tab bigint, bucket bigint, qid bigint")
+    visits = Stored(visits.withColumn("slice", F.pmod(F.xxhash64("qid"), F.lit(slices))), "lsh-visits").df
+    # How often a bucket is split: one row per bucket that has members and slice of queries that visit it.
     grid = (members.groupBy("tab", "bucket").agg(F.count(F.lit(1)).alias("_m"))
-            .join(visits.groupBy("tab", "bucket").agg(F.count(F.lit(1)).alias("_q")), ["tab", "bucket"])
-            .select("tab", "bucket", F.ceil(F.col("_m") / cell).cast("int").alias("ms"), F.ceil(F.col("_q") / cell).cast("int").alias("qs")))
+            .join(visits.groupBy("tab", "bucket", "slice").agg(F.count(F.lit(1)).alias("_q")), ["tab", "bucket"])
+            .select("tab", "bucket", "slice", F.ceil(F.col("_m") / cell).cast("int").alias("ms"),
+                    F.ceil(F.col("_q") / cell).cast("int").alias("qs")))
     grid = Stored(grid, "lsh-grid").df
     total = members.count()
-    # A part returns the best of each query that visits it, so parts follow the size of the index alone.
+    # A part returns the best of each query that visits it, so parts of a slice follow the size of the index alone.
     parts = max(1, math.ceil(total / PART_ROWS))
 
     def placed(df: DataFrame, key_: str, mine: str, other: str) -> DataFrame:
-        spread = df.join(grid, ["tab", "bucket"]).withColumn("_own", F.pmod(F.xxhash64(key_), F.col(mine)))
+        # Queries meet the cells of their own slice, members those of every slice that visits them.
+        spread = df.join(grid, [c for c in ("tab", "bucket", "slice") if c in df.columns])
+        # Other bits of the hash than those that choose the slice.
+        spread = spread.withColumn("_own", F.pmod(F.xxhash64(key_, F.lit("cell")), F.col(mine)))
         spread = spread.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
         place = ("_own", "_other") if mine == "ms" else ("_other", "_own")
-        return (spread.withColumn("cell", F.xxhash64("tab", "bucket", *[F.col(p).cast("long") for p in place]))
+        return (spread.withColumn("cell", F.xxhash64("tab", "bucket", "slice", *[F.col(p).cast("long") for p in place]))
                 .withColumn("part", F.pmod("cell", F.lit(parts))))
 
-    left = placed(members, "cid", "ms", "qs").select("part", "cell", "cid", "vec")
-    right = (placed(visits, "qid", "qs", "ms").groupBy("part", "qid").agg(F.collect_set("cell").alias("cells"))
+    left = placed(members, "cid", "ms", "qs").select("slice", "part", "cell", "cid", "vec")
+    right = (placed(visits, "qid", "qs", "ms").groupBy("slice", "part", "qid").agg(F.collect_set("cell").alias("cells"))
              .join(asked.select(F.col("cid").alias("qid"), "vec"), "qid"))
-    scored = left.groupBy("part").cogroup(right.groupBy("part")).applyInPandas(
+    scored = left.groupBy("slice", "part").cogroup(right.groupBy("slice", "part")).applyInPandas(
         lambda a, b: _scored(a, b, most), "qid bigint, cid bigint, score double")
     by_score = W.partitionBy("qid").orderBy(F.col("score").desc(), "cid")
     best = (scored.groupBy("qid", "cid").agg(F.max("score").alias("score"))

@@ -15,6 +15,43 @@ def test_perturbations_are_ordered_and_valid():
     assert all(not any(9 - j in s for j in s) for s in sets)
 
 
+def test_scores_depend_on_the_pair_alone():
+    """Whatever cells two vectors meet in, their score is the same double, and ties at the border go to smaller ids."""
+    rng = np.random.default_rng(5)
+    members, queries = rng.normal(size=(200, 33)), rng.normal(size=(9, 33))
+    members[150:] = np.roll(members[:50], 0, axis=1)
+    want = None
+    for cells in (1, 3, 40):
+        left = lsh.pd.DataFrame({"cell": np.arange(200) % cells, "cid": np.arange(200)[::-1], "vec": list(members)})
+        right = lsh.pd.DataFrame({"qid": np.arange(9), "cells": [np.arange(cells)] * 9, "vec": list(queries)})
+        got = lsh._scored(left, right, 20).sort_values(["qid", "score", "cid"], ascending=[True, False, True]).reset_index(drop=True)
+        assert want is None or got.equals(want)
+        want = got
+    at = 199 - want["cid"].to_numpy()
+    assert (want["score"].to_numpy() == lsh.products(queries, members, want["qid"].to_numpy(), at)).all()
+    plain = lsh.products(queries, members, np.repeat(np.arange(9), 200), np.tile(np.arange(200), 9)).reshape(9, 200)
+    for q in range(9):
+        order = np.lexsort((199 - np.arange(200), -plain[q]))[:20]
+        assert (199 - order).tolist() == want["cid"][want["qid"] == q].tolist()
+
+
+def test_exact_beyond_the_cap(frame):
+    """Where the most probes do not reach the aim, every row is scored, over several slices of queries and split cells."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 12))
+    table = frame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>", 3)
+    crowds = np.repeat(x[:4] / np.sqrt((x[:4] * x[:4]).sum(axis=1, keepdims=True)), 30, axis=0)
+    assert lsh.fitted(x, 10.0, most=1).exact and not lsh.fitted(crowds, 1.0, top=3, most=50).exact
+    rows = lsh.nearest(table, asks=F.col("vec_id") % 5 == 0, top=7, cell=32, most_probes=1, slice_queries=20).collect()
+    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in rows}
+    assert len(got) == len(rows) == 80 * 7
+    for q in range(0, 400, 5):
+        scores = lsh.products(x, x, np.full(400, q), np.arange(400))
+        scores[q] = -np.inf
+        order = np.lexsort((np.arange(400), -scores))[:7]
+        assert [got[q, k + 1] for k in range(7)] == [(int(v), scores[v]) for v in order]
+
+
 def test_nearest_against_brute_force(frame):
     rng = np.random.default_rng(2)
     x = rng.normal(size=(300, 8)).astype(np.float32)
@@ -24,7 +61,7 @@ def test_nearest_against_brute_force(frame):
              (480, [float("inf")] * 8, "a"), (500, [1.0, 2.0, 3.0], "a"), (501, [3.0, 2.0, 1.0], "a"), (5, rows[5][1], "a")]
     table = frame(rows, "vec_id long, embedding array<float>, score string", 3)
     got = {}
-    for r in lsh.nearest(table, asks=F.col("vec_id") % 20 == 0, top=10, cell=16).collect():
+    for r in lsh.nearest(table, asks=F.col("vec_id") % 20 == 0, top=10, cell=16, slice_queries=6).collect():
         got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
     assert sorted(got) == [i for i in range(300) if i % 20 == 0] + [500]
     assert got[500] == [(1, 501, 10.0)]
