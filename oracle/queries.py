@@ -325,7 +325,7 @@ GROUP BY i.id""", "lines", "log", "f_history")
 # --- two loads give what one load gives ---------------------------------------------
 
 ORACLE["incremental_merge_orders"] = ORACLE["raw_orders"]
-ORACLE["scd2_incremental"] = ORACLE["fact_orders_scd2"]
+ORACLE["scd2_incremental"] = ORACLE["fact_orders_scd2_bucketed"] = ORACLE["fact_orders_scd2"]
 for _name in ("metric_daily_orders", "metric_daily_customers", "metric_daily_products", "daily_metrics", "customer_behavior",
               "product_sales"):
     ORACLE[f"{_name}_incremental"] = ORACLE[_name]

@@ -22,6 +22,7 @@ from pyspark.sql.window import Window as W
 from orderloom.functions.columns import moment
 from orderloom.operators import analysis, delta, lifetime, metrics, quality, snapshot
 from orderloom.operators.lifetime import LIFETIMES
+from orderloom.plans.buckets import by_order, fact
 from orderloom.plans.expectations import SUITE
 from orderloom.plans.warehouse import Warehouse
 from orderloom.session import pinned
@@ -155,9 +156,11 @@ def _stored_warehouse(store: Store, lookups: Lookups, as_of: dt.date, calendar,
 
 
 def full_build(sources: Sources, store: Store, as_of: dt.date, calendar, loaded_at: dt.datetime | None = None,
-               tables: list[str] = TABLES, checks: str | None = None) -> Warehouse:
+               tables: list[str] = TABLES, checks: str | None = None, buckets: int | None = None) -> Warehouse:
     """Write the raw tables and ``tables`` in order; each is read back before the next uses it.
 
+    With ``buckets``, orders and items are stored once more by order id, and all order facts read those without an exchange.
+
     ``checks="stop"`` ends the build with ``ChecksFailed`` after the first layer with a failing check; "record" only notes failures.
     """
     named, gate = sources.named(), Gate(store, checks)
@@ -167,6 +170,11 @@ def full_build(sources: Sources, store: Store, as_of: dt.date, calendar, loaded_
     w = _stored_warehouse(store, sources.lookups, as_of, calendar, loaded_at)
     gate.close_layer(lambda name: w.raw[name])
     for layer in LAYERS:
+        facts = [t for t in FACTS if t in layer and t in tables]
+        if buckets and facts:
+            parts = by_order(w, buckets)
+            for name in facts:
+                w.pin(name, fact(parts, name))
         _write_layer(w, store, [t for t in layer if t in tables], gate)
     gate.finish()
     for name in LIFETIMES:

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from orderloom.functions.columns import moment
 from orderloom.operators import analysis, dimensions, facts, lifecycle, metrics, quality, snapshot
+from orderloom.plans import buckets
 from orderloom.plans.build import DIMENSIONS, FACTS, full_build, incremental_build
 from orderloom.plans.expectations import SUITE
 from orderloom.plans.warehouse import Warehouse
@@ -114,6 +115,7 @@ QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "fact_orders": lambda w: w.fact_orders,
     "fact_order_line": lambda w: w.fact_order_line,
     "fact_orders_scd2": lambda w: w.fact_orders_scd2,
+    "fact_orders_scd2_bucketed": lambda w: buckets.fact(buckets.by_order(w), "fact_orders_scd2"),
     "scd2_current_snapshot": lambda w: lifecycle.current_snapshot(w.fact_orders_scd2),
     "scd2_order_history": lambda w: lifecycle.order_history(w.fact_orders_scd2),
     "scd2_completion_by_size": lambda w: lifecycle.completion_by_size(w.fact_orders_scd2),
