@@ -83,25 +83,27 @@ def star_schema_sources(spark: SparkSession, folder: str) -> Sources:
     ordered_at = F.col("o_orderdate") + F.make_dt_interval(
         hours=(F.col("o_orderkey") % 24).cast("int"))
     discount = 1 - F.col("l_discount").cast("decimal(10,2)")
+    # Orders and items are known by the text of the order key from here on.  One exchange by it serves the numbers, the totals and the
+    # join with orders, and also every later step per order, which would otherwise shuffle the same rows by the text again.
     lines = (
-        lineitem.repartition("l_orderkey")      # one exchange serves the numbers, the totals and the join with orders
-        .withColumn("nth", F.row_number().over(W.partitionBy("l_orderkey", "l_linenumber").orderBy(
+        lineitem.withColumn("order_id", F.col("l_orderkey").cast("string")).drop("l_orderkey").repartition("order_id")
+        .withColumn("nth", F.row_number().over(W.partitionBy("order_id", "l_linenumber").orderBy(
             "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount")))
         # lines of unknown products and orders stay, so that the checks see them
         .join(part.select("p_partkey", price.alias("list_price")), F.col("l_partkey") == F.col("p_partkey"), "left")
-        .select("l_orderkey", "l_partkey", "l_linenumber",
+        .select("order_id", "l_partkey", "l_linenumber",
                 # lines of an order may share a number: their place among those makes the id unique
-                (F.col("l_orderkey") * 1_000_000 + F.col("l_linenumber") * 1000 + F.col("nth")).alias("id"),
+                (F.col("order_id").cast("bigint") * 1_000_000 + F.col("l_linenumber") * 1000 + F.col("nth")).alias("id"),
                 (1 + F.col("l_quantity").cast("int") % 6).alias("quantity"),
                 F.round(F.col("list_price") * discount, 2).cast("decimal(10,2)").alias("unit_price")))
-    order_items = (
-        lines.join(orders.select("o_orderkey", ordered_at.alias("order_date")),
-                   F.col("l_orderkey") == F.col("o_orderkey"), "left")
-        .select("id", F.col("l_orderkey").cast("string").alias("order_id"), F.col("l_partkey").alias("product_id"),
-                "quantity", "unit_price",
-                (F.col("order_date") + F.make_dt_interval(mins=F.col("l_linenumber"))).alias("created_at")))
-
-    totals = lines.groupBy("l_orderkey").agg(F.sum(F.col("quantity") * F.col("unit_price")).alias("amount"))
+    placed_at = orders.select(F.col("o_orderkey").cast("string").alias("order_id"), ordered_at.alias("order_date"))
+    order_items = lines.join(placed_at, "order_id", "left").select(
+        "id", "order_id", F.col("l_partkey").alias("product_id"), "quantity", "unit_price",
+        (F.col("order_date") + F.make_dt_interval(mins=F.col("l_linenumber"))).alias("created_at"))
+
+    # whole cents, which take less room on their way than a decimal of 31 places
+    cents = (F.col("unit_price") * 100).cast("bigint") * F.col("quantity")
+    totals = lines.groupBy(F.col("order_id").alias("_order")).agg(F.sum(cents).alias("cents"))
     k, status = F.col("o_orderkey"), F.col("o_orderstatus")
 
     def step(number: int, name: str, at):
@@ -115,13 +117,13 @@ def star_schema_sources(spark: SparkSession, folder: str) -> Sources:
         F.when(status == "F", step(2, L.COMPLETED, closed)),
         F.when((status == "O") & (k % 3 == 0), step(2, L.CANCELLED, closed)),
         F.when((status == "F") & (k % 12 == 0), step(3, L.REFUNDED, _days(placed, 2 + k % 4 + k % 2)))))
-    # Totals join the rows of the log, so that questions about its days or ids alone need not compute them.
-    steps = orders.select("o_orderkey", "o_custkey", "o_orderstatus", ordered_at.alias("order_date")).select(
-        "o_orderkey", "o_custkey", "order_date", F.inline(log))
+    # Totals meet the orders, of which there are fewer than rows of the log; questions about days or ids alone need no totals.
     order_log = (
-        steps.join(totals, k == F.col("l_orderkey"), "left")
-        .select("record_id", k.cast("string").alias("id"), F.col("o_custkey").alias("customer_id"), "order_date", "status",
-                F.coalesce("amount", F.lit(0)).cast("decimal(10,2)").alias("total_amount"), "created_at"))
+        orders.select("o_orderkey", k.cast("string").alias("id"), "o_custkey", "o_orderstatus", ordered_at.alias("order_date"))
+        .join(totals, F.col("id") == F.col("_order"), "left")
+        .select("id", "o_custkey", "order_date", "cents", F.inline(log))
+        .select("record_id", "id", F.col("o_custkey").alias("customer_id"), "order_date", "status",
+                (F.coalesce("cents", F.lit(0)).cast("decimal(20,0)") / 100).cast("decimal(10,2)").alias("total_amount"), "created_at"))
 
     return Sources(customers, products, order_log, order_items,
                    lookups=Lookups(country_region=country_region))
