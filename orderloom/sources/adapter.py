@@ -20,6 +20,7 @@ AS_OF = dt.date(2001, 9, 1)
 
 SIGNUP_START = dt.date(1999, 9, 1)
 PRODUCT_CREATED = dt.datetime(1994, 12, 1)
+LINES_BYTES = 8 << 20     # of the file of lines, about 450,000 rows
 NAME_SUFFIXES = ["spring", "summer", "fall", "winter", "holiday", "limited edition", "premium", "classic"]
 # The product categories, in order.
 CATEGORIES = [
@@ -49,6 +50,17 @@ def _days(start, days):
     return start + F.make_dt_interval(days.cast("int"))
 
 
+def _by_order(lines: DataFrame, folder: str) -> DataFrame:
+    """Lines dealt by order id, in tasks of about ``LINES_BYTES`` of the file, whatever the session's number of shuffle partitions."""
+    spark = lines.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/lineitem.parquet")
+    size = path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+    tasks = -(-size // LINES_BYTES)
+    # Fewer are left to adaptive execution, which joins small ones.
+    few = tasks <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return lines.repartition("order_id") if few else lines.repartition(tasks, "order_id")
+
+
 def star_schema_sources(spark: SparkSession, folder: str) -> Sources:
     def read(name: str) -> DataFrame:
         return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
@@ -86,7 +98,7 @@ def star_schema_sources(spark: SparkSession, folder: str) -> Sources:
     # Orders and items are known by the text of the order key from here on.  One exchange by it serves the numbers, the totals and the
     # join with orders, and also every later step per order, which would otherwise shuffle the same rows by the text again.
     lines = (
-        lineitem.withColumn("order_id", F.col("l_orderkey").cast("string")).drop("l_orderkey").repartition("order_id")
+        _by_order(lineitem.withColumn("order_id", F.col("l_orderkey").cast("string")).drop("l_orderkey"), folder)
         .withColumn("nth", F.row_number().over(W.partitionBy("order_id", "l_linenumber").orderBy(
             "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount")))
         # lines of unknown products and orders stay, so that the checks see them

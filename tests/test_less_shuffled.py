@@ -48,3 +48,9 @@ def test_derived_columns_are_not_numbered(sources, monkeypatch):
     monkeypatch.setattr(staging, "sequence_rows", lambda df, *a, **k: seen.append(df.columns) or df.selectExpr("*", "1 AS item_sequence"))
     staging.stg_order_items(sources.order_items, Lookups())
     assert seen == [staging.ITEM_COLUMNS]
+
+
+def test_tasks_of_lines_follow_the_file(spark, folder, monkeypatch):
+    monkeypatch.setattr(adapter, "LINES_BYTES", 100)
+    items = adapter.star_schema_sources(spark, folder).order_items
+    assert items.rdd.getNumPartitions() > int(spark.conf.get("spark.sql.shuffle.partitions"))
