@@ -20,7 +20,7 @@ AS_OF = dt.date(2001, 9, 1)
 
 SIGNUP_START = dt.date(1999, 9, 1)
 PRODUCT_CREATED = dt.datetime(1994, 12, 1)
-LINES_BYTES = 8 << 20     # of the file of lines, about 450,000 rows
+LINES_BYTES = 4 << 20     # of the file of lines, about 220,000 rows
 NAME_SUFFIXES = ["spring", "summer", "fall", "winter", "holiday", "limited edition", "premium", "classic"]
 # The product categories, in order.
 CATEGORIES = [
@@ -56,9 +56,10 @@ def _by_order(lines: DataFrame, folder: str) -> DataFrame:
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/lineitem.parquet")
     size = path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
     tasks = -(-size // LINES_BYTES)
-    # Fewer are left to adaptive execution, which joins small ones.
-    few = tasks <= int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return lines.repartition("order_id") if few else lines.repartition(tasks, "order_id")
+    # Adaptive execution would join small partitions up to a size in bytes, which many of these narrow rows fit; not below one per core.
+    if tasks <= spark.sparkContext.defaultParallelism:
+        return lines.repartition("order_id")
+    return lines.repartition(max(tasks, int(spark.conf.get("spark.sql.shuffle.partitions"))), "order_id")
 
 
 def star_schema_sources(spark: SparkSession, folder: str) -> Sources:
