@@ -6,6 +6,7 @@ Every row of customer, part, orders and lineitem is used.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,7 +63,8 @@ def _by_order(lines: DataFrame, folder: str) -> DataFrame:
     return lines.repartition(max(tasks, int(spark.conf.get("spark.sql.shuffle.partitions"))), "order_id")
 
 
-def star_schema_sources(spark: SparkSession, folder: str) -> Sources:
+def star_schema_sources(spark: SparkSession, folder: str, keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> Sources:
+    """The four source tables.  ``keep`` may store the priced lines for those who read orders and items several times."""
     def read(name: str) -> DataFrame:
         return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
@@ -98,7 +100,7 @@ def star_schema_sources(spark: SparkSession, folder: str) -> Sources:
     discount = 1 - F.col("l_discount").cast("decimal(10,2)")
     # Orders and items are known by the text of the order key from here on.  One exchange by it serves the numbers, the totals and the
     # join with orders, and also every later step per order, which would otherwise shuffle the same rows by the text again.
-    lines = (
+    lines = keep(
         _by_order(lineitem.withColumn("order_id", F.col("l_orderkey").cast("string")).drop("l_orderkey"), folder)
         .withColumn("nth", F.row_number().over(W.partitionBy("order_id", "l_linenumber").orderBy(
             "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount")))
