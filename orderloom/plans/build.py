@@ -159,6 +159,7 @@ def _stored_warehouse(store: Store, lookups: Lookups, as_of: dt.date, calendar,
     sources = Sources(raw["raw_customers"], raw["raw_products"], raw["raw_orders"], raw["raw_order_items"], lookups)
     w = Warehouse(sources, as_of, calendar, loaded_at)
     w.pin("raw", raw)
+    w.pin("items_by_order", raw["raw_order_items"].repartition("order_id"))
     return w
 
 
@@ -249,14 +250,18 @@ def finish_pending(store: Store, lookups: Lookups, as_of: dt.date, calendar, loa
 def _apply(store: Store, changes: dict[str, DataFrame], lookups: Lookups, as_of: dt.date, calendar, loaded_at, tables,
            checks: str | None = None) -> Warehouse:
     gate = Gate(store, checks)
-    key_of = {name: key for name, (_, key, _) in RAW_TABLES.items()}
+    key_of, known = {name: key for name, (_, key, _) in RAW_TABLES.items()}, {}
 
     def newest(name: str) -> DataFrame:
         if name not in changes:
             return store.read(name).limit(0)
         key = key_of[name]
         fresh = pinned(newest_per_key(changes[name], [key]))     # read twice, and the changes may be a long plan
-        stored = store.read(name).join(fresh.select(key), key, "left_semi")
+        # Most changes are new rows: the stored keys alone tell, and whole stored rows move only if some of them meet.
+        known[name] = pinned(store.read(name).select(key).join(fresh.select(key), key, "left_semi"))
+        if known[name].isEmpty():
+            return fresh
+        stored = store.read(name).join(known[name], key, "left_semi")
         both = fresh.withColumn("_stored", F.lit(False)).unionByName(stored.withColumn("_stored", F.lit(True)))
         # What is stored already, or newer, stays.
         return newest_per_key(both, [key], prefer="_stored").where(~F.col("_stored")).drop("_stored")
@@ -264,7 +269,9 @@ def _apply(store: Store, changes: dict[str, DataFrame], lookups: Lookups, as_of:
     def overwritten(name: str, rows: DataFrame) -> DataFrame:
         """Stored rows that the changes replace."""
         key, stored = key_of[name], store.read(name)
-        return stored.join(rows.select(key), key, "left_semi") if name in changes else stored.limit(0)
+        if name not in changes or known[name].isEmpty():
+            return stored.limit(0)
+        return stored.join(rows.select(key), key, "left_semi")
 
     # Everything the run must know of the state before it is noted first.  If the run stops, the next one finds the
     # notes and does the same steps again; each of them gives the same tables however often it runs.
@@ -298,6 +305,7 @@ def _apply(store: Store, changes: dict[str, DataFrame], lookups: Lookups, as_of:
                      as_of, calendar, w.loaded_at)
     part.pin("raw", {**w.raw, "raw_orders": orders.join(touched, "order_id", "left_semi"),
                      "raw_order_items": items.join(touched, "order_id", "left_semi")})
+    part.pin("items_by_order", w.items_by_order.join(touched, "order_id", "left_semi"))
     wanted = [f for f in FACTS if f in tables]
     before = _each([f for f in wanted if f in READ_BEFORE], lambda name: store.noted(f"before_{name}") if store.has_note(f"before_{name}") else store.note(
         f"before_{name}", store.read(name).select(*READ_BEFORE[name]).join(touched, "order_id", "left_semi")))

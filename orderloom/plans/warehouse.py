@@ -91,9 +91,14 @@ class Warehouse:
 
     # --- facts ----------------------------------------------------------------------
 
+    @cached_property
+    def items_by_order(self) -> DataFrame:
+        """Raw items, dealt by order id if they are read from storage: the narrow rows then meet in one exchange."""
+        return self.raw["raw_order_items"]
+
     @cached_property
     def order_items_agg(self) -> DataFrame:
-        return facts.order_items_agg(staging.priced_items(self.raw["raw_order_items"], self.lookups))
+        return facts.order_items_agg(staging.priced_items(self.items_by_order, self.lookups))
 
     @cached_property
     def fact_orders(self) -> DataFrame:
