@@ -1,6 +1,6 @@
 """Join of points with the intervals that hold them, for any two tables, without comparing every pair.
 
-Intervals fall into classes of width, each four times as wide as the one before.  The bins of a class are as wide as its widest interval, so
+Intervals fall into classes of width, each four times as wide as the one before (or as asked).  The bins of a class are as wide as its widest interval, so
 an interval lies in two bins at most (three if its borders are fractions), however long it is.  A point looks into one bin of every class
 that occurs, of which a 64-bit range has no more than 32.  Bins meet by an ordinary equality join, and the exact borders decide afterwards.
 """
@@ -30,9 +30,12 @@ def _whole(column: str, kind: str) -> Column:
     return F.floor(value).cast("bigint")
 
 
-def interval_join(points: DataFrame, intervals: DataFrame, at: str, start: str, end: str, on: Sequence[str] = ()) -> DataFrame:
+def interval_join(points: DataFrame, intervals: DataFrame, at: str, start: str, end: str, on: Sequence[str] = (), bits: int = 2) -> DataFrame:
     """All pairs with equal ``on`` and ``start <= at < end``; a null ``end`` is open, null points and starts meet nothing.
 
+    Each class is ``2 ** bits`` times as wide as the one before.  More bits make fewer classes, and so fewer rows per point on their way, but
+    wider bins; take them where ``on`` leaves few intervals per bin anyway.
+
     Columns of ``points`` come first, then those of ``intervals`` without ``on``; apart from ``on`` their names must differ.
     """
     kind = dict(points.dtypes)[at]
@@ -43,13 +46,13 @@ def interval_join(points: DataFrame, intervals: DataFrame, at: str, start: str,
     # An open interval ends after the last point.
     spans = intervals.where(F.col(start).isNotNull()).withColumns({"_s": _whole(start, kind), "_e": _whole(end, kind)})
     spans = spans.withColumn("_e", F.least(F.coalesce("_e", F.lit(last + 1)), F.lit(last + 1))).where("_s <= _e")
-    spans = spans.withColumn("_class", (F.floor(F.log2(F.col("_e") - F.col("_s") + 1) / 2) + 1).cast("int"))
+    spans = spans.withColumn("_class", (F.floor(F.log2(F.col("_e") - F.col("_s") + 1) / bits) + 1).cast("int"))
     classes = sorted(r[0] for r in spans.select("_class").distinct().collect())       # 32 at most
     names = [c for c in intervals.columns if c not in on]
     binned = spans.select(*on, *names, "_class", F.explode(F.expr(
-        "sequence(shiftright(_s, 2 * _class), shiftright(_e, 2 * _class))")).alias("_bin"))
+        f"sequence(shiftright(_s, {bits} * _class), shiftright(_e, {bits} * _class))")).alias("_bin"))
     looking = points.withColumn("_class", F.explode(F.array(*[F.lit(c) for c in classes]).cast("array<int>"))).withColumn(
-        "_bin", F.expr("shiftright(_p, 2 * _class)")).drop("_p")
+        "_bin", F.expr(f"shiftright(_p, {bits} * _class)")).drop("_p")
     met = looking.join(binned, [*on, "_class", "_bin"])
     inside = (F.col(start) <= F.col(at)) & (F.col(end).isNull() | (F.col(at) < F.col(end)))
     return met.where(inside).select(*[c for c in points.columns if c != "_p"], *names)

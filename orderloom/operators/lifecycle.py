@@ -91,7 +91,7 @@ def open_at_items(history: DataFrame, items: DataFrame, orders: DataFrame) -> Da
         owner.withColumnRenamed("order_id", "own_order"), "own_order")
     open_now = history.where(F.col("order_status").isin(L.PENDING, L.ITEMS_ADDED)).join(owner, "order_id").select(
         "customer_id", "order_id", "order_amount", "status_effective_date", "status_end_date")
-    met = interval_join(added, open_now, "added_at", "status_effective_date", "status_end_date", ["customer_id"])
+    met = interval_join(added, open_now, "added_at", "status_effective_date", "status_end_date", ["customer_id"], bits=4)
     return met.where(F.col("order_id") != F.col("own_order")).groupBy("id").agg(
         F.first("own_order").alias("order_id"), F.count(F.lit(1)).alias("open_orders"),
         F.sum("order_amount").cast(MONEY).alias("open_amount"), F.min("status_effective_date").alias("open_since"))
